@@ -31,17 +31,13 @@ def _as_col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def sequence_number(
     df: DataFrame,
     order_by: Sequence[ColumnLike],
     out_col: str,
-    start: int | Column = 1,
+    start: int | Column | DataFrame = 1,
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = start + (0-based position of the row in ``order_by``).
@@ -50,10 +46,11 @@ def sequence_number(
     distinct but arbitrary numbers, exactly like ``row_number``.
     """
     order = [_as_col(c) for c in order_by]
-    n = _num_partitions(df, num_partitions)
+    # Without an explicit count AQE sizes the range partitions from the real
+    # data (coalescing adjacent ranges keeps the global order intact).
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     numbered = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn(_PID, F.spark_partition_id())
         # monotonically_increasing_id = (partition index << 33) + position in
         # the (already sorted) partition; keep only the position.
@@ -72,11 +69,17 @@ def sequence_number(
             ).alias(_OFF),
         )
     )
-    start_col = start if isinstance(start, Column) else F.lit(start)
+    joined = numbered.join(F.broadcast(offsets), _PID)
+    if isinstance(start, DataFrame):
+        # A one-row frame (e.g. max(key) + 1 of the current dimension), kept
+        # lazy so no separate job runs for it.
+        joined = joined.crossJoin(F.broadcast(start.select(F.col(start.columns[0]).alias("_sm_start"))))
+        start_col = F.col("_sm_start")
+    else:
+        start_col = start if isinstance(start, Column) else F.lit(start)
     return (
-        numbered.join(F.broadcast(offsets), _PID)
-        .withColumn(out_col, (F.col(_OFF) + F.col(_IDX) + start_col.cast("long")).cast("long"))
-        .drop(_PID, _IDX, _OFF)
+        joined.withColumn(out_col, (F.col(_OFF) + F.col(_IDX) + start_col.cast("long")).cast("long"))
+        .drop(_PID, _IDX, _OFF, "_sm_start")
     )
 
 
@@ -84,7 +87,7 @@ def assign_keys(
     new_rows: DataFrame,
     order_by: Sequence[ColumnLike],
     key_col: str,
-    start: int | Column = 1,
+    start: int | Column | DataFrame = 1,
     num_partitions: int | None = None,
 ) -> DataFrame:
     """K1: dense surrogate keys ``start, start+1, ...`` in ``order_by`` order.
@@ -95,10 +98,11 @@ def assign_keys(
     return sequence_number(new_rows, order_by, key_col, start, num_partitions)
 
 
-def next_key(dim: DataFrame, key_col: str) -> int:
-    """``max(key) + 1`` over the real members (the unknown member is -1)."""
-    value = dim.agg(F.max(F.col(key_col))).first()[0]
-    return 1 if value is None or value < 1 else int(value) + 1
+def next_key(dim: DataFrame, key_col: str) -> DataFrame:
+    """One-row frame: ``max(key) + 1`` over the real members (the unknown
+    member is -1), 1 for an empty dimension."""
+    top = F.max(F.col(key_col))
+    return dim.agg(F.when(top.isNull() | (top < 1), F.lit(1)).otherwise(top + 1).cast("long").alias("next_key"))
 
 
 def _ordering(names: Sequence[str], descending: bool | Sequence[bool]) -> list[Column]:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from sparkmart import schemas
 from sparkmart.functions.predicates import UNKNOWN_KEY, changed, differs, ts_literal
 from sparkmart.operators.keys import assign_keys, next_key
+from sparkmart.session import reliable_checkpoint
 
 FACILITY_ATTRS = ("facility_name", "facility_type", "country_name", "region_name")
 PRODUCT_ATTRS = ("product_name", "category_name", "unit_price", "is_active")
@@ -91,6 +92,7 @@ def scd1_merge(
     staging_key: str = "facility_id",
     surrogate_key: str = "facility_key",
     attrs: Sequence[str] = FACILITY_ATTRS,
+    materialize: bool = False,
 ) -> DataFrame:
     """Type-1 (overwrite) merge of ``staging`` into ``dim``.
 
@@ -123,7 +125,7 @@ def scd1_merge(
         stamp.alias("last_updated"),
     )
     keyed = assign_keys(fresh, [natural_key], surrogate_key, start=next_key(dim, surrogate_key))
-    return kept.unionByName(keyed.select(*kept.columns))
+    return _snapshot(kept.unionByName(keyed.select(*kept.columns)), materialize)
 
 
 # --- D2 -----------------------------------------------------------------------
@@ -138,6 +140,7 @@ def scd2_merge(
     staging_key: str = "product_id",
     surrogate_key: str = "product_key",
     attrs: Sequence[str] = PRODUCT_ATTRS,
+    materialize: bool = False,
 ) -> DataFrame:
     """Type-2 merge tracking one column (price by default).
 
@@ -209,7 +212,13 @@ def scd2_merge(
         step.alias("_sm_step"),
     )
     keyed = assign_keys(new_rows, ["_sm_step", natural_key], surrogate_key, start=next_key(dim, surrogate_key))
-    return versions.unionByName(keyed.select(*dim.columns))
+    return _snapshot(versions.unionByName(keyed.select(*dim.columns)), materialize)
+
+
+def _snapshot(dim: DataFrame, materialize: bool) -> DataFrame:
+    """Optionally materialise the merged dimension (reliable checkpoint) when
+    many later jobs read it; within one query Spark reuses its exchanges."""
+    return reliable_checkpoint(dim) if materialize else dim
 
 
 def current_rows(dim: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from sparkmart.functions.predicates import ts_literal
 from sparkmart.operators import calendar, facts, scd, staging
 from sparkmart.operators.keys import assign_keys
 from sparkmart.plans.build import BuildParams, Warehouse, resolve_params, run_build
+from sparkmart.session import reliable_checkpoint
 from sparkmart.sources.bindings import Sources
 
 # Scenario clock and rules.
@@ -55,7 +56,12 @@ def _ts(value: dt.datetime):
 
 @dataclass
 class Scenarios:
-    """Lazily built scenario frames over one ``Sources``."""
+    """Lazily built scenario frames over one ``Sources``.
+
+    Frames that stand for tables at rest (the target copy before a sync, the
+    source warehouse's fact, each merged dimension) are materialised once in
+    the checkpoint directory, as the stored tables they model.
+    """
 
     src: Sources
 
@@ -107,7 +113,7 @@ class Scenarios:
             *scd.FACILITY_ATTRS,
             _ts(EARLIER).alias("last_updated"),
         )
-        return dim.unionByName(scd.unknown_facility(self.spark, EARLIER))
+        return reliable_checkpoint(dim.unionByName(scd.unknown_facility(self.spark, EARLIER)))
 
     @cached_property
     def scd1_staging(self) -> DataFrame:
@@ -143,7 +149,7 @@ class Scenarios:
             (~closed).alias("is_current"),
             _ts(EARLIER).alias("last_updated"),
         )
-        return dim.unionByName(scd.unknown_product(self.spark, EARLIER))
+        return reliable_checkpoint(dim.unionByName(scd.unknown_product(self.spark, EARLIER)))
 
     @cached_property
     def scd2_staging(self) -> DataFrame:
@@ -187,7 +193,7 @@ class Scenarios:
         stamp = F.when(F.col("quantity") >= CORRECTED_MIN_QTY, _ts(NOW)).otherwise(
             F.col("order_date").cast("timestamp_ntz")
         )
-        return self.scenario_fact(keyed=True, stamp=stamp)
+        return reliable_checkpoint(self.scenario_fact(keyed=True, stamp=stamp))
 
     @cached_property
     def sync_target_fact(self) -> DataFrame:
@@ -197,8 +203,10 @@ class Scenarios:
             "quantity",
             F.when(F.col("quantity") >= CORRECTED_MIN_QTY, F.col("quantity") - 1).otherwise(F.col("quantity")),
         )
-        return facts.load_fact(
-            stale, self.calendar, self.scd1_result, self.scd2_result, F.col("order_date").cast("timestamp_ntz")
+        return reliable_checkpoint(
+            facts.load_fact(
+                stale, self.calendar, self.scd1_result, self.scd2_result, F.col("order_date").cast("timestamp_ntz")
+            )
         )
 
     @cached_property
