@@ -75,8 +75,7 @@ cte(
 )
 cte(
     "src_category",
-    "SELECT ROW_NUMBER() OVER (ORDER BY category_name) AS category_id, category_name "
-    "FROM (SELECT DISTINCT p_type AS category_name FROM part)",
+    "SELECT CAST(MIN(p_partkey) AS BIGINT) AS category_id, p_type AS category_name FROM part GROUP BY p_type",
 )
 cte(
     "src_product",
@@ -323,7 +322,7 @@ cte(
 # --- Type 1 scenario ------------------------------------------------------------------
 cte(
     "scd1_before",
-    f"SELECT ROW_NUMBER() OVER (ORDER BY facility_id) AS facility_key, facility_id AS facility_id_source, "
+    f"SELECT facility_id + 1 AS facility_key, facility_id AS facility_id_source, "
     f"facility_name, facility_type, country_name, region_name, {EARLIER} AS last_updated FROM stg_facility "
     f"WHERE facility_type NOT IN ({_in([S.FAC_NEW_SEGMENT, S.FAC_NEVER_SEGMENT])}) "
     f"UNION ALL {_UNK_FAC.format(ts=EARLIER)}",
@@ -346,7 +345,7 @@ scd1_sql("scd1_after", "scd1_before", "scd1_stg")
 _closed = f"category_name = {_q(S.PROD_CLOSED_CATEGORY)}"
 cte(
     "scd2_before",
-    "SELECT ROW_NUMBER() OVER (ORDER BY product_id) AS product_key, product_id AS product_id_source, "
+    "SELECT product_id + 1 AS product_key, product_id AS product_id_source, "
     f"product_name, category_name, unit_price, is_active, {SCD2_START} AS row_start_date, "
     f"CASE WHEN {_closed} THEN {CLOSED_END} ELSE CAST(NULL AS DATE) END AS row_end_date, "
     f"NOT ({_closed}) AS is_current, {EARLIER} AS last_updated FROM stg_product "

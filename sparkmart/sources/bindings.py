@@ -5,7 +5,7 @@
 | Region           | region (r_regionkey, r_name)                                      |
 | Country          | nation (n_nationkey, n_name, n_regionkey)                         |
 | Facility         | customer (c_custkey, c_name, c_mktsegment as type, c_nationkey)   |
-| ProductCategory  | distinct part.p_type, id = dense key in name order                |
+| ProductCategory  | distinct part.p_type, id = smallest p_partkey of the type         |
 | Product          | part (p_partkey, p_name, category, p_retailprice as decimal, true)  |
 | PurchaseOrder    | orders (o_orderkey, o_custkey, o_orderdate as date, o_totalprice) |
 | OrderLine        | lineitem, unit price sold = the part's list price                 |
@@ -77,9 +77,15 @@ class Sources:
 
     @cached_property
     def category(self) -> DataFrame:
-        names = self.raw("part").select(F.col("p_type").alias("category_name")).distinct()
-        keyed = assign_keys(names, ["category_name"], "category_id")
-        return keyed.select("category_id", "category_name")
+        # A stable id per category without a ranking pass: the smallest part
+        # key of the type (part keys are unique, so ids are too).  A grouped
+        # aggregate with map-side partial aggregation.
+        return (
+            self.raw("part")
+            .groupBy(F.col("p_type").alias("category_name"))
+            .agg(F.min("p_partkey").cast("long").alias("category_id"))
+            .select("category_id", "category_name")
+        )
 
     @cached_property
     def product(self) -> DataFrame:
