@@ -50,7 +50,11 @@ class Sources:
     sf_dir: str
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(table_path(self.sf_dir, name))
+        """The driver table as scanned (listed and footer-read once per name)."""
+        cache = self.__dict__.setdefault("_raw", {})
+        if name not in cache:
+            cache[name] = self.spark.read.parquet(table_path(self.sf_dir, name))
+        return cache[name]
 
     @cached_property
     def region(self) -> DataFrame:
