@@ -1,15 +1,15 @@
 """D1 Type-1 merge, D2 Type-2 merge, D5 unknown members.
 
-Both merges are one shuffle on the natural key:
+Both merges shuffle on the natural key only:
 
 * Type 1 is a full outer join of the dimension with staging (the classic
   MERGE): matched rows take every staging attribute (NULLs included),
   dimension-only rows pass through, staging-only rows are new members.
-* Type 2 tags dimension and staging rows, unions them and evaluates one
-  window per natural key.  That window sees every version of the product and
-  its staging row together, so the reference's three sequential steps
-  (expire changed current rows, open a new version where no current row is
-  left, insert brand-new products) become per-row expressions.
+* Type 2 joins every version to its product's staging row (expiry is a
+  per-row expression), counts the current versions left per product with a
+  grouped aggregate, and joins that back to staging to find the products that
+  need a new version or are brand new — the reference's three sequential
+  steps, with every operator splitting a hot product across tasks.
 
 New members get dense keys after the current maximum (K1).  Rows that really
 change — and only those — get ``last_updated = now`` so the incremental sync
@@ -21,13 +21,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart import schemas
 from sparkmart.functions.predicates import UNKNOWN_KEY, changed, differs, ts_literal
 from sparkmart.operators.keys import assign_keys, next_key
 from sparkmart.session import reliable_checkpoint
+from sparkmart.sources.sinks import assert_unique
 
 FACILITY_ATTRS = ("facility_name", "facility_type", "country_name", "region_name")
 PRODUCT_ATTRS = ("product_name", "category_name", "unit_price", "is_active")
@@ -103,7 +104,8 @@ def scd1_merge(
     """
     stamp = ts_literal(now)
     d = dim.alias("d")
-    s = staging.select(F.col(staging_key).alias("_nk"), *attrs).alias("s")
+    # One staging row per id (G14); the check shares the join's shuffle.
+    s = assert_unique(staging.select(F.col(staging_key).alias("_nk"), *attrs), ["_nk"], "Type-1 staging").alias("s")
     joined = d.join(s, F.col(f"d.{natural_key}") == F.col("s._nk"), "full_outer")
     in_dim = F.col(f"d.{surrogate_key}").isNotNull()
     in_stg = F.col("s._nk").isNotNull()
@@ -159,53 +161,50 @@ def scd2_merge(
     step-3 rows, each in id order.
     """
     stamp = ts_literal(now)
-    src = "_sm_src"
-    dim_rows = dim.select(*dim.columns, F.lit(0).alias(src))
-    stg_rows = staging.select(
-        F.col(staging_key).cast("long").alias(natural_key), *attrs, F.lit(1).alias(src)
-    )
-    tagged = dim_rows.unionByName(stg_rows, allowMissingColumns=True)
-
-    w = Window.partitionBy(natural_key)
-    is_dim, is_stg = F.col(src) == 0, F.col(src) == 1
-    staged_value = F.max(F.when(is_stg, F.col(tracked))).over(w)
-    n_staged = F.sum(is_stg.cast("int")).over(w)
-    step1 = tagged.select(
-        "*",
-        staged_value.alias("_sm_new"),
-        n_staged.alias("_sm_nstg"),
-        F.max(is_dim.cast("int")).over(w).alias("_sm_hasdim"),
-    ).withColumn(
-        "_sm_expire",
-        is_dim & F.coalesce(F.col("is_current"), F.lit(False)) & changed(tracked, "_sm_new"),
-    )
-    # Still current after step 1?  Same window, evaluated on step-1 output.
-    flagged = step1.withColumn(
-        "_sm_curafter",
-        F.max((is_dim & F.col("is_current") & ~F.col("_sm_expire")).cast("int")).over(w),
-    ).withColumn(
-        "_sm_dup",
-        F.when(F.col("_sm_nstg") > 1, F.raise_error(F.lit("duplicate natural key in Type-2 staging"))),
+    nk = F.col(natural_key)
+    # Staging keyed by the natural key; a NULL or repeated id is an error.
+    stg = assert_unique(
+        staging.select(
+            F.when(F.col(staging_key).isNull(), F.raise_error(F.lit("Type-2 staging row without an id")))
+            .otherwise(F.col(staging_key))
+            .cast("long")
+            .alias("_sm_nk"),
+            *[F.col(a).alias(f"_sm_s_{a}") for a in attrs],
+        ),
+        ["_sm_nk"],
+        "Type-2 staging",
     )
 
-    expire = F.col("_sm_expire")
+    # Step 1: every version meets its product's staging row (left join on the
+    # natural key: a product with very many versions is split by AQE's skew
+    # handling, the staging side holds one row per key).
+    joined = dim.join(stg, nk == F.col("_sm_nk"), "left")
+    expire = (
+        F.col("_sm_nk").isNotNull()
+        & F.coalesce(F.col("is_current"), F.lit(False))
+        & changed(tracked, f"_sm_s_{tracked}")
+    )
     updates = {
         "is_current": F.when(expire, F.lit(False)).otherwise(F.col("is_current")),
         "row_end_date": F.when(expire, F.lit(as_of)).otherwise(F.col("row_end_date")),
         "last_updated": F.when(expire, stamp).otherwise(F.col("last_updated")),
     }
-    # The duplicate check comes first so every row evaluates it.
-    versions = flagged.where(F.col("_sm_dup").isNull() & is_dim).select(
-        *[updates.get(c, F.col(c)).alias(c) for c in dim.columns]
+    versions = joined.select(*[updates.get(c, F.col(c)).alias(c) for c in dim.columns])
+
+    # Per product after step 1: does a current version remain?  A grouped
+    # aggregate (partial aggregation first), on the join's partitioning.
+    remaining = versions.groupBy(nk.alias("_sm_fk")).agg(
+        F.max(F.col("is_current").cast("int")).alias("_sm_cur")
     )
 
-    step = F.when(F.col("_sm_hasdim") == 1, F.lit(2)).otherwise(F.lit(3))
-    new_rows = flagged.where(
-        F.col("_sm_dup").isNull() & is_stg & ((F.col("_sm_hasdim") == 0) | (F.col("_sm_curafter") == 0))
-    ).select(
-        F.col(natural_key),
-        *[F.col(a) for a in attrs],
-        F.when(step == 2, F.lit(as_of)).otherwise(F.lit(initial_start)).alias("row_start_date"),
+    # Steps 2 and 3: staging products with no current version left, or none at all.
+    flagged = stg.join(remaining, F.col("_sm_nk") == F.col("_sm_fk"), "left")
+    has_dim = F.col("_sm_fk").isNotNull()
+    step = F.when(has_dim, F.lit(2)).otherwise(F.lit(3))
+    new_rows = flagged.where(~has_dim | (F.coalesce(F.col("_sm_cur"), F.lit(0)) == 0)).select(
+        F.col("_sm_nk").alias(natural_key),
+        *[F.col(f"_sm_s_{a}").alias(a) for a in attrs],
+        F.when(has_dim, F.lit(as_of)).otherwise(F.lit(initial_start)).alias("row_start_date"),
         F.lit(None).cast("date").alias("row_end_date"),
         F.lit(True).alias("is_current"),
         stamp.alias("last_updated"),
