@@ -23,6 +23,7 @@ _PID = "_sm_pid"
 _IDX = "_sm_idx"
 _OFF = "_sm_off"
 _RN = "_sm_rn"
+_TIE = "_sm_tie"
 
 ColumnLike = str | Column
 
@@ -121,17 +122,21 @@ def global_rank(
 ) -> DataFrame:
     """RANK / DENSE_RANK / ROW_NUMBER over the whole frame, distributed.
 
-    ``rank``: rows with equal values of ``by`` share the smallest row number
-    of their group (gaps after ties).  Equal values always land in the same
-    range partition, so the min is a window partitioned on those values.
+    ``rank`` and ``row_number``: rows are numbered in ``by`` order with a
+    deterministic row hash as the last sort column, so a value shared by a
+    large part of the rows is still spread over many range partitions.  For
+    ``rank`` every row then takes the smallest number of its value — a grouped
+    min (partial aggregation) joined back on the value.
     ``dense``: the distinct values of ``by`` are numbered and joined back.
     """
     order = _ordering(by, descending)
-    if method == "row_number":
-        return sequence_number(df, order, out_col, 1, num_partitions)
-    if method == "rank":
-        numbered = sequence_number(df, order, _RN, 1, num_partitions)
-        return numbered.withColumn(out_col, F.min(_RN).over(Window.partitionBy(*by))).drop(_RN)
+    if method in ("rank", "row_number"):
+        spread = df.withColumn(_TIE, F.xxhash64(*[F.col(c) for c in df.columns]))
+        numbered = sequence_number(spread, order + [F.col(_TIE)], _RN, 1, num_partitions).drop(_TIE)
+        if method == "row_number":
+            return numbered.withColumnRenamed(_RN, out_col)
+        firsts = numbered.groupBy(*by).agg(F.min(_RN).alias(out_col))
+        return _join_back(numbered.drop(_RN), firsts, by, out_col)
     if method == "dense":
         ranked = sequence_number(df.select(*by).distinct(), order, out_col, 1, num_partitions)
         return _join_back(df, ranked, by, out_col)

@@ -16,27 +16,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sparkmart.sources.sinks import read_snapshot, snapshot_path, upsert, write_snapshot
+from sparkmart.sources.sinks import assert_unique, read_snapshot, snapshot_path, upsert, write_snapshot
 
 
 def latest_per_key(batch: DataFrame, key: Sequence[str], ts_col: str) -> DataFrame:
-    """Newest row per key (ties on the stamp with different rows raise)."""
-    w = Window.partitionBy(*key).orderBy(F.col(ts_col).desc())
-    ranked = batch.withColumn("_sm_rank", F.rank().over(w)).where(F.col("_sm_rank") == 1)
-    ties = F.count(F.lit(1)).over(Window.partitionBy(*key))
-    checked = F.when(ties > 1, F.raise_error(F.lit(f"two different rows for one key {list(key)} at one stamp")))
-    return (
-        ranked.drop("_sm_rank")
+    """Newest row per key; two different rows at the newest stamp raise.
+
+    The newest stamp per key is a grouped max (partial aggregation, so a key
+    updated very often in one batch is pre-reduced in every task), joined back
+    on (key, stamp).
+    """
+    newest = batch.groupBy(*key).agg(F.max(ts_col).alias("_sm_max"))
+    latest = (
+        batch.join(newest, list(key), "inner")
+        .where(F.col(ts_col) == F.col("_sm_max"))
+        .drop("_sm_max")
         .dropDuplicates()
-        .withColumn("_sm_chk", checked)
-        .where(F.col("_sm_chk").isNull())
-        .drop("_sm_chk")
     )
+    return assert_unique(latest, key, "micro-batch (two rows for one key at one stamp)")
 
 
 def start_sync_stream(

@@ -44,3 +44,15 @@ def test_rank_matches_window_on_many_ties(spark):
     got = global_rank(df, ["v"], "r", descending=True, method="rank", num_partitions=4)
     expected = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc())))
     assert sorted(got.collect()) == sorted(expected.select("id", "v", "r").collect())
+
+
+def test_rank_with_a_hot_tied_value(spark):
+    # A third of the rows share one value: ranks stay exact.
+    df = spark.range(0, 3000, numPartitions=6).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(500)).otherwise(F.col("id")).alias("v")
+    )
+    got = global_rank(df, ["v"], "r", descending=True, method="rank", num_partitions=8)
+    expected = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc())))
+    assert sorted(got.collect()) == sorted(expected.select("id", "v", "r").collect())
+    rn = global_rank(df, ["v"], "r", descending=True, method="row_number", num_partitions=8)
+    assert sorted(r.r for r in rn.collect()) == list(range(1, 3001))
