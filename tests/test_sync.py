@@ -57,3 +57,15 @@ def test_sync_twice_moves_nothing_the_second_time(spark):
     assert sorted(second.target.collect()) == sorted(first.target.collect())
     report = sync.sync_report(spark, [first, second]).collect()
     assert [r.rows_synced for r in report] == [2, 0]
+
+
+def test_watermark_filter_reaches_the_parquet_scan(spark, tmp_path):
+    path = str(tmp_path / "src")
+    spark.createDataFrame(
+        [(i, "x", T(2024, 1, 1 + i % 28)) for i in range(100)], SCHEMA
+    ).write.parquet(path)
+    delta = read_since(spark.read.parquet(path), "last_updated", T(2024, 1, 20), ["k", "last_updated"])
+    plan = delta._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(last_updated), GreaterThan(last_updated," in plan
+    assert "ReadSchema: struct<k:bigint,last_updated:timestamp_ntz>" in plan
+    assert delta.count() == sum(1 for i in range(100) if 1 + i % 28 > 20)
