@@ -76,3 +76,8 @@ def dim_date_for(
         F.col("_start"), F.explode(F.sequence("_start", "_end", F.expr("interval 1 day"))).alias("full_date")
     )
     return _attributes(days, F.col("_start"), first_day_of_week, now)
+
+
+def first_day(dim_date: DataFrame) -> DataFrame:
+    """One-row frame holding the calendar's first date (lazy)."""
+    return dim_date.agg(F.min("full_date").alias("first_day"))

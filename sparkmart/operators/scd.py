@@ -136,7 +136,7 @@ def scd2_merge(
     staging: DataFrame,
     as_of: dt.date,
     now: dt.datetime,
-    initial_start: dt.date = DEFAULT_ROW_START,
+    initial_start: dt.date | DataFrame = DEFAULT_ROW_START,
     tracked: str = "unit_price",
     natural_key: str = "product_id_source",
     staging_key: str = "product_id",
@@ -153,7 +153,8 @@ def scd2_merge(
     2. a staging product that has versions but no current one after step 1
        gets a new current version starting ``as_of`` (this also re-opens a
        product whose history has no current row, G5);
-    3. a staging product with no version at all starts at ``initial_start``.
+    3. a staging product with no version at all starts at ``initial_start``
+       (a date, or a one-row frame computed lazily, e.g. the calendar start).
 
     Other attribute changes on a current row wait for the next price change
     (G4).  A duplicate id in staging raises instead of picking a row (G14).
@@ -201,10 +202,15 @@ def scd2_merge(
     flagged = stg.join(remaining, F.col("_sm_nk") == F.col("_sm_fk"), "left")
     has_dim = F.col("_sm_fk").isNotNull()
     step = F.when(has_dim, F.lit(2)).otherwise(F.lit(3))
+    if isinstance(initial_start, DataFrame):  # a lazily derived one-row start date
+        flagged = flagged.crossJoin(F.broadcast(initial_start.select(F.col(initial_start.columns[0]).alias("_sm_init"))))
+        first_start = F.col("_sm_init")
+    else:
+        first_start = F.lit(initial_start)
     new_rows = flagged.where(~has_dim | (F.coalesce(F.col("_sm_cur"), F.lit(0)) == 0)).select(
         F.col("_sm_nk").alias(natural_key),
         *[F.col(f"_sm_s_{a}").alias(a) for a in attrs],
-        F.when(has_dim, F.lit(as_of)).otherwise(F.lit(initial_start)).alias("row_start_date"),
+        F.when(has_dim, F.lit(as_of)).otherwise(first_start).cast("date").alias("row_start_date"),
         F.lit(None).cast("date").alias("row_end_date"),
         F.lit(True).alias("is_current"),
         stamp.alias("last_updated"),

@@ -32,9 +32,9 @@ class BuildParams:
     now: dt.datetime = dt.datetime(2002, 1, 1)
     as_of: dt.date = dt.date(1998, 7, 1)
     first_day_of_week: int = 7
-    start_year: int | None = None  # None: first order year
-    end_year: int | None = None  # None: last order year
-    initial_start: dt.date | None = None  # None: first calendar day
+    start_year: int | None = None  # None (with end_year): whole years of the orders
+    end_year: int | None = None
+    initial_start: dt.date | None = None  # None: the calendar's first day
     renamed_facility: tuple[int, str] | None = RENAMED_FACILITY
     repriced_products: tuple[int, ...] = REPRICED_PRODUCTS
 
@@ -62,31 +62,6 @@ class Warehouse:
         }
 
 
-def order_years(purchase_order: DataFrame) -> tuple[int, int]:
-    """First and last order year (one two-value aggregate)."""
-    row = purchase_order.agg(F.min(F.year("order_date")), F.max(F.year("order_date"))).first()
-    return int(row[0]), int(row[1])
-
-
-def resolve_params(src: Sources, params: BuildParams) -> BuildParams:
-    if params.start_year is not None and params.end_year is not None and params.initial_start is not None:
-        return params
-    y0, y1 = order_years(src.purchase_order)
-    start_year = params.start_year if params.start_year is not None else y0
-    end_year = params.end_year if params.end_year is not None else y1
-    initial = params.initial_start or dt.date(start_year, 1, 1)
-    return BuildParams(
-        now=params.now,
-        as_of=params.as_of,
-        first_day_of_week=params.first_day_of_week,
-        start_year=start_year,
-        end_year=end_year,
-        initial_start=initial,
-        renamed_facility=params.renamed_facility,
-        repriced_products=params.repriced_products,
-    )
-
-
 def run_build(
     src: Sources,
     params: BuildParams = BuildParams(),
@@ -100,7 +75,7 @@ def run_build(
     ``apply_edits=False`` stops after the first load (no change scenario).
     """
     spark = src.spark
-    p = resolve_params(src, params)
+    p = params
 
     def stored(df: DataFrame, name: str, sort_by: list[str] | None = None) -> DataFrame:
         """With an output directory, write the table as a new snapshot and
@@ -115,16 +90,21 @@ def run_build(
     lines = src.order_line if keyed_lines else src.order_line_unkeyed
     stg_order = stored(staging.extract_order(lines, src.purchase_order, p.now), "raw_order")
 
-    dim_date = stored(calendar.build_dim_date(spark, p.start_year, p.end_year, p.first_day_of_week, p.now), "dim_date")
+    if p.start_year is not None and p.end_year is not None:
+        cal = calendar.build_dim_date(spark, p.start_year, p.end_year, p.first_day_of_week, p.now)
+    else:  # whole years spanned by the orders, derived lazily (nothing reaches the driver)
+        cal = calendar.dim_date_for(src.purchase_order, "order_date", p.first_day_of_week, p.now)
+    dim_date = stored(cal, "dim_date")
+    initial = p.initial_start if p.initial_start is not None else calendar.first_day(dim_date)
     dim_fac = scd.scd1_merge(scd.empty_dim_facility(spark, p.now), stg_fac, p.now)
-    dim_prod = scd.scd2_merge(scd.empty_dim_product(spark, p.now), stg_prod, p.as_of, p.now, p.initial_start)
+    dim_prod = scd.scd2_merge(scd.empty_dim_product(spark, p.now), stg_prod, p.as_of, p.now, initial)
 
     if apply_edits:
         if p.renamed_facility is not None:
             stg_fac = staging.rename_facility(stg_fac, *p.renamed_facility)
         if p.repriced_products:
             stg_prod = staging.reprice(stg_prod, p.repriced_products, REPRICE_FACTOR)
-        dim_prod = scd.scd2_merge(dim_prod, stg_prod, p.as_of, p.now, p.initial_start)
+        dim_prod = scd.scd2_merge(dim_prod, stg_prod, p.as_of, p.now, initial)
         dim_fac = scd.scd1_merge(dim_fac, stg_fac, p.now)
 
     stg_fac, stg_prod = stored(stg_fac, "raw_facility"), stored(stg_prod, "raw_product")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.predicates import ts_literal
 from sparkmart.operators import calendar, facts, scd, staging
-from sparkmart.plans.build import BuildParams, Warehouse, resolve_params, run_build
+from sparkmart.plans.build import BuildParams, Warehouse, run_build
 from sparkmart.session import reliable_checkpoint
 from sparkmart.sources.bindings import Sources
 
@@ -72,7 +72,7 @@ class Scenarios:
     # --- canonical warehouse (the reference's script on the test data) ------
     @cached_property
     def params(self) -> BuildParams:
-        return resolve_params(self.src, BuildParams(now=NOW, as_of=AS_OF))
+        return BuildParams(now=NOW, as_of=AS_OF)
 
     @cached_property
     def warehouse(self) -> Warehouse:
@@ -176,7 +176,7 @@ class Scenarios:
     # --- fact against the scenario dimensions (unknown members) -------------
     @cached_property
     def calendar(self) -> DataFrame:
-        return calendar.build_dim_date(self.spark, self.params.start_year, self.params.end_year, 7, NOW)
+        return calendar.dim_date_for(self.src.purchase_order, "order_date", 7, NOW)
 
     def scenario_fact(self, keyed: bool = True, stamp=None) -> DataFrame:
         return facts.load_fact(
@@ -219,9 +219,7 @@ class Scenarios:
     @cached_property
     def sync_targets(self) -> dict[str, DataFrame]:
         return {
-            "dim_date": calendar.build_dim_date(
-                self.spark, self.params.start_year, self.params.end_year, 7, EARLIER
-            ),
+            "dim_date": calendar.dim_date_for(self.src.purchase_order, "order_date", 7, EARLIER),
             "dim_facility": self.scd1_dim_before,
             "dim_product": self.scd2_dim_before,
             "fact_orders": self.sync_target_fact,
