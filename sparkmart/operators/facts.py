@@ -1,11 +1,11 @@
 """D4 fact load with the three lookups J4 (default key), J5 (as-of) and J6 (calendar).
 
 Join strategy: the calendar has a proven size bound (≤ 366 rows per year) and
-is broadcast.  The facility and product dimensions grow with the data, so no
-broadcast is forced for them: Catalyst broadcasts them while their estimated
-size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans with
-real sizes; beyond that they are sort-merge joins on the natural key, with AQE
-splitting a hot key on the fact side.  The as-of lookup is an equi-join on the
+is broadcast.  The facility and product dimensions grow with the data: their
+lookup side (two to four columns) is counted first and broadcast only when
+that count proves it fits ``spark.sql.autoBroadcastJoinThreshold``; beyond
+that they are sort-merge joins on the natural key, with AQE splitting a hot
+key on the fact side.  The as-of lookup is an equi-join on the
 product id with the validity interval as a residual condition (never a
 nested-loop join); empty intervals are dropped first (G3).
 """
@@ -17,6 +17,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.functions.joins import broadcast_if_small
 from sparkmart.functions.predicates import UNKNOWN_KEY, non_empty_interval, ts_literal, valid_at
 
 
@@ -28,14 +29,18 @@ def lookup_key(
     key_col: str,
     out_col: str | None = None,
     default: int | None = UNKNOWN_KEY,
+    size_check: bool = True,
 ) -> DataFrame:
     """Left equi-lookup of ``dim[key_col]``; misses become ``default``.
 
     With ``default=None`` a miss stays NULL (the calendar lookup, checked by
-    :func:`require_keys`).
+    :func:`require_keys`).  ``size_check`` broadcasts the lookup side only
+    when a count proves it small (see ``functions.joins``).
     """
     out_col = out_col or key_col
     right = dim.select(F.col(dim_on).alias("_sm_lk"), F.col(key_col).alias("_sm_key"))
+    if size_check:
+        right, _ = broadcast_if_small(right)
     joined = df.join(right, df[on] == F.col("_sm_lk"), "left")
     value = F.col("_sm_key") if default is None else F.coalesce(F.col("_sm_key"), F.lit(default).cast("long"))
     return joined.withColumn(out_col, value).drop("_sm_lk", "_sm_key")
@@ -52,6 +57,7 @@ def lookup_key_asof(
     end_col: str = "row_end_date",
     out_col: str | None = None,
     default: int = UNKNOWN_KEY,
+    size_check: bool = True,
 ) -> DataFrame:
     """Point-in-time lookup: same id and ``start <= date < end`` (open end)."""
     out_col = out_col or key_col
@@ -61,6 +67,8 @@ def lookup_key_asof(
         F.col(start_col).alias("_sm_s"),
         F.col(end_col).alias("_sm_e"),
     )
+    if size_check:
+        right, _ = broadcast_if_small(right)
     cond = (df[on] == F.col("_sm_lk")) & valid_at(df[date_col], F.col("_sm_s"), F.col("_sm_e"))
     joined = df.join(right, cond, "left")
     return joined.withColumn(out_col, F.coalesce(F.col("_sm_key"), F.lit(default).cast("long"))).drop(
@@ -97,8 +105,9 @@ def load_fact(
     lines = staging_order
     lines = lookup_key(lines, dim_facility, "facility_id", "facility_id_source", "facility_key")
     lines = lookup_key_asof(lines, dim_product, "product_id", "order_date")
+    # The calendar's size is bounded by its year range: broadcast without a count.
     lines = lookup_key(
-        lines, F.broadcast(dim_date), "order_date", "full_date", "date_key", default=None
+        lines, F.broadcast(dim_date), "order_date", "full_date", "date_key", default=None, size_check=False
     )
     lines = require_keys(lines, "date_key", "order date outside the calendar (dim_date)")
     key = [F.col("order_line_id").alias("order_line_key")] if "order_line_id" in lines.columns else []
