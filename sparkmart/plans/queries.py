@@ -23,15 +23,22 @@ from sparkmart.sources.sinks import upsert
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-_CACHE: dict[tuple[int, str], Scenarios] = {}
+_CACHE: dict[str, tuple[object, SparkSession, Scenarios]] = {}
 
 
 def scenarios(spark: SparkSession, sf_dir: str) -> Scenarios:
-    """One lazily built scenario set per (session, data directory)."""
-    key = (id(spark), sf_dir)
-    if key not in _CACHE:
-        _CACHE[key] = Scenarios(Sources(spark, sf_dir))
-    return _CACHE[key]
+    """One lazily built scenario set per data directory and live session.
+
+    An entry is reused only by the same session on the same SparkContext; a
+    stopped and re-created session gets fresh frames (cached frames hold
+    checkpointed data of their own context).
+    """
+    hit = _CACHE.get(sf_dir)
+    sc = spark.sparkContext
+    if hit is None or hit[0] is not sc or hit[1] is not spark:
+        hit = (sc, spark, Scenarios(Sources(spark, sf_dir)))
+        _CACHE[sf_dir] = hit
+    return hit[2]
 
 
 def _star(spark: SparkSession, sf_dir: str) -> DataFrame:

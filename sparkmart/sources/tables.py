@@ -47,3 +47,25 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
     """``CREATE OR REPLACE VIEW`` for each frame (session-scoped)."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
+
+
+def register_warehouse_views(spark: SparkSession, warehouse, method: str = "rank") -> list[str]:
+    """S7 for SQL users: the warehouse tables plus the two analytic views.
+
+    Registers ``fact_orders``, ``dim_date``, ``dim_facility``, ``dim_product``,
+    ``vw_monthly_revenue`` and ``vw_product_revenue_rank`` as temporary views,
+    so ``spark.sql("SELECT * FROM vw_monthly_revenue ORDER BY year, month")``
+    works as it does on the reference's database.
+    """
+    from sparkmart.plans.views import monthly_revenue, product_revenue_rank
+
+    tables = {
+        "fact_orders": warehouse.fact_orders,
+        "dim_date": warehouse.dim_date,
+        "dim_facility": warehouse.dim_facility,
+        "dim_product": warehouse.dim_product,
+        "vw_monthly_revenue": monthly_revenue(warehouse.fact_orders, warehouse.dim_date),
+        "vw_product_revenue_rank": product_revenue_rank(warehouse.fact_orders, warehouse.dim_product, method),
+    }
+    register_views(tables)
+    return list(tables)

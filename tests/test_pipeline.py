@@ -55,3 +55,17 @@ def test_sync_all_then_nothing_left(spark, tmp_path):
     targets = {spec.name: read_snapshot(spark, out, spec.name, 1) for spec in schemas.WAREHOUSE_SPECS}
     second = sync.sync_all(source, targets)
     assert [r.delta.count() for r in second] == [0, 0, 0, 0]
+
+
+def test_views_are_queryable_with_sql(spark):
+    from sparkmart.sources.tables import register_warehouse_views
+
+    wh = run_build(Sources(spark, SF), BuildParams(), keyed_lines=False)
+    names = register_warehouse_views(spark, wh)
+    assert "vw_monthly_revenue" in names
+    by_sql = spark.sql("SELECT year, month, revenue FROM vw_monthly_revenue ORDER BY year, month").collect()
+    assert len(by_sql) == 80 and by_sql[0].year == 1995
+    top = spark.sql("SELECT product_name FROM vw_product_revenue_rank WHERE revenue_rank = 1").collect()
+    assert len(top) >= 1
+    n = spark.sql("SELECT COUNT(*) AS n FROM fact_orders f JOIN dim_date d ON f.date_key = d.date_key").first().n
+    assert n == wh.fact_orders.count()
