@@ -3,7 +3,8 @@
 Each query is rebuilt from the raw parquet for every run (fresh scenario
 cache, so key assignment and checkpoints are part of the time) and executed
 to completion with the ``noop`` sink (the whole plan runs, nothing is
-collected).  One warm-up pass, then the median of ``$BENCH_RUNS`` runs.
+collected).  ``$BENCH_WARMUP`` warm-up passes (default 2: the JVM keeps
+compiling for several runs), then the median of ``$BENCH_RUNS`` runs.
 
 Prints one JSON line:
 {"metric": "headline_total_median", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
@@ -11,6 +12,7 @@ Prints one JSON line:
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -39,16 +41,21 @@ def main() -> None:
     from sparkmart.plans import queries as registry
     from sparkmart.session import build_session
 
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app_name="sparkmart-bench")
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)), app_name="sparkmart-bench")
 
     def run_once(name: str) -> float:
         registry._CACHE.clear()  # rebuild every frame: each run pays the full cost
+        # Drop the previous run's Python handles so the JVM can release their
+        # plans, broadcasts and checkpoint files before the clock starts.
+        gc.collect()
         t0 = time.perf_counter()
         registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    for name in names:  # warm-up: JIT, file listing caches
-        run_once(name)
+    warmup = int(os.environ.get("BENCH_WARMUP", "2"))
+    for _ in range(warmup):  # warm-up passes: JIT compilation, file listing caches
+        for name in names:
+            run_once(name)
     timings = {name: [] for name in names}
     for _ in range(runs):
         for name in names:
@@ -65,6 +72,7 @@ def main() -> None:
                 "sf": float(match.group(1)) if match else sf_dir,
                 "cpus": cpus,
                 "runs": runs,
+                "warmup": warmup,
                 "spark": spark.version,
             }
         )
