@@ -72,15 +72,14 @@ def sequence_number(
     )
     joined = numbered.join(F.broadcast(offsets), _PID)
     if isinstance(start, DataFrame):
-        # A one-row frame (e.g. max(key) + 1 of the current dimension), kept
-        # lazy so no separate job runs for it.
-        joined = joined.crossJoin(F.broadcast(start.select(F.col(start.columns[0]).alias("_sm_start"))))
-        start_col = F.col("_sm_start")
+        # A one-row frame (e.g. max(key) + 1 of the current dimension) used as
+        # a scalar subquery: evaluated once, lazily, no join.
+        start_col = start.select(F.col(start.columns[0])).scalar()
     else:
         start_col = start if isinstance(start, Column) else F.lit(start)
     return (
         joined.withColumn(out_col, (F.col(_OFF) + F.col(_IDX) + start_col.cast("long")).cast("long"))
-        .drop(_PID, _IDX, _OFF, "_sm_start")
+        .drop(_PID, _IDX, _OFF)
     )
 
 

@@ -202,9 +202,8 @@ def scd2_merge(
     flagged = stg.join(remaining, F.col("_sm_nk") == F.col("_sm_fk"), "left")
     has_dim = F.col("_sm_fk").isNotNull()
     step = F.when(has_dim, F.lit(2)).otherwise(F.lit(3))
-    if isinstance(initial_start, DataFrame):  # a lazily derived one-row start date
-        flagged = flagged.crossJoin(F.broadcast(initial_start.select(F.col(initial_start.columns[0]).alias("_sm_init"))))
-        first_start = F.col("_sm_init")
+    if isinstance(initial_start, DataFrame):  # a lazily derived one-row start date (scalar subquery)
+        first_start = initial_start.select(F.col(initial_start.columns[0])).scalar()
     else:
         first_start = F.lit(initial_start)
     new_rows = flagged.where(~has_dim | (F.coalesce(F.col("_sm_cur"), F.lit(0)) == 0)).select(

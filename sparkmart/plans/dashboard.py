@@ -14,18 +14,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.functions.joins import broadcast_if_small
 from sparkmart.functions.predicates import known
 
 
 def sales_star(fact: DataFrame, dim_date: DataFrame, dim_facility: DataFrame, dim_product: DataFrame) -> DataFrame:
     """The fact joined to its three dimensions (J3), columns the visuals use.
 
-    The calendar is broadcast (bounded); facility and product joins are left to
-    the planner's size checks.
+    The calendar is broadcast (bounded by its years); the facility and product
+    sides are broadcast only when a count proves them small, otherwise they
+    are sort-merge joins on the surrogate key.
     """
     d = dim_date.select("date_key", "full_date", "year", "month")
-    f = dim_facility.select("facility_key", "facility_name", "country_name", "region_name")
-    p = dim_product.select("product_key", "product_name", "category_name")
+    f, _ = broadcast_if_small(dim_facility.select("facility_key", "facility_name", "country_name", "region_name"))
+    p, _ = broadcast_if_small(dim_product.select("product_key", "product_name", "category_name"))
     return (
         fact.select("date_key", "facility_key", "product_key", "order_id", "quantity", "unit_price_sold", "line_total")
         .join(F.broadcast(d), "date_key")
@@ -88,17 +90,14 @@ def sales_by_country(star: DataFrame) -> DataFrame:
 def revenue_by_category(star: DataFrame) -> DataFrame:
     """Revenue per category and its share of the total.
 
-    The total is a one-row aggregate cross-joined to the (small) per-category
-    result — both sides are aggregates, so nothing of fact size is broadcast.
+    The total is a scalar subquery (one global aggregate, evaluated once).
     """
     by_cat = star.groupBy("category_name").agg(F.sum("line_total").alias("revenue"))
-    total = star.agg(F.sum("line_total").alias("_total"))
-    return by_cat.crossJoin(F.broadcast(total)).select(
+    total = star.agg(F.sum("line_total").cast("double").alias("_total")).scalar()
+    return by_cat.select(
         "category_name",
         F.col("revenue").cast("decimal(22,2)").alias("revenue"),
-        F.round(F.col("revenue").cast("double") / F.nullif(F.col("_total").cast("double"), F.lit(0.0)), 6).alias(
-            "revenue_share"
-        ),
+        F.round(F.col("revenue").cast("double") / F.nullif(total, F.lit(0.0)), 6).alias("revenue_share"),
     )
 
 

@@ -12,13 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkmart.functions.joins import broadcast_if_small
 from sparkmart.functions.predicates import known
 from sparkmart.operators.keys import global_rank
 
 
-def star_join(fact: DataFrame, dim: DataFrame, key: str, broadcast: bool = False) -> DataFrame:
-    """Inner join of the fact to one dimension on its surrogate key."""
-    return fact.join(F.broadcast(dim) if broadcast else dim, key, "inner")
+def star_join(fact: DataFrame, dim: DataFrame, key: str, broadcast: bool | None = None) -> DataFrame:
+    """Inner join of the fact to one dimension on its surrogate key.
+
+    ``broadcast=True`` for a dimension with a known bound (the calendar);
+    ``None`` counts the dimension side first and broadcasts it only if small.
+    """
+    if broadcast is None:
+        dim, _ = broadcast_if_small(dim)
+    elif broadcast:
+        dim = F.broadcast(dim)
+    return fact.join(dim, key, "inner")
 
 
 def monthly_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
