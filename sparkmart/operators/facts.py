@@ -76,13 +76,17 @@ def lookup_key_asof(
     )
 
 
-def require_keys(df: DataFrame, key_col: str, message: str) -> DataFrame:
+def require_keys(df: DataFrame, key_col: str, message: str, show: tuple[str, ...] = ()) -> DataFrame:
     """Fail the job when a required lookup missed (NOT NULL on the fact, G17).
 
     The check is an expression in the same projection, so it costs nothing
-    extra and cannot be skipped by column pruning (the key is an output).
+    extra and cannot be skipped by column pruning (the key is an output).  The
+    error names the offending row through the ``show`` columns.
     """
-    checked = F.when(F.col(key_col).isNull(), F.raise_error(F.lit(message))).otherwise(F.col(key_col))
+    detail = F.concat_ws(
+        ", ", F.lit(message), *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("NULL"))) for c in show]
+    )
+    checked = F.when(F.col(key_col).isNull(), F.raise_error(detail)).otherwise(F.col(key_col))
     return df.withColumn(key_col, checked.cast("long"))
 
 
@@ -109,7 +113,9 @@ def load_fact(
     lines = lookup_key(
         lines, F.broadcast(dim_date), "order_date", "full_date", "date_key", default=None, size_check=False
     )
-    lines = require_keys(lines, "date_key", "order date outside the calendar (dim_date)")
+    lines = require_keys(
+        lines, "date_key", "order date outside the calendar (dim_date)", show=("order_id", "order_date")
+    )
     key = [F.col("order_line_id").alias("order_line_key")] if "order_line_id" in lines.columns else []
     return lines.select(
         *key,

@@ -59,8 +59,9 @@ def test_asof_edges_and_unknown_members(spark):
 def test_date_outside_calendar_fails(spark):
     cal, fac, prod = _dims(spark)
     lines = spark.createDataFrame([_line(1, dt.date(2030, 1, 1))], ORDER)
-    with pytest.raises((PySparkException, Py4JJavaError)):
+    with pytest.raises((PySparkException, Py4JJavaError)) as err:
         facts.load_fact(lines, cal, fac, prod, T0).collect()
+    assert "order_id=1001" in str(err.value) and "order_date=2030-01-01" in str(err.value)
 
 
 def test_asof_plan_is_equi_join_with_residual(spark):

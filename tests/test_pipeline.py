@@ -39,6 +39,14 @@ def test_build_writes_consistent_snapshots(spark, tmp_path):
     # Type-2 invariant: at most one current version per product.
     cur = t["dim_product"].where("is_current").groupBy("product_id_source").count().where("count > 1")
     assert cur.count() == 0
+    # Type-2 intervals of one product never overlap.
+    versions_by_id = {}
+    for r in t["dim_product"].where("product_key <> -1").collect():
+        versions_by_id.setdefault(r.product_id_source, []).append((r.row_start_date, r.row_end_date))
+    for spans in versions_by_id.values():
+        spans.sort()
+        for (s1, e1), (s2, _) in zip(spans, spans[1:]):
+            assert e1 is not None and e1 <= s2
     # The two repriced products have exactly two versions each.
     versions = {r.product_id_source: r["count"] for r in t["dim_product"].groupBy("product_id_source").count().collect()}
     assert versions[1] == versions[2] == 2

@@ -128,3 +128,16 @@ def test_scd2_intervals_never_overlap_after_two_changes(spark):
         (dt.date(2021, 2, 1), None),
     ]
     assert [r.is_current for r in versions] == [False, False, True]
+
+
+def test_changed_rows_reach_the_next_sync(spark):
+    """A Type-1 update moves last_updated, so the watermark scan sees it."""
+    from sparkmart.sources.incremental import read_since, watermark
+
+    dim = _dim_facility(spark, [(1, 100, "A", "H", "France", "EUROPE"), (2, 200, "B", "H", "Japan", "ASIA")])
+    stg = spark.createDataFrame(
+        [(100, "A renamed", "H", "France", "EUROPE"), (200, "B", "H", "Japan", "ASIA")], FAC_STG
+    )
+    merged = scd.scd1_merge(dim, stg, NOW)
+    delta = read_since(merged, "last_updated", watermark(dim, key_col="facility_key"))
+    assert [r.facility_id_source for r in delta.collect()] == [100]
