@@ -24,7 +24,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart import schemas
 from sparkmart.functions.predicates import UNKNOWN_KEY, changed, differs, ts_literal
 from sparkmart.operators.keys import assign_keys, next_key
 from sparkmart.session import reliable_checkpoint
@@ -228,7 +227,3 @@ def _snapshot(dim: DataFrame, materialize: bool) -> DataFrame:
 def current_rows(dim: DataFrame) -> DataFrame:
     """The current version of each product."""
     return dim.where(F.col("is_current"))
-
-
-def conform_dim(dim: DataFrame, schema=schemas.DIM_PRODUCT) -> DataFrame:
-    return dim.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])

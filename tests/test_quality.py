@@ -23,3 +23,9 @@ def test_checks_find_offending_rows(spark):
     assert [r.id for r in orphans] == [2]
     with pytest.raises(quality.QualityError):
         quality.fail_if_any(quality.check_unique(df, ["id"]), "unique id")
+
+
+def test_null_report_counts_per_column(spark):
+    df = spark.createDataFrame([(1, None), (None, None), (3, "x")], "a long, b string")
+    report = {r.column_name: r.null_count for r in quality.null_report(df, "t", ["a", "b"]).collect()}
+    assert report == {"a": 1, "b": 2}

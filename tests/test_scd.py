@@ -141,3 +141,10 @@ def test_changed_rows_reach_the_next_sync(spark):
     merged = scd.scd1_merge(dim, stg, NOW)
     delta = read_since(merged, "last_updated", watermark(dim, key_col="facility_key"))
     assert [r.facility_id_source for r in delta.collect()] == [100]
+
+
+def test_with_unknown_member_adds_it_once(spark):
+    dim = _dim_facility(spark, [(1, 100, "A", "H", "France", "EUROPE")])  # already has -1
+    twice = scd.with_unknown_member(dim, scd.unknown_facility(spark, NOW), "facility_key")
+    keys = sorted(r.facility_key for r in twice.collect())
+    assert keys == [-1, 1]
