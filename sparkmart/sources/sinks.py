@@ -46,19 +46,44 @@ def snapshot_path(root: str, table: str, version: str | int) -> str:
 
 
 def write_snapshot(
-    df: DataFrame, root: str, table: str, version: str | int = "0", sort_by: Sequence[str] | None = None
+    df: DataFrame,
+    root: str,
+    table: str,
+    version: str | int = "0",
+    sort_by: Sequence[str] | None = None,
+    partition_by: Sequence[str] | None = None,
 ) -> str:
     """Write ``df`` as a new version of ``table`` (full refresh).
 
-    ``sort_by`` clusters rows inside each file so parquet min/max statistics
-    let later filters (date ranges, keys) skip row groups.
+    ``partition_by`` lays the files out in one directory per value (for a
+    bounded column such as the fact's ``date_key``): filters on it, and
+    dynamic partition pruning from a filtered dimension, skip whole
+    directories.  Rows are first clustered by the partition columns with the
+    REBALANCE hint, so each task writes few files while AQE splits a hot value
+    (one day holding a large share of the rows) over several tasks and merges
+    small ones.  ``sort_by`` orders rows inside each file so parquet min/max
+    statistics let other filters skip row groups.
     """
     path = snapshot_path(root, table, version)
-    out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.write.mode("overwrite").parquet(path)
+    out = df
+    if partition_by:
+        out = out.hint("rebalance", *partition_by)
+    if sort_by or partition_by:
+        out = out.sortWithinPartitions(*(list(partition_by or []) + list(sort_by or [])))
+    writer = out.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     return path
 
 
+def read_stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """Read a written snapshot back with the column order and types of ``like``
+    (partition columns come back last and with inferred types)."""
+    stored = spark.read.parquet(path)
+    return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields])
+
+
 def latest_version(spark: SparkSession, root: str, table: str) -> str | None:
     """Newest ``version=`` directory of ``table`` (partition listing only)."""
     try:
