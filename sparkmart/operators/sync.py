@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from sparkmart.functions.predicates import ts_literal
 from sparkmart.schemas import WAREHOUSE_SPECS, TableSpec
 from sparkmart.sources.incremental import read_since, watermark
-from sparkmart.sources.sinks import upsert, write_snapshot
+from sparkmart.session import reliable_checkpoint
+from sparkmart.sources.sinks import upsert, upsert_partitions, write_snapshot
 
 
 @dataclass
@@ -72,3 +73,29 @@ def sync_report(spark: SparkSession, results: Sequence[SyncResult]) -> DataFrame
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def sync_stored_table(
+    spark: SparkSession,
+    source: DataFrame,
+    target_path: str,
+    spec: TableSpec,
+    partition_col: str,
+    inclusive: bool = False,
+    keys_may_move: bool = True,
+) -> tuple[dt.datetime, int, list]:
+    """I1 against a stored, partitioned target: the watermark comes from the
+    target files, the delta is pushed into the source scan, and only the
+    partitions the delta touches are rewritten (``upsert_partitions``).
+
+    Returns (watermark, rows in the delta, rewritten partition values).
+    """
+    target = spark.read.parquet(target_path)
+    key_col = spec.key[0] if spec.unknown_key is not None else None
+    wm = watermark(target, spec.ts_col, key_col)
+    delta = reliable_checkpoint(read_since(source, spec.ts_col, wm, target.columns, inclusive))
+    n = delta.count()
+    if n == 0:  # nothing newer: leave the target as it is
+        return wm, 0, []
+    touched = upsert_partitions(spark, target_path, delta, list(spec.key), partition_col, keys_may_move)
+    return wm, n, touched

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparkmart.session import reliable_checkpoint
+
 
 def assert_unique(df: DataFrame, key: Sequence[str], what: str = "batch") -> DataFrame:
     """Fail (lazily, inside the job) when ``key`` repeats in ``df``.
@@ -99,3 +101,54 @@ def read_snapshot(spark: SparkSession, root: str, table: str, version: str | int
     if v is None:
         raise FileNotFoundError(f"no snapshot of {table} under {root}")
     return spark.read.parquet(snapshot_path(root, table, v))
+
+
+def upsert_partitions(
+    spark: SparkSession,
+    target_path: str,
+    delta: DataFrame,
+    key: Sequence[str] | str,
+    partition_col: str,
+    keys_may_move: bool = True,
+) -> list:
+    """S3 for a stored target partitioned by ``partition_col`` (e.g. the fact by
+    ``date_key``): rewrite only the partitions the batch touches.
+
+    Affected partitions are those of the batch rows plus those still holding
+    one of the batch's keys (a row whose partition value changed).  Their new
+    content — old rows whose key is not in the batch, plus the batch — is
+    materialised in the checkpoint directory first (a plan may not overwrite
+    files it reads) and then replaces just those directories through dynamic
+    partition overwrite; every other partition stays untouched, so a sync
+    costs the size of the delta's partitions, not of the table.  The affected
+    partition values are bounded by the partition domain (calendar days) and
+    are returned.  ``keys_may_move=False`` skips the key scan when a row's
+    partition value never changes (e.g. an order line's order date).
+    """
+    key = [key] if isinstance(key, str) else list(key)
+    target = spark.read.parquet(target_path)
+    delta = assert_unique(delta.select(*target.columns), key, "upsert batch")
+    affected = delta.select(partition_col)
+    if keys_may_move:
+        # Partitions still holding a batch key (reads key + partition columns
+        # only; the batch's keys are broadcast when a count proves them small).
+        from sparkmart.functions.joins import broadcast_if_small
+
+        batch_keys, _ = broadcast_if_small(delta.select(*key))
+        moved = target.select(*key, partition_col).join(batch_keys, key, "left_semi").select(partition_col)
+        affected = affected.union(moved)
+    values = [r[0] for r in affected.distinct().collect()]
+    if not values:
+        return []
+    old = target.where(F.col(partition_col).isin(values))  # static partition pruning
+    rewritten = old.join(delta.select(*key), key, "left_anti").unionByName(delta)
+    rewritten = reliable_checkpoint(rewritten)
+    (
+        rewritten.hint("rebalance", partition_col)
+        .sortWithinPartitions(partition_col)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col)
+        .parquet(target_path)
+    )
+    return values

@@ -69,3 +69,43 @@ def test_watermark_filter_reaches_the_parquet_scan(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(last_updated), GreaterThan(last_updated," in plan
     assert "ReadSchema: struct<k:bigint,last_updated:timestamp_ntz>" in plan
     assert delta.count() == sum(1 for i in range(100) if 1 + i % 28 > 20)
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+    import glob
+    import os
+
+    from sparkmart.sources.sinks import upsert_partitions
+
+    schema = "k long, d long, v string, last_updated timestamp_ntz"
+    path = str(tmp_path / "fact")
+    rows = [(i, i % 4, "old", T(2024, 1, 1)) for i in range(20)]
+    spark.createDataFrame(rows, schema).write.partitionBy("d").parquet(path)
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/d=*/*.parquet")}
+    # Update key 1 (d=1), move key 2 from d=2 to d=1, insert key 99 in d=1.
+    delta = spark.createDataFrame(
+        [(1, 1, "new", T(2024, 2, 1)), (2, 1, "moved", T(2024, 2, 1)), (99, 1, "ins", T(2024, 2, 1))], schema
+    )
+    touched = upsert_partitions(spark, path, delta, "k", "d")
+    assert sorted(touched) == [1, 2]
+    got = {r.k: (r.d, r.v) for r in spark.read.parquet(path).collect()}
+    assert got[1] == (1, "new") and got[2] == (1, "moved") and got[99] == (1, "ins")
+    assert got[3] == (3, "old") and len(got) == 21
+    untouched = [f for f in before if "/d=0/" in f or "/d=3/" in f]
+    assert untouched and all(os.path.exists(f) and os.path.getmtime(f) == before[f] for f in untouched)
+
+
+def test_sync_stored_table_end_to_end(spark, tmp_path):
+    from sparkmart.operators.sync import sync_stored_table
+
+    spec = schemas.TableSpec("t", None, ("k",))
+    schema = "k long, d long, v string, last_updated timestamp_ntz"
+    path = str(tmp_path / "target")
+    spark.createDataFrame([(1, 0, "a", T(2024, 1, 1))], schema).write.partitionBy("d").parquet(path)
+    source = spark.createDataFrame(
+        [(1, 0, "a", T(2024, 1, 1)), (2, 1, "b", T(2024, 1, 5)), (3, 1, "c", T(2024, 1, 6))], schema
+    )
+    wm, n, touched = sync_stored_table(spark, source, path, spec, "d")
+    assert (wm, n, touched) == (T(2024, 1, 1), 2, [1])
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+    assert sync_stored_table(spark, source, path, spec, "d")[1:] == (0, [])
