@@ -92,7 +92,7 @@ def scd1_merge(
     staging_key: str = "facility_id",
     surrogate_key: str = "facility_key",
     attrs: Sequence[str] = FACILITY_ATTRS,
-    materialize: bool = False,
+    materialize: bool = True,
 ) -> DataFrame:
     """Type-1 (overwrite) merge of ``staging`` into ``dim``.
 
@@ -141,7 +141,7 @@ def scd2_merge(
     staging_key: str = "product_id",
     surrogate_key: str = "product_key",
     attrs: Sequence[str] = PRODUCT_ATTRS,
-    materialize: bool = False,
+    materialize: bool = True,
 ) -> DataFrame:
     """Type-2 merge tracking one column (price by default).
 
@@ -219,8 +219,10 @@ def scd2_merge(
 
 
 def _snapshot(dim: DataFrame, materialize: bool) -> DataFrame:
-    """Optionally materialise the merged dimension (reliable checkpoint) when
-    many later jobs read it; within one query Spark reuses its exchanges."""
+    """The merged dimension is the new version of a stored table: materialise
+    it once (reliable checkpoint) so the size checks, the fact lookups, the
+    next merge and the reports read it instead of re-running the merge chain,
+    and lineage stays short."""
     return reliable_checkpoint(dim) if materialize else dim
 
 
