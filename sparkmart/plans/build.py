@@ -1,9 +1,10 @@
 """D6 — the end-to-end warehouse build, and the star the reports read.
 
 Order of the reference's script: reset → extracts → calendar → facility →
-product → staging edits → product → facility → fact.  Each stage is a lazy
-DataFrame; only key assignment materialises (checkpoint) and, when an output
-directory is given, each table is written as a new snapshot version.
+product → staging edits → product → facility → fact.  Stages are lazy
+DataFrames except where a table is materialised: key assignment and each
+merged dimension (checkpoint), and, when an output directory is given, every
+table written as a new snapshot version that the later stages read back.
 """
 
 from __future__ import annotations

@@ -1,8 +1,10 @@
 """Query registry: one entry per operator of the inventory, keyed ``q_*``.
 
-Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole driver tables (only key assignment and two-value watermarks execute
-eagerly).  Column names equal those of the SQL in ``sparkmart.plans.oracle``.
+Each callable takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+driver tables.  What runs before the caller's action is bounded work: key
+assignment and merged dimensions are checkpointed, dimension sizes are
+counted for the broadcast check, and watermarks are read as one scalar.
+Column names equal those of the SQL in ``sparkmart.plans.oracle``.
 """
 
 from __future__ import annotations
