@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.functions.joins import broadcast_if_small
+
 
 def check_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Q1: rows where any required column is NULL, with the list of those columns."""
@@ -34,8 +36,9 @@ def check_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def check_foreign_key(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Q3: child rows whose (non-NULL) key has no parent (left anti join)."""
-    parents = parent.select(F.col(parent_key).alias("_sm_pk"))
+    """Q3: child rows whose (non-NULL) key has no parent (left anti join; the
+    parent side is broadcast only when a count proves it small)."""
+    parents, _ = broadcast_if_small(parent.select(F.col(parent_key).alias("_sm_pk")))
     return child.where(F.col(child_key).isNotNull()).join(
         parents, F.col(child_key) == F.col("_sm_pk"), "left_anti"
     )

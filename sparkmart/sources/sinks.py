@@ -39,7 +39,12 @@ def upsert(target: DataFrame, delta: DataFrame, key: Sequence[str] | str, check_
     if check_unique:
         delta = assert_unique(delta, key, "upsert batch")
     delta = delta.select(*target.columns)
-    kept = target.join(delta.select(*key), key, "left_anti")
+    # The batch is usually far smaller than the target: broadcast its keys when
+    # a count proves them small, so the target is not shuffled for the anti join.
+    from sparkmart.functions.joins import broadcast_if_small
+
+    batch_keys, _ = broadcast_if_small(delta.select(*key))
+    kept = target.join(batch_keys, key, "left_anti")
     return kept.unionByName(delta)
 
 
