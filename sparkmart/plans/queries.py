@@ -36,7 +36,10 @@ def scenarios(spark: SparkSession, sf_dir: str) -> Scenarios:
     checkpointed data of their own context).
     """
     hit = _CACHE.get(sf_dir)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect has no driver-side context; the session identifies it
+        sc = spark
     if hit is None or hit[0] is not sc or hit[1] is not spark:
         hit = (sc, spark, Scenarios(Sources(spark, sf_dir)))
         _CACHE[sf_dir] = hit

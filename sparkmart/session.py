@@ -52,7 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cluster a machine-local folder would not survive executor loss, so an
     unset directory is an error there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's configured directory is used
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
