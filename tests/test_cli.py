@@ -27,3 +27,14 @@ def test_build_sync_report(spark, tmp_path, capsys):
     main(["report", "--warehouse", wh, "--view", "monthly"])
     months = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert len(months) == 80 and months[0]["mom_growth_pct"] is None
+
+
+def test_rank_report_written_to_files(spark, tmp_path, capsys):
+    wh, out = str(tmp_path / "wh"), str(tmp_path / "rank")
+    main(["build", "--sf-dir", SF, "--out", wh])
+    capsys.readouterr()
+    main(["report", "--warehouse", wh, "--view", "rank", "--out", out])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == [{"written": out}]
+    ranks = spark.read.parquet(out)
+    assert ranks.where("revenue_rank = 1").count() >= 1
+    assert ranks.agg({"revenue_rank": "max"}).first()[0] <= ranks.count()
