@@ -2,4 +2,34 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+#: Fixed values shared by the statements.
+_UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
+_LOWER = "'abcdefghijklmnopqrstuvwxyz'"
+_SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP3 = """
+WITH p AS (
+  SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes
+  FROM pages),
+f AS (SELECT payload_digest, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest
+"""
+
+OP5 = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, {_SPACE}), {_UPPER}, {_LOWER}) AS key FROM l),
+hot AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+j AS (SELECT k.doc_id, k.line, k.pos, coalesce(hot.keeper <> k.doc_id, FALSE) AS dropped FROM k LEFT JOIN hot ON k.key = hot.key)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE dropped) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_warc": OP3,
+    "op5_line_dedup": OP5,
+}

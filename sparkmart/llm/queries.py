@@ -24,7 +24,23 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.warc import round_trip
+
+    ship(spark)
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.line_dedup import dedup_digests
+
+    ship(spark)
+    return dedup_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_warc": op3_warc,
+    "op5_line_dedup": op5_line_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op8_quality_rules": op8_quality_rules,
 }
