@@ -31,6 +31,13 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
 
 
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.token_output import digest_rows
+
+    ship(spark)
+    return digest_rows(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkmart.llm.line_dedup import dedup_digests
 
@@ -40,6 +47,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_warc": op3_warc,
+    "op4_token_output": op4_token_output,
     "op5_line_dedup": op5_line_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op8_quality_rules": op8_quality_rules,
