@@ -15,6 +15,13 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.url_filter import judge
+
+    ship(spark)
+    return judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkmart.llm.quality_rules import judge
 
@@ -45,10 +52,27 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.language_id import identify
+
+    ship(spark)
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.html_extract import extract
+
+    ship(spark)
+    return extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op3_warc": op3_warc,
     "op4_token_output": op4_token_output,
     "op5_line_dedup": op5_line_dedup,
     "op2_source_mixing": op2_source_mixing,
+    "op7_url_filter": op7_url_filter,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
+    "op10_html_extract": op10_html_extract,
 }
