@@ -98,3 +98,33 @@ def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int
         out[i:j] = mix64((run[e] - run[s]) * down[s] + (e - s).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
         i = j
     return out
+
+
+def shards(batches, text: int, limit: int):
+    """Record batches regrouped so that column ``text`` holds at most ``limit`` bytes (or one longer text)."""
+    held, size = [], 0
+    for batch in batches:
+        _, offsets = text_bytes(batch.column(text))
+        at = 0
+        while at < batch.num_rows:
+            stop = int(np.searchsorted(offsets, offsets[at] + (limit - size), side="right")) - 1
+            if stop <= at:
+                if held:
+                    yield _joined(held)
+                    held, size = [], 0
+                    continue
+                stop = at + 1
+            held.append(batch.slice(at, stop - at))
+            size += int(offsets[stop] - offsets[at])
+            at = stop
+            if size >= limit:
+                yield _joined(held)
+                held, size = [], 0
+    if held:
+        yield _joined(held)
+
+
+def _joined(batches: list) -> pa.RecordBatch:
+    if len(batches) == 1:
+        return batches[0]
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]

@@ -16,8 +16,16 @@ from sparkmart.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows and bytes per Arrow batch handed to a Python worker.
+ARROW_ROWS = 2000
+ARROW_BYTES = 8 * 1024 * 1024
+
+
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package wherever they start (once per context)."""
+    # Bounded Arrow batches, whatever the length of the texts.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_sparkmart_shipped", False):
         return

@@ -29,7 +29,25 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE dropped) AS BIGI
 FROM j GROUP BY doc_id
 """
 
+_HIT_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+OP6 = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), {_HIT_WORD}) AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), {_HIT_WORD}) AS ws FROM benchmark),
+bw AS (SELECT item, least(10, len(ws)) AS k, ws, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0),
+win AS (SELECT DISTINCT item, k, array_to_string(ws[i:i + k - 1], ' ') AS win FROM bw),
+sizes AS (SELECT DISTINCT k FROM win),
+dw AS (SELECT doc_id, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM w, sizes WHERE len(ws) >= k),
+occ AS (SELECT doc_id, dw.k, i, item FROM dw JOIN win ON dw.k = win.k AND array_to_string(ws[i:i + dw.k - 1], ' ') = win.win),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM occ) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM occ) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_warc": OP3,
     "op5_line_dedup": OP5,
+    "op6_decontamination": OP6,
 }

@@ -15,6 +15,13 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.decontamination import contamination
+
+    ship(spark)
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkmart.llm.url_filter import judge
 
@@ -71,6 +78,7 @@ QUERIES = {
     "op4_token_output": op4_token_output,
     "op5_line_dedup": op5_line_dedup,
     "op2_source_mixing": op2_source_mixing,
+    "op6_decontamination": op6_decontamination,
     "op7_url_filter": op7_url_filter,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
