@@ -46,7 +46,24 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
 FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+OP1 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS MATERIALIZED (
+  SELECT a, b FROM i JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+r AS (SELECT doc_id AS d, doc_id AS c FROM n UNION SELECT e.b, r.c FROM r JOIN e ON r.d = e.a AND r.c < e.b),
+m AS (SELECT d, min(c) AS c FROM r GROUP BY d)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, w.doc_id) AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN m ON w.doc_id = m.d
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard_join": OP1,
     "op3_warc": OP3,
     "op5_line_dedup": OP5,
     "op6_decontamination": OP6,

@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from sparkmart.llm.common import ship, table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.ngram_join import link_components
+
+    ship(spark)
+    return link_components(table(spark, sf_dir, "documents"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkmart.llm.mixing import mix
 
@@ -77,6 +84,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_token_output": op4_token_output,
     "op5_line_dedup": op5_line_dedup,
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_source_mixing": op2_source_mixing,
     "op6_decontamination": op6_decontamination,
     "op7_url_filter": op7_url_filter,
