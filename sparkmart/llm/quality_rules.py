@@ -83,13 +83,16 @@ def base_columns(df: DataFrame, text: str = "text") -> DataFrame:
         F.lit(0),
         lambda acc, x: acc + x,
     )
+    # A filter on the result must not be pushed below this projection: the windows' expressions
+    # would be put into each other and evaluated per element.  The partition id (times zero) holds it.
+    here = F.spark_partition_id() * 0
     work = work.select(
         *[F.col(f"`{c}`") for c in df.columns],
         n.cast("long").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
         _matches(body, SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(F.when(F.size("__at") > 0, covered), F.lit(0)).cast("long").alias("n_repeat_words"),
+        (F.coalesce(F.when(F.size("__at") > 0, covered), F.lit(0)) + here).cast("long").alias("n_repeat_words"),
         F.size("__lines").cast("long").alias("__n_lines"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
