@@ -62,9 +62,36 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, w.doc_id) AS comp
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN m ON w.doc_id = m.d
 """
 
+OP8 = f"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS win
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)),
+d AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS k FROM g) WHERE k > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM d) GROUP BY doc_id),
+st AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, ws, unnest(range(1, len(ws))) AS i FROM w WHERE len(ws) >= 2) WHERE ws[i] = ws[i + 1] GROUP BY doc_id),
+b AS (
+  SELECT w.doc_id, t, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+         len(lines) AS n_lines, coalesce(st.n, 0) AS n_stutter
+  FROM w LEFT JOIN rep ON w.doc_id = rep.doc_id LEFT JOIN st ON w.doc_id = st.doc_id),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR NOT word_chars BETWEEN 2 * n_words AND 20 * n_words OR 10 * n_symbols > n_words
+    OR (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines) OR 5 * n_stutter > n_words
+    OR 2 * (length(t) - length(regexp_replace(t, '\\p{{Lu}}+', '', 'g'))) > length(t) - length(regexp_replace(t, '\\p{{L}}+', '', 'g'))
+    OR 2 * len(list_filter(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+'), lambda x: NOT regexp_matches(x, '\\p{{L}}'))) > n_words
+    OR 10 * len(regexp_extract_all(t, '(?:\\.\\.\\.|…)[ \\t\\r]*(?:\\n|$)')) > 3 * n_lines) AS kept
+FROM f
+"""
+
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard_join": OP1,
     "op3_warc": OP3,
     "op5_line_dedup": OP5,
     "op6_decontamination": OP6,
+    "op8_quality_rules": OP8,
 }

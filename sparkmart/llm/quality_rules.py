@@ -28,6 +28,8 @@ WINDOW = 8
 MAX_REPEAT_PERCENT = 30
 SYMBOLS = r"[#*$%&|<>]"
 HAS_WORD = r"[^\x20\x09-\x0D]"
+NO_LETTERS = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D\p{L}]+(?![^\x20\x09-\x0D])"
+ELLIPSIS = r"(?:\.\.\.|…)[ \t\r]*(?:\n|$)"
 
 #: Bound of the sample on which cost and selectivity are estimated.
 SAMPLE_ROWS = 2000
@@ -42,7 +44,7 @@ class Rule:
 
 
 def _matches(text: Column, pattern: str) -> Column:
-    """Characters of ``text`` that match a one-character pattern."""
+    """Characters of ``text`` within matches of the pattern."""
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
@@ -94,24 +96,23 @@ def base_columns(df: DataFrame, text: str = "text") -> DataFrame:
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         (F.coalesce(F.when(F.size("__at") > 0, covered), F.lit(0)) + here).cast("long").alias("n_repeat_words"),
         F.size("__lines").cast("long").alias("__n_lines"),
+        F.size(F.filter(F.zip_with("__words", F.slice("__words", 2, F.greatest(n, F.lit(1))), lambda a, b: a == b), lambda x: x)).cast("long").alias("__n_stutter"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return work.withColumn("base_failed", failed)
 
 
 #: The production rules.  Thresholds follow published rule sets (mean word
-#: length, symbol-to-word ratio, duplicated lines, share of words with a
-#: letter, share of capitals, lines ending in an ellipsis).
+#: length, symbol-to-word ratio, duplicated lines, stuttered words, share of
+#: capitals, share of words with a letter, lines ending in an ellipsis).
 RULES = (
     Rule("mean_word_length", lambda t: ~F.col("word_chars").between(2 * F.col("n_words"), 20 * F.col("n_words"))),
     Rule("symbols", lambda t: 10 * F.col("n_symbols") > F.col("n_words")),
-    Rule("duplicate_lines", lambda t: 10 * F.col("n_dup_lines") > 3 * F.col("__n_lines")),
-    Rule("capitals", lambda t: 2 * F.regexp_count(t, F.lit(r"\p{Lu}")) > F.regexp_count(t, F.lit(r"\p{L}"))),
-    Rule(
-        "words_with_letters",
-        lambda t: 10 * F.regexp_count(t, F.lit(r"[^\x20\x09-\x0D]*\p{L}[^\x20\x09-\x0D]*")) < 5 * F.col("n_words"),
-    ),
-    Rule("ellipsis_lines", lambda t: 10 * F.regexp_count(t, F.lit(r"(?m)(\.\.\.|…)[ \t\r]*$")) > 3 * F.col("__n_lines")),
+    Rule("duplicate_lines", lambda t: (F.col("n_dup_lines") >= 3) & (10 * F.col("n_dup_lines") > 3 * F.col("__n_lines"))),
+    Rule("stutter", lambda t: 5 * F.col("__n_stutter") > F.col("n_words")),
+    Rule("capitals", lambda t: 2 * _matches(t, r"\p{Lu}+") > _matches(t, r"\p{L}+")),
+    Rule("words_with_letters", lambda t: 2 * F.regexp_count(t, F.lit(NO_LETTERS)) > F.col("n_words")),
+    Rule("ellipsis_lines", lambda t: 10 * F.regexp_count(t, F.lit(ELLIPSIS)) > 3 * F.col("__n_lines")),
 )
 
 
@@ -151,4 +152,4 @@ def judge(df: DataFrame, rules=RULES, text: str = "text", sample_rows: int = SAM
     own = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"}
     df = df.drop(*(c for c in df.columns if c in own))
     ordered = order_rules(df, rules, text, sample_rows)
-    return base_columns(df, text).withColumn("kept", verdict(ordered, text)).drop("__n_lines")
+    return base_columns(df, text).withColumn("kept", verdict(ordered, text)).drop("__n_lines", "__n_stutter")
