@@ -43,7 +43,27 @@ def ship(spark: SparkSession) -> None:
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder of this run below the cluster's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+#: Folders handed out, for ``release``.
+_MADE: list[str] = []
+
+
+def made() -> int:
+    """How many folders were handed out so far."""
+    return len(_MADE)
+
+
+def release(spark: SparkSession, since: int, keep: DataFrame) -> None:
+    """Delete the folders handed out after ``since`` that ``keep`` doesn't read."""
+    read = keep.inputFiles()[:1]
+    for path in _MADE[since:]:
+        if not any(path.rsplit("/", 1)[-1] in f for f in read):
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -12,8 +12,8 @@ Randomness is a hash of the two ids and the seed: reruns agree.
 
 Defined results: null text has size 0 and takes 0 words; null source is a
 source of its own, last in order; a source without words has target 0; an
-empty table gives an empty table; ``doc_id`` identifies a row (repeated rows
-with one id are rounded as separate documents).
+empty table gives an empty table; repeated rows of one doc_id
+share one rounding (the larger); rows with null doc_id take the whole part only.
 """
 
 from __future__ import annotations

@@ -305,7 +305,8 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     if comps is None:
         comps = classes.select(F.col("rep").alias("id"), F.col("rep").alias("comp")).limit(0)
     found = reps.join(comps, (F.col("rep") == F.col("id")) & (F.col("n") > 0), "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", F.when(F.col("n") > 0, F.col("rep")), "doc_id").alias("component_id"))
+    comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", F.when(F.col("n") > 0, F.col("rep")), "doc_id"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"))
 
 
 def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -324,6 +324,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
             flush()
         yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "name": [name], "blocks": [json.dumps(blocks)]})
 
+    root, top = file_system(path)
+    root.create_dir(top, recursive=True)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     shards = dealt.mapInArrow(write, "part int, name string, blocks string").collect()  # a row per task

@@ -12,7 +12,9 @@ manifest, so a lost executor leaves no duplicate records.
 Paths go through Arrow's file systems (local, HDFS, S3, ...), never ``open``.
 
 Defined results: a null payload is empty; a record without a target URI has no
-such header; an empty table gives an archive without records.
+such header; pages with null page_id are responses, rows that repeat a page_id
+refer to that page's response like any other page; an empty table gives an
+archive without records.
 """
 
 from __future__ import annotations
@@ -283,7 +285,7 @@ def page_records(pages: DataFrame, min_bytes: int = REVISIT_BYTES) -> DataFrame:
     rows = rows.join(broadcast_checked(groups, 64), F.col("payload_digest") == F.col("__digest"), "left")
     revisit = F.col("first").isNotNull() & (F.col("first") != F.col("page_id"))
     return rows.select(
-        F.concat(F.lit(URN), F.col("page_id").cast("string")).alias("record_id"),
+        F.concat(F.lit(URN), F.coalesce(F.col("page_id").cast("string"), F.lit(""))).alias("record_id"),
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         F.col("url").alias("target_uri"),
         F.when(revisit, F.concat(F.lit(URN), F.col("first").cast("string"))).alias("refers_to"),
@@ -317,7 +319,7 @@ def round_trip(pages: DataFrame, min_bytes: int = REVISIT_BYTES) -> DataFrame:
     back = read_archive(spark, path)
 
     def page(c):
-        return F.regexp_replace(c, f"^{URN}", "").cast("long")
+        return F.regexp_replace(c, f"^{URN}", "").try_cast("long")
 
     own = F.col("payload").isNotNull()
     return back.select(
