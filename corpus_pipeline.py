@@ -1,8 +1,8 @@
 """The corpus pipeline: quality rules, near duplicates, decontamination, mixing, token output.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
-writes each result as Parquet in the shared folder and hands the reread table
-to the next stage.
+writes each result as Parquet in the shared folder, removes what the stage has
+left there besides, and hands the reread table to the next stage.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.llm import stages
-from sparkmart.llm.common import stored, table
+from sparkmart.llm.common import made, release, stored, table
 
 STAGES = [
     ("quality_rules", stages.quality),
@@ -27,5 +27,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        before = made()
         docs = stored(stage(spark, docs, sf_dir), name)
+        release(spark, before, docs)
     return docs
