@@ -10,8 +10,11 @@ share one of their rarest shingles (of a set of n, the first
 ``n - ceil((1 - eps) n) + 1`` in one global order, rare ones first).  All points
 that list a shingle form a region; regions with the same members are one.
 
+A first step links every point with one pivot, the smallest point of the
+regions it shares most shingles in, if they are near.
+
 Recursion.  In each region pivots are drawn and the distance of the other
-points to them is computed exactly.  A point within ``eps`` of a pivot is
+points to them is computed exactly (bounds from sizes and signatures first).  A point within ``eps`` of a pivot is
 linked with it and belongs to the cell of its nearest one (its Voronoi
 region).  A pair of links can join a cell's point only with points within
 ``2 eps`` of its pivot (triangle inequality), so these boundary points are
@@ -36,9 +39,11 @@ from __future__ import annotations
 from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart.llm.arrowtext import LOWER, hash_spans, mix64, shards, text_bytes, words_of
 from sparkmart.llm.common import broadcast_checked, stored
@@ -52,7 +57,7 @@ SHARD_BYTES = 4 * 1024 * 1024
 CHUNK = 4_000_000
 #: Entries of the broadcast table of frequent shingles (12 MB at most).
 FREQUENT = 1 << 20
-#: Pivots drawn per region in the second round; four times as many in each later one.
+#: Pivots drawn per region in the first round; four times as many in each later one.
 PIVOTS = 16
 
 IS_WORD = np.ones(256, np.bool_)
@@ -84,6 +89,28 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n + (-percent * n) // 100 + 1 if n else 0
 
 
+def signature(hashes: np.ndarray) -> bytes:
+    """Shingles per bucket of the hash range, a byte each (255: so many or more); about a bucket per shingle."""
+    bits = max(6, min(13, len(hashes).bit_length() - 1))
+    counts = np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def overlap_bound(a: bytes, b: bytes) -> int:
+    """At most so many shingles are in both sets, by their signatures; -1 when these can't tell."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if not len(x) or not len(y) or max(x.max(), y.max()) == 255:
+        return -1
+    n = min(len(x), len(y))
+    x, y = (v.reshape(n, -1).sum(axis=1, dtype=np.int64) for v in (x, y))
+    return int(np.minimum(x, y).sum())
+
+
+@F.pandas_udf(T.LongType())
+def _bound(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([overlap_bound(x, y) for x, y in zip(a, b, strict=True)], dtype="int64")
+
+
 def _survey(docs: DataFrame, words: int) -> DataFrame:
     """Rows of two kinds: a document's set (doc_id, n, d1, d2), and (shingle, n) of those met again in a chunk."""
 
@@ -140,13 +167,13 @@ def _frequent(survey: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.
 
 
 def _prefixes(docs: DataFrame, frequent, words: int, percent: int) -> DataFrame:
-    """(id, n, prefix): the rarest shingles of every document with shingles."""
+    """(id, n, prefix, sig): the rarest shingles and the signature of every document with shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
         known, counts = shared.value
         for batch in shards(batches, 1, SHARD_BYTES):
-            ids, sizes, lists = [], [], []
+            ids, sizes, lists, sigs = [], [], [], []
             sets = list(shingle_sets(batch.column(1), words))
             every = np.concatenate(sets)
             weight = np.zeros(len(every), np.int64)
@@ -166,126 +193,146 @@ def _prefixes(docs: DataFrame, frequent, words: int, percent: int) -> DataFrame:
                     ids.append(doc_id)
                     sizes.append(len(s))
                     lists.append(rare.view(np.int64))
+                    sigs.append(signature(s))
             flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
             cuts = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))], ["id", "n", "prefix"]
+                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat)), pa.array(sigs, pa.binary())],
+                ["id", "n", "prefix", "sig"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, prefix array<long>")
+    return docs.mapInArrow(run, "id long, n long, prefix array<long>, sig binary")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(id, set) of the documents in ``ids``."""
+def _sets(docs: DataFrame, wanted: DataFrame, key: str, row_bytes: int, words: int) -> DataFrame:
+    """``wanted`` (key, p, ...) with the shingle set of document ``key``; longs only."""
+    names = wanted.columns
+    wanted = wanted.withColumnRenamed(key, "__key")
+    found = docs.join(broadcast_checked(wanted, row_bytes), F.col("doc_id") == F.col("__key"))
+    found = found.select(*[F.col("__key" if c == key else c).alias(c) for c in names], "text")
+    at = len(names)
 
     def run(batches):
-        for batch in shards(batches, 1, SHARD_BYTES):
-            sets = list(shingle_sets(batch.column(1), words))
+        for batch in shards(batches, at, SHARD_BYTES):
+            sets = list(shingle_sets(batch.column(at), words))
             cuts = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))], ["id", "set"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))], [*names, "set"])
+
+    return found.mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", set array<long>")
 
-    wanted = ids.select(F.col("id").alias("__id"))
-    found = docs.join(broadcast_checked(wanted, 16), F.col("doc_id") == F.col("__id"), "left_semi")
-    return found.mapInArrow(run, "id long, set array<long>")
 
+def _tested(docs: DataFrame, points: DataFrame, pairs: DataFrame, least: int, words: int) -> DataFrame:
+    """``pairs`` (id, p, n, np) of similarity ``least`` percent or more, with the size of their intersection.
 
-def _overlaps(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """``pairs`` (a, b) with the size of their sets' intersection."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = stored(_sets(docs, stored(ids, "pair-ids"), words), "pair-sets").dropDuplicates(["id"])
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-    return both.select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("inter"))
+    Sizes and signatures bound the intersection from above; the sets of the
+    pairs left are made from the texts and meet at the pivot, so every pair
+    moves one set.
+    """
+    pairs = pairs.where(100 * F.least("n", "np") >= least * F.greatest("n", "np"))
+    sigs = points.select(F.col("id").alias("__id"), "sig")
+    pairs = pairs.join(sigs.withColumnRenamed("sig", "sa"), F.col("id") == F.col("__id")).drop("__id")
+    pairs = pairs.join(sigs.withColumnRenamed("sig", "sb"), F.col("p") == F.col("__id")).drop("__id")
+    pairs = pairs.withColumn("bound", _bound("sa", "sb"))
+    possible = (F.col("bound") < 0) | (100 * F.col("bound") >= least * (F.col("n") + F.col("np") - F.col("bound")))
+    left = stored(pairs.where(possible).select("id", "p", "n", "np"), "pairs-left")
+    sets = _sets(docs, left, "id", 40, words)
+    pivots = _sets(docs, left.select("p").distinct(), "p", 16, words).select(F.col("p").alias("q"), F.col("set").alias("pivot"))
+    both = sets.join(pivots, F.col("p") == F.col("q")).withColumn("inter", F.size(F.array_intersect("set", "pivot")).cast("long"))
+    # The smaller value if a doc_id has several texts; one row per pair either way.
+    both = both.groupBy("id", "p", "n", "np").agg(F.min("inter").alias("inter"))
+    return both.where(100 * F.col("inter") >= least * (F.col("n") + F.col("np") - F.col("inter")))
 
 
 def _distinct_regions(members: DataFrame) -> DataFrame:
-    """One region of those with the same members."""
-    code = F.xxhash64("id").cast("decimal(38,0)")
+    """One region of those with the same members; ``weight`` adds up."""
     marks = members.groupBy("region").agg(
-        F.count(F.lit(1)).alias("k"), F.min("id").alias("lo"), F.max("id").alias("hi"), F.sum(code).alias("s"), F.bit_xor(F.xxhash64(F.lit(7), "id")).alias("x")
-    )
-    kept = marks.where("k > 1").groupBy("k", "lo", "hi", "s", "x").agg(F.min("region").alias("region"))
-    kept = stored(kept.select(F.col("region").alias("__region")), "regions")
-    return members.join(broadcast_checked(kept, 16), F.col("region") == F.col("__region"), "left_semi")
+        F.count(F.lit(1)).alias("k"), F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("weight").alias("w"),
+        F.bit_xor(F.xxhash64(F.lit(6), "id")).alias("s"), F.bit_xor(F.xxhash64(F.lit(7), "id")).alias("x"),
+    )
+    kept = marks.where("k > 1").groupBy("k", "lo", "hi", "s", "x").agg(F.min("region").alias("region"), F.sum("w").alias("w"))
+    kept = stored(kept.select(F.col("region").alias("__region"), "w"), "regions")
+    rows = members.join(broadcast_checked(kept, 24), F.col("region") == F.col("__region"))
+    return rows.select("region", "id", "n", F.col("w").alias("weight"))
 
 
 def _first_regions(prefixes: DataFrame) -> DataFrame:
-    """(region, id, n) of the points that share a rare shingle."""
+    """(region, id, n, weight) of the points that share a rare shingle; weight: how many shingles all of them share so."""
     rows = prefixes.select("id", "n", F.explode("prefix").alias("shingle"))
     groups = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("k > 1")
     groups = stored(groups, "shingle-groups")
     sizes = prefixes.select("id", "n")
     # A region of two points is told by its smallest and largest member.
-    two = groups.where("k = 2").select("lo", "hi").distinct()
-    two = two.select(F.xxhash64(F.lit(2), "lo", "hi").alias("region"), F.explode(F.array("lo", "hi")).alias("id"))
-    two = two.join(sizes, "id")
+    two = groups.where("k = 2").groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("weight"))
+    two = two.select(F.xxhash64(F.lit(2), "lo", "hi").alias("region"), F.explode(F.array("lo", "hi")).alias("id"), "weight")
+    two = two.join(sizes, "id").select("region", "id", "n", "weight")
     more = groups.where("k > 2").select(F.col("shingle").alias("__shingle"))
     many = rows.join(broadcast_checked(more, 16), F.col("shingle") == F.col("__shingle"), "left_semi")
-    many = stored(many.select(F.col("shingle").alias("region"), "id", "n"), "shingle-members")
-    return _distinct_regions(many).unionByName(two.select("region", "id", "n"))
+    many = stored(many.select(F.col("shingle").alias("region"), "id", "n", F.lit(1).cast("long").alias("weight")), "shingle-members")
+    return _distinct_regions(many).unionByName(two)
 
 
 def _draw(*cols) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 40)) / float(1 << 40)
 
 
-def find_components(docs: DataFrame, prefixes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id, comp) of the points that are linked with others."""
+def _first_links(docs: DataFrame, points: DataFrame, members: DataFrame, near: int, words: int) -> DataFrame:
+    """Links (u, v) of points with one pivot each: the smallest member of the regions that hold most of their shared shingles."""
+    pivots = members.groupBy("region").agg(F.min(F.struct("id", "n")).alias("p")).select(F.col("region").alias("r"), F.col("p.id").alias("p"), F.col("p.n").alias("np"))
+    pairs = members.join(pivots, F.col("region") == F.col("r")).where("id <> p")
+    pairs = pairs.groupBy("id", "n", "p", "np").agg(F.sum("weight").alias("w"))
+    best = pairs.groupBy("id", "n").agg(F.max(F.struct("w", F.negative("p").alias("m"), "p", "np")).alias("b"))
+    return _tested(docs, points, best.select("id", F.col("b.p").alias("p"), "n", F.col("b.np").alias("np")), near, words).select(F.col("id").alias("u"), F.col("p").alias("v"))
+
+
+def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(id, comp) of the points (id, n, prefix, sig) that are linked with others."""
     near, wide = percent, 2 * percent - 100  # similarities at distance eps and 2 eps
-    members = stored(_first_regions(prefixes), "regions-1")
-    comps, turn = None, 0
+    members = stored(_first_regions(points), "regions-1")
+    comps = components(_first_links(docs, points, members, near, words))
+    turn = 0
     while True:
         turn += 1
-        if comps is not None:
-            known = members.join(comps, "id", "left")
-            members = known.withColumn("comp", F.coalesce("comp", "id"))
-        else:
-            members = members.withColumn("comp", F.col("id"))
+        members = members.select("region", "id", "n").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         # Regions with one component are done; pivots come from all but a region's largest component.
         parts = members.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("k"))
         state = parts.groupBy("region").agg(F.count(F.lit(1)).alias("parts"), F.sum("k").alias("k"), F.max(F.struct("k", "comp")).alias("top"))
         state = state.where("parts > 1").select(F.col("region").alias("r"), F.col("top.comp").alias("top"), (F.col("k") - F.col("top.k")).alias("rest"))
         open_ = stored(members.join(state, F.col("region") == F.col("r")).drop("r"), "open-regions")
         if not open_.limit(1).count():
-            break
+            return comps
         chosen = open_.where("comp <> top")
         order = F.xxhash64(F.lit(turn), "id", "region")
         first = chosen.groupBy("region").agg(F.min(F.struct(order.alias("o"), F.col("id"), F.col("n"), F.col("comp"))).alias("p"))
-        pivots = first.select("region", "p.id", "p.n", "p.comp")
-        if turn > 1:
-            share = float(PIVOTS * 4 ** (turn - 2)) / F.col("rest")
-            drawn = chosen.where(_draw(F.lit(100 + turn), F.col("id"), F.col("region")) < share).select("region", "id", "n", "comp")
-            pivots = pivots.unionByName(drawn).distinct()
+        share = float(PIVOTS * 4 ** (turn - 1)) / F.col("rest")
+        drawn = chosen.where(_draw(F.lit(100 + turn), F.col("id"), F.col("region")) < share).select("region", "id", "n", "comp")
+        pivots = first.select("region", "p.id", "p.n", "p.comp").unionByName(drawn).distinct()
         pivots = stored(pivots.select("region", F.col("id").alias("p"), F.col("n").alias("np"), F.col("comp").alias("cp")), "pivots")
-        # Distances to the region's pivots; sets whose sizes differ too much are beyond 2 eps unseen.
+        # Distances to the region's pivots of other components; what is beyond 2 eps is not listed.
         pairs = open_.join(pivots, "region").where("id <> p and comp <> cp")
-        pairs = pairs.where(100 * F.least("n", "np") >= wide * F.greatest("n", "np"))
         pairs = stored(pairs.select("region", "id", "p", "n", "np"), "pivot-pairs")
-        tested = _overlaps(docs, pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct(), words)
+        ordered = pairs.select(F.greatest("id", "p").alias("id"), F.least("id", "p").alias("p"), F.when(F.col("id") > F.col("p"), F.col("n")).otherwise(F.col("np")).alias("n"), F.when(F.col("id") > F.col("p"), F.col("np")).otherwise(F.col("n")).alias("np"))
+        found = stored(_tested(docs, points, ordered.distinct(), wide, words), "pivot-distances")
+        found = found.select(F.col("id").alias("a"), F.col("p").alias("b"), "inter")
+        near_p = pairs.join(found, (F.greatest("id", "p") == F.col("a")) & (F.least("id", "p") == F.col("b")))
         union_ = F.col("n") + F.col("np") - F.col("inter")
-        near_p = pairs.join(tested, (F.least("id", "p") == F.col("a")) & (F.greatest("id", "p") == F.col("b")))
-        near_p = near_p.where(100 * F.col("inter") >= wide * union_).withColumn("link", 100 * F.col("inter") >= near * union_)
-        near_p = near_p.withColumn("likeness", F.col("inter") / union_).select("region", "id", "p", "n", "link", "likeness")
-        near_p = stored(near_p, "pivot-distances")
+        near_p = near_p.select("region", "id", "p", "n", (100 * F.col("inter") >= near * union_).alias("link"), (F.col("inter") / union_).alias("likeness"))
+        near_p = stored(near_p, "region-distances")
         links = near_p.where("link").select(F.col("id").alias("u"), F.col("p").alias("v")).distinct()
-        if comps is not None:
-            links = links.unionByName(comps.select(F.col("id").alias("u"), F.col("comp").alias("v")))
-        comps = components(links)
         # Next regions: a cell around each pivot that has linked points, with its boundary points; the outer rest.
         homes = near_p.where("link").groupBy("region", "id").agg(F.max_by("p", F.struct("likeness", "p")).alias("p"))
-        cells = homes.select("region", "p").distinct().select(F.col("region").alias("r"), F.col("p").alias("q"))
-        inside = near_p.join(cells, (F.col("region") == F.col("r")) & (F.col("p") == F.col("q")))
+        homes = stored(homes, "homes")
+        cells = homes.select(F.col("region").alias("r"), F.col("p").alias("q")).distinct()
+        inside = near_p.join(cells, (F.col("region") == F.col("r")) & (F.col("p") == F.col("q"))).drop("r", "q")
+        done = pivots.select("region", F.col("p").alias("id"))  # pivots have met their whole region
+        inside = inside.join(done, ["region", "id"], "left_anti")
         inside = inside.select(F.xxhash64(F.lit(3), F.col("region"), F.col("p"), F.lit(turn)).alias("region"), "id", "n")
-        gone = pivots.select("region", F.col("p").alias("id")).unionByName(homes.select("region", "id")).distinct()
-        outer = open_.join(gone, ["region", "id"], "left_anti")
+        outer = open_.join(done.unionByName(homes.select("region", "id")).distinct(), ["region", "id"], "left_anti")
         outer = outer.select(F.xxhash64(F.lit(4), F.col("region"), F.lit(turn)).alias("region"), "id", "n")
-        # Pivots are done with their whole region, cells hold other points only.
-        cell_pivots = pivots.select(F.xxhash64(F.lit(3), F.col("region"), F.col("p"), F.lit(turn)).alias("region"), F.col("region").alias("of"))
-        others = cell_pivots.join(pivots.select(F.col("region").alias("of"), F.col("p").alias("id")), "of").select("region", "id")
-        inside = inside.join(others, ["region", "id"], "left_anti")
-        members = stored(_distinct_regions(stored(inside.unionByName(outer), "next-members")), "next-regions")
-    return comps
+        both = stored(inside.unionByName(outer).withColumn("weight", F.lit(1).cast("long")), "next-members")
+        members = stored(_distinct_regions(both), "next-regions")
+        if links.limit(1).count():
+            comps = components(links.unionByName(comps.select(F.col("id").alias("u"), F.col("comp").alias("v"))))
 
 
 def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -302,8 +349,6 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     prefixes = _prefixes(docs.where(F.col("doc_id").isNotNull()), _frequent(survey), words, percent)
     prefixes = stored(prefixes, "shingle-prefixes").join(broadcast_checked(copies, 16), "id", "left_anti")
     comps = find_components(docs, prefixes, words, percent)
-    if comps is None:
-        comps = classes.select(F.col("rep").alias("id"), F.col("rep").alias("comp")).limit(0)
     found = reps.join(comps, (F.col("rep") == F.col("id")) & (F.col("n") > 0), "left")
     comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", F.when(F.col("n") > 0, F.col("rep")), "doc_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"))

@@ -1,0 +1,77 @@
+"""URL parts, stated rules and mined rules against plain Python."""
+
+import itertools
+import random
+
+from pyspark.sql import functions as F
+
+from sparkmart.llm.url_filter import SITE_RULES, UNWANTED, judge, matches, mine, tokens
+
+URLS = [
+    "https://A.Example.net/en/1?x=1", "http://example.net/en/", "http://example.net/EN/", "http://badexample.com/de/1", "http://example.com/de",
+    "http://x.example.com/de/#f", "http://a.org/fr/1", "http://org/fr/", "http://net", "http://net/", "ftp://y.net?q#f", "no scheme.net/", None, "",
+    "http://", "http://u#a://b.net/", "http://a.fr/org/fr/", "http://É.net/é", "x://y.net//",
+]
+
+
+def brute(url):
+    rest = (url or "").split("://", 1)[1] if "://" in (url or "") else ""
+    cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    host, tail = rest[:cut], rest[cut:]
+    path = tail[: min([tail.find(c) for c in "?#" if c in tail], default=len(tail))]
+    host = host.translate({c: c + 32 for c in range(65, 91)})
+    best = None
+    for _, rule in SITE_RULES:
+        name, _, want = rule.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + want) and len(rule) > len(best or ""):
+            best = rule
+    return host, path, best, dict((r, a) for a, r in SITE_RULES).get(best, "allow")
+
+
+def labels(llm, rows):
+    return llm.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def test_rules(llm):
+    rows = [(i, u, "clash") for i, u in enumerate(URLS)] + [(0, URLS[0], "again"), (None, URLS[1], None)]
+    pages = llm.createDataFrame(rows, "page_id long, url string, host string")
+    for lab in (labels(llm, []), labels(llm, [(0, 1, 0), (0, None, None), (None, 0, 1)])):
+        got = judge(pages, lab).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert (r["host"], r["path"], r["rule"], r["verdict"]) == brute(rows[r["page_id"] if r["page_id"] is not None else 1][1])
+    assert judge(pages.limit(0), labels(llm, [(1, 0, 1)])).count() == 0
+
+
+def test_mined_rules_match_counting(llm):
+    rng = random.Random(3)
+    rows = []
+    for _ in range(600):
+        items = sorted(rng.sample("abcdefgh", rng.randrange(1, 6)))
+        bad = rng.random() < (0.95 if {"a", "b"} <= set(items) else 0.9 if "h" in items else 0.1)
+        rows.append((items + [UNWANTED] if bad else items,))
+    got = {tuple(r["antecedent"]): (round(r["confidence"], 9), round(r["support"], 9)) for r in mine(llm.createDataFrame(rows, "items array<string>"), 0.02, 0.6, 3).collect()}
+    strong = {}
+    for k in (1, 2, 3):
+        for combo in itertools.combinations("abcdefgh", k):
+            has = [r[0] for r in rows if set(combo) <= set(r[0])]
+            bad = sum(UNWANTED in x for x in has)
+            if bad >= max(10, 0.02 * len(rows)) and bad / len(has) >= 0.6:
+                strong[combo] = (round(bad / len(has), 9), round(bad / len(rows), 9))
+    want = {c: v for c, v in strong.items() if not any(set(d) < set(c) and strong[d][0] >= v[0] for d in strong)}
+    assert got == want and ("h",) in got
+
+
+def test_bad_sites_are_blocked(llm):
+    rows = [(i, f"http://{'www.free-bets' if i % 4 == 0 else f's{i % 7}'}.example.com/en/{i}") for i in range(400)]
+    lab = [(i, 0 if i % 4 == 0 else 1, 0) for i in range(0, 300)]
+    out = judge(llm.createDataFrame(rows, "page_id long, url string"), labels(llm, lab))
+    assert {r["page_id"] for r in out.where("verdict = 'block'").collect()} == set(range(0, 400, 4))
+
+
+def test_matching_by_the_rarest_token(llm):
+    pages = llm.createDataFrame([(1, ["a", "b"]), (2, ["b"]), (3, []), (4, ["a", "b", "c"])], "id long, items array<string>")
+    rules = llm.createDataFrame([(["a", "b"],), (["c"],)], "antecedent array<string>")
+    assert sorted((r["id"], *r["antecedent"]) for r in matches(pages, rules).collect()) == [(1, "a", "b"), (4, "a", "b"), (4, "c")]
+    t = llm.createDataFrame([("http://www.free-bets.Example.com/en/12.html?b=1&a#x",)], "url string").select(tokens(F.col("url"))).first()[0]
+    assert {"h:free", "h:bets", "h:free-bets", "p:en", "p:0.html", "q:a", "q:b"} <= set(t)
