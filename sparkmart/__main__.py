@@ -1,9 +1,13 @@
-"""Command line: the three things an operator of the mart runs.
+"""Command line: what an operator of the mart runs.
 
-    python -m sparkmart build  --sf-dir DIR --out WH            # D6: staging, dimensions, fact → snapshots
+    python -m sparkmart build  --sf-dir DIR --out WH            # D6: rebuild staging, dimensions, fact (new versions)
+    python -m sparkmart load   --sf-dir DIR --out WH            # a later load: history, keys and stored lines are kept
     python -m sparkmart sync   --source WH --target TGT         # I2: watermark sync of the four tables
     python -m sparkmart report --warehouse WH [--view monthly|rank] [--out DIR]   # V1 / V2
 
+``--now`` and ``--as-of`` default to the clock.  A printed report has at most
+``--limit`` rows; ``--out`` writes all of them as Parquet.
+
 On a cluster run it through ``spark-submit`` with ``spark.checkpoint.dir`` set;
 locally a session is created for you.
 """
@@ -27,15 +31,27 @@ def _session(master: str | None) -> SparkSession:
     return build_session(master=master or "local[*]")
 
 
+def _params(args):
+    from sparkmart.plans.build import BuildParams
+
+    now = dt.datetime.fromisoformat(args.now) if args.now else dt.datetime.now(dt.UTC).replace(tzinfo=None, microsecond=0)
+    as_of = dt.date.fromisoformat(args.as_of) if args.as_of else now.date()
+    return BuildParams(now=now, as_of=as_of)
+
+
 def cmd_build(spark: SparkSession, args) -> dict:
-    from sparkmart.plans.build import BuildParams, run_build
+    from sparkmart.plans.build import run_build
+    from sparkmart.sources.bindings import Sources
+
+    wh = run_build(Sources(spark, args.sf_dir), _params(args), out_dir=args.out)
+    return {name: df.count() for name, df in wh.tables().items()}
+
+
+def cmd_load(spark: SparkSession, args) -> dict:
+    from sparkmart.plans.build import run_load
     from sparkmart.sources.bindings import Sources
 
-    params = BuildParams(
-        now=dt.datetime.fromisoformat(args.now) if args.now else BuildParams().now,
-        as_of=dt.date.fromisoformat(args.as_of) if args.as_of else BuildParams().as_of,
-    )
-    wh = run_build(Sources(spark, args.sf_dir), params, out_dir=args.out)
+    wh = run_load(Sources(spark, args.sf_dir), _params(args), args.out)
     return {name: df.count() for name, df in wh.tables().items()}
 
 
@@ -45,43 +61,40 @@ def cmd_sync(spark: SparkSession, args) -> list[dict]:
     from sparkmart.sources.sinks import latest_version, read_snapshot
 
     sources = {spec.name: read_snapshot(spark, args.source, spec.name) for spec in schemas.WAREHOUSE_SPECS}
-    targets, versions = {}, []
+    targets = {}
     for spec in schemas.WAREHOUSE_SPECS:
         v = latest_version(spark, args.target, spec.name)
-        versions.append(-1 if v is None else int(v))
-        targets[spec.name] = (
-            read_snapshot(spark, args.target, spec.name, v)
-            if v is not None
-            else spark.createDataFrame([], sources[spec.name].schema)
-        )
-    results = sync.sync_all(sources, targets, out_dir=args.target, version=max(versions) + 1)
+        new = spark.createDataFrame([], sources[spec.name].schema)
+        targets[spec.name] = new if v is None else read_snapshot(spark, args.target, spec.name, v)
+    results = sync.sync_all(sources, targets, out_dir=args.target)
     return [r.asDict() for r in sync.sync_report(spark, results).orderBy("sync_order").collect()]
 
 
 def cmd_report(spark: SparkSession, args) -> list[dict]:
-    from sparkmart.plans.views import monthly_revenue, product_revenue_rank
+    from sparkmart.plans.views import monthly_report, rank_report
     from sparkmart.sources.sinks import read_snapshot
 
     fact = read_snapshot(spark, args.warehouse, "fact_orders")
     if args.view == "monthly":
-        out = monthly_revenue(fact, read_snapshot(spark, args.warehouse, "dim_date")).orderBy("year", "month")
+        out = monthly_report(fact, read_snapshot(spark, args.warehouse, "dim_date"))
     else:
-        out = product_revenue_rank(fact, read_snapshot(spark, args.warehouse, "dim_product")).orderBy("revenue_rank")
+        out = rank_report(fact, read_snapshot(spark, args.warehouse, "dim_product"))
     if args.out:  # large rankings go to files, not through the driver
         out.write.mode("overwrite").parquet(args.out)
         return [{"written": args.out}]
-    return [r.asDict() for r in out.collect()]  # printed: one row per month / product group
+    return [r.asDict() for r in out.limit(args.limit).collect()]
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="sparkmart")
     parser.add_argument("--master", default=None)
     sub = parser.add_subparsers(dest="command", required=True)
-    b = sub.add_parser("build")
-    b.add_argument("--sf-dir", required=True)
-    b.add_argument("--out", required=True)
-    b.add_argument("--now", default=None)
-    b.add_argument("--as-of", default=None)
+    for name in ("build", "load"):
+        b = sub.add_parser(name)
+        b.add_argument("--sf-dir", required=True)
+        b.add_argument("--out", required=True)
+        b.add_argument("--now", default=None, help="load time (default: the clock, UTC)")
+        b.add_argument("--as-of", default=None, help="business date of price changes (default: the day of --now)")
     s = sub.add_parser("sync")
     s.add_argument("--source", required=True)
     s.add_argument("--target", required=True)
@@ -89,10 +102,11 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--warehouse", required=True)
     r.add_argument("--view", choices=("monthly", "rank"), default="monthly")
     r.add_argument("--out", default=None, help="write the view as parquet instead of printing it")
+    r.add_argument("--limit", type=int, default=200, help="rows printed without --out")
     args = parser.parse_args(argv)
     spark = _session(args.master)
-    result = {"build": cmd_build, "sync": cmd_sync, "report": cmd_report}[args.command](spark, args)
-    print(json.dumps(result, default=str))
+    commands = {"build": cmd_build, "load": cmd_load, "sync": cmd_sync, "report": cmd_report}
+    print(json.dumps(commands[args.command](spark, args), default=str))
     return 0
 
 

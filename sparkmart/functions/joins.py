@@ -45,6 +45,5 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> tuple[Dat
     if limit <= 0:
         return df, False
     max_rows = limit // row_width(df)
-    # Count at most max_rows + 1 rows: the check stops early on a big side.
-    rows = df.limit(max_rows + 1).count()
+    rows = df.count()  # one row per task is sent
     return (F.broadcast(df), True) if rows <= max_rows else (df, False)

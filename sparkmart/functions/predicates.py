@@ -64,11 +64,6 @@ def weekday_number(d: str | Column, first_day_of_week: int = 7) -> Column:
     return (F.pmod(F.dayofweek(col(d)) - 1 - F.lit(first_day_of_week), F.lit(7)) + 1).cast("int")
 
 
-def to_money(c: str | Column, precision: int = 12, scale: int = 2) -> Column:
-    """Cast to ``decimal(p, s)``; money never travels as float."""
-    return col(c).cast(f"decimal({precision},{scale})")
-
-
 def ts_literal(value: dt.datetime | dt.date) -> Column:
     """A zone-free timestamp literal (built from text, so neither the Python
     process zone nor the session zone can shift it)."""

@@ -19,10 +19,6 @@ from sparkmart.functions.predicates import ts_literal, weekday_number
 WEEKEND_DAY_NUMBERS = (6, 7)
 
 
-def max_rows(start_year: int, end_year: int) -> int:
-    return 366 * (end_year - start_year + 1)
-
-
 def _attributes(days: DataFrame, start: Column, first_day_of_week: int, now: dt.datetime | None) -> DataFrame:
     d = F.col("full_date")
     dow = weekday_number(d, first_day_of_week)

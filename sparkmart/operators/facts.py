@@ -1,8 +1,7 @@
 """D4 fact load with the three lookups J4 (default key), J5 (as-of) and J6 (calendar).
 
-Join strategy: the calendar has a proven size bound (≤ 366 rows per year) and
-is broadcast.  The facility and product dimensions grow with the data: their
-lookup side (two to four columns) is counted first and broadcast only when
+Join strategy: every dimension's lookup side (two to four columns; the calendar
+too, its years come from the data) is counted first and broadcast only when
 that count proves it fits ``spark.sql.autoBroadcastJoinThreshold``; beyond
 that they are sort-merge joins on the natural key, with AQE splitting a hot
 key on the fact side.  The as-of lookup is an equi-join on the
@@ -79,15 +78,20 @@ def lookup_key_asof(
 def require_keys(df: DataFrame, key_col: str, message: str, show: tuple[str, ...] = ()) -> DataFrame:
     """Fail the job when a required lookup missed (NOT NULL on the fact, G17).
 
-    The check is an expression in the same projection, so it costs nothing
-    extra and cannot be skipped by column pruning (the key is an output).  The
-    error names the offending row through the ``show`` columns.
+    The check is a filter, which a plan keeps even when a later projection
+    drops the key.  The error names an offending row through the ``show``
+    columns; :func:`missing_dates` lists them all.
     """
     detail = F.concat_ws(
         ", ", F.lit(message), *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("NULL"))) for c in show]
     )
-    checked = F.when(F.col(key_col).isNull(), F.raise_error(detail)).otherwise(F.col(key_col))
-    return df.withColumn(key_col, checked.cast("long"))
+    return df.where(F.when(F.col(key_col).isNull(), F.raise_error(detail).cast("boolean")).otherwise(F.lit(True)))
+
+
+def missing_dates(staging_order: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The staged lines whose order date the calendar lacks (NULL dates too)."""
+    days, _ = broadcast_if_small(dim_date.select("full_date"))
+    return staging_order.join(days, F.col("order_date") == F.col("full_date"), "left_anti")
 
 
 def load_fact(
@@ -109,10 +113,7 @@ def load_fact(
     lines = staging_order
     lines = lookup_key(lines, dim_facility, "facility_id", "facility_id_source", "facility_key")
     lines = lookup_key_asof(lines, dim_product, "product_id", "order_date")
-    # The calendar's size is bounded by its year range: broadcast without a count.
-    lines = lookup_key(
-        lines, F.broadcast(dim_date), "order_date", "full_date", "date_key", default=None, size_check=False
-    )
+    lines = lookup_key(lines, dim_date, "order_date", "full_date", "date_key", default=None)
     lines = require_keys(
         lines, "date_key", "order date outside the calendar (dim_date)", show=("order_id", "order_date")
     )

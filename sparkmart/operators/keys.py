@@ -7,7 +7,7 @@ following columns), sorted inside each partition, and numbered there; a tiny
 per-partition count gives each partition its offset.  The numbered frame is
 checkpointed to the shared checkpoint directory first, so the counting pass and
 the numbering pass see the same partitioning even if executors are lost and
-tasks re-run.
+tasks re-run; columns that only order the rows are dropped before it is written.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.session import reliable_checkpoint
+from sparkmart.session import stored_copy
 
 _PID = "_sm_pid"
 _IDX = "_sm_idx"
@@ -28,10 +28,21 @@ _TIE = "_sm_tie"
 ColumnLike = str | Column
 
 
+#: Input bytes per range partition.
+RANGE_BYTES = 128 * 1024 * 1024
+
+
 def _as_col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def range_width(df: DataFrame) -> int:
+    """Range partitions for ``df``: one per ``RANGE_BYTES`` of the files it reads, at least the session's shuffle width."""
+    spark, size = df.sparkSession, 0
+    for name in df.inputFiles():
+        place = spark._jvm.org.apache.hadoop.fs.Path(name)
+        size += place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).getLen()
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
 
 
 def sequence_number(
@@ -40,16 +51,19 @@ def sequence_number(
     out_col: str,
     start: int | Column | DataFrame = 1,
     num_partitions: int | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = start + (0-based position of the row in ``order_by``).
 
     Equivalent to ``start - 1 + row_number() over (order by ...)``.  Ties get
-    distinct but arbitrary numbers, exactly like ``row_number``.
+    distinct but arbitrary numbers, exactly like ``row_number``.  ``keep``: the
+    input columns of the result (default all); the others only order.
     """
     order = [_as_col(c) for c in order_by]
-    # Without an explicit count AQE sizes the range partitions from the real
-    # data (coalescing adjacent ranges keeps the global order intact).
-    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    width = num_partitions or range_width(df)
+    # At the session's own width AQE may merge adjacent ranges (the order stays intact).
+    at_default = width == int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(*order) if at_default else df.repartitionByRange(width, *order)
     numbered = (
         ranged.sortWithinPartitions(*order)
         .withColumn(_PID, F.spark_partition_id())
@@ -57,7 +71,7 @@ def sequence_number(
         # the (already sorted) partition; keep only the position.
         .withColumn(_IDX, F.monotonically_increasing_id() - F.col(_PID).cast("long") * F.lit(1 << 33))
     )
-    numbered = reliable_checkpoint(numbered)
+    numbered = stored_copy(numbered.select(*(keep if keep is not None else df.columns), _PID, _IDX), "numbered")
     # One row per partition: a proven size bound of ``n`` rows.
     offsets = (
         numbered.groupBy(_PID)
@@ -89,13 +103,14 @@ def assign_keys(
     key_col: str,
     start: int | Column | DataFrame = 1,
     num_partitions: int | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """K1: dense surrogate keys ``start, start+1, ...`` in ``order_by`` order.
 
     Existing keys are never touched: callers pass only the rows that need a
     key and ``start = max(existing key) + 1`` (see :func:`next_key`).
     """
-    return sequence_number(new_rows, order_by, key_col, start, num_partitions)
+    return sequence_number(new_rows, order_by, key_col, start, num_partitions, keep)
 
 
 def next_key(dim: DataFrame, key_col: str) -> DataFrame:

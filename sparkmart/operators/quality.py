@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions.joins import broadcast_if_small
+from sparkmart.schemas import TableSpec
 
 
 def check_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -73,7 +74,11 @@ def domain_report(
     decimals: Mapping[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Q4 as an audit: one row per (column, rule) with its violation count."""
-    rules = _domain_rules(lengths, decimals or {})
+    return _counted(df, table, _domain_rules(lengths, decimals or {}))
+
+
+def _counted(df: DataFrame, table: str, rules: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """One aggregate over ``df``; a row per (column, rule)."""
     counts = df.agg(*[F.sum(cond.cast("long")).alias(f"_r{i}") for i, (_, _, cond) in enumerate(rules)])
     stack = F.explode(
         F.array(
@@ -91,17 +96,26 @@ def domain_report(
     )
 
 
-def null_report(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
-    """Q1 as an audit: NULL count per required column, one pass."""
-    counts = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(f"_n{i}") for i, c in enumerate(cols)])
-    stack = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("v")) for i, c in enumerate(cols)])
-    ).alias("r")
-    return counts.select(stack).select(
-        F.lit(table).alias("table_name"),
-        F.col("r.column_name").alias("column_name"),
-        F.coalesce(F.col("r.v"), F.lit(0)).cast("long").alias("null_count"),
+def spec_violations(df: DataFrame, spec: TableSpec, table: str | None = None) -> DataFrame:
+    """Q1 and Q4 of a declared table in one pass: (table_name, column_name, rule, violations > 0)."""
+    rules = [(c, "not null", F.col(c).isNull()) for c in spec.required if c in df.columns]
+    rules += _domain_rules(
+        {c: n for c, n in spec.lengths.items() if c in df.columns}, {c: p for c, p in spec.decimals.items() if c in df.columns}
     )
+    return _counted(df, table or spec.name, rules).where(F.col("violations") > 0)
+
+
+def gate(df: DataFrame, spec: TableSpec, parents: Mapping[str, tuple[DataFrame, str]] | None = None) -> None:
+    """Q1–Q4 before ``df`` is used as ``spec.name``: required columns, widths, unique key, parents.
+
+    ``parents``: child column → (parent table, parent key).
+    """
+    fail_if_any(spec_violations(df, spec), f"{spec.name}: required columns and widths")
+    if all(k in df.columns for k in spec.key):
+        fail_if_any(check_unique(df, spec.key), f"{spec.name}: unique {list(spec.key)}")
+    for column, (parent, key) in (parents or {}).items():
+        orphans = check_foreign_key(df.select(column), parent, column, key)
+        fail_if_any(orphans.groupBy(column).agg(F.count(F.lit(1)).alias("n")), f"{spec.name}: {column} without {key}")
 
 
 class QualityError(RuntimeError):

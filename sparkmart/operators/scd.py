@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.predicates import UNKNOWN_KEY, changed, differs, ts_literal
 from sparkmart.operators.keys import assign_keys, next_key
-from sparkmart.session import reliable_checkpoint
+from sparkmart.session import stored_copy
 from sparkmart.sources.sinks import assert_unique
 
 FACILITY_ATTRS = ("facility_name", "facility_type", "country_name", "region_name")
@@ -83,6 +83,15 @@ def empty_dim_product(spark: SparkSession, now: dt.datetime | None = None) -> Da
     return unknown_product(spark, now)
 
 
+def _with_ids(staging: DataFrame, staging_key: str, attrs: Sequence[str], what: str) -> DataFrame:
+    """Staging keyed by ``_sm_nk`` with its attributes as ``_sm_s_*``; a NULL id raises."""
+    missing = F.raise_error(F.lit(f"{what} staging row without an id"))
+    return staging.select(
+        F.when(F.col(staging_key).isNull(), missing).otherwise(F.col(staging_key)).cast("long").alias("_sm_nk"),
+        *[F.col(a).alias(f"_sm_s_{a}") for a in attrs],
+    )
+
+
 # --- D1 -----------------------------------------------------------------------
 def scd1_merge(
     dim: DataFrame,
@@ -100,29 +109,33 @@ def scd1_merge(
       ``last_updated`` moves to ``now`` only if some attribute differs.
     * id only in the dimension: untouched (nothing is ever deleted, G6).
     * id only in staging: inserted with the next surrogate key.
+
+    A NULL id in staging is an error: it would match nothing and be inserted
+    again on every run.
     """
     stamp = ts_literal(now)
-    d = dim.alias("d")
-    # One staging row per id (G14); the check shares the join's shuffle.
-    s = assert_unique(staging.select(F.col(staging_key).alias("_nk"), *attrs), ["_nk"], "Type-1 staging").alias("s")
-    joined = d.join(s, F.col(f"d.{natural_key}") == F.col("s._nk"), "full_outer")
-    in_dim = F.col(f"d.{surrogate_key}").isNotNull()
-    in_stg = F.col("s._nk").isNotNull()
+    # One staging row per id.
+    s = assert_unique(_with_ids(staging, staging_key, attrs, "Type-1"), ["_sm_nk"], "Type-1 staging")
+    joined = dim.join(s, F.col(natural_key) == F.col("_sm_nk"), "full_outer")
+    if materialize:  # both halves below read it
+        joined = stored_copy(joined, "type1-join")
+    in_dim = F.col(surrogate_key).isNotNull()
+    in_stg = F.col("_sm_nk").isNotNull()
 
     any_diff = None
     for a in attrs:
-        diff = differs(f"d.{a}", f"s.{a}")
+        diff = differs(a, f"_sm_s_{a}")
         any_diff = diff if any_diff is None else any_diff | diff
 
     kept = joined.where(in_dim).select(
-        F.col(f"d.{surrogate_key}").alias(surrogate_key),
-        F.col(f"d.{natural_key}").alias(natural_key),
-        *[F.when(in_stg, F.col(f"s.{a}")).otherwise(F.col(f"d.{a}")).alias(a) for a in attrs],
-        F.when(in_stg & any_diff, stamp).otherwise(F.col("d.last_updated")).alias("last_updated"),
+        surrogate_key,
+        natural_key,
+        *[F.when(in_stg, F.col(f"_sm_s_{a}")).otherwise(F.col(a)).alias(a) for a in attrs],
+        F.when(in_stg & any_diff, stamp).otherwise(F.col("last_updated")).alias("last_updated"),
     )
     fresh = joined.where(~in_dim).select(
-        F.col("s._nk").alias(natural_key),
-        *[F.col(f"s.{a}").alias(a) for a in attrs],
+        F.col("_sm_nk").alias(natural_key),
+        *[F.col(f"_sm_s_{a}").alias(a) for a in attrs],
         stamp.alias("last_updated"),
     )
     keyed = assign_keys(fresh, [natural_key], surrogate_key, start=next_key(dim, surrogate_key))
@@ -163,17 +176,7 @@ def scd2_merge(
     stamp = ts_literal(now)
     nk = F.col(natural_key)
     # Staging keyed by the natural key; a NULL or repeated id is an error.
-    stg = assert_unique(
-        staging.select(
-            F.when(F.col(staging_key).isNull(), F.raise_error(F.lit("Type-2 staging row without an id")))
-            .otherwise(F.col(staging_key))
-            .cast("long")
-            .alias("_sm_nk"),
-            *[F.col(a).alias(f"_sm_s_{a}") for a in attrs],
-        ),
-        ["_sm_nk"],
-        "Type-2 staging",
-    )
+    stg = assert_unique(_with_ids(staging, staging_key, attrs, "Type-2"), ["_sm_nk"], "Type-2 staging")
 
     # Step 1: every version meets its product's staging row (left join on the
     # natural key: a product with very many versions is split by AQE's skew
@@ -190,6 +193,8 @@ def scd2_merge(
         "last_updated": F.when(expire, stamp).otherwise(F.col("last_updated")),
     }
     versions = joined.select(*[updates.get(c, F.col(c)).alias(c) for c in dim.columns])
+    if materialize:  # read by the count of current versions and by the result
+        versions = stored_copy(versions, "type2-versions")
 
     # Per product after step 1: does a current version remain?  A grouped
     # aggregate (partial aggregation first), on the join's partitioning.
@@ -220,12 +225,7 @@ def scd2_merge(
 
 def _snapshot(dim: DataFrame, materialize: bool) -> DataFrame:
     """The merged dimension is the new version of a stored table: materialise
-    it once (reliable checkpoint) so the size checks, the fact lookups, the
+    it once so the size checks, the fact lookups, the
     next merge and the reports read it instead of re-running the merge chain,
     and lineage stays short."""
-    return reliable_checkpoint(dim) if materialize else dim
-
-
-def current_rows(dim: DataFrame) -> DataFrame:
-    """The current version of each product."""
-    return dim.where(F.col("is_current"))
+    return stored_copy(dim, "dimension") if materialize else dim

@@ -14,31 +14,36 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from sparkmart.functions.predicates import ts_literal
 from sparkmart.schemas import WAREHOUSE_SPECS, TableSpec
 from sparkmart.sources.incremental import read_since, watermark
-from sparkmart.session import reliable_checkpoint
+from sparkmart.session import stored_copy
 from sparkmart.sources.sinks import upsert, upsert_partitions, write_snapshot
 
 
+#: Stored layout of the tables: the fact has a directory per calendar day.
+FACT_LAYOUT = {"fact_orders": ("date_key",)}
+
+
 @dataclass
 class SyncResult:
     table: str
     watermark: dt.datetime
     delta: DataFrame
-    target: DataFrame  # the upserted target (lazy)
+    target: DataFrame  # the upserted target (lazy); the old one when nothing is newer
+    rows: int
 
 
 def sync_table(
     source: DataFrame, target: DataFrame, spec: TableSpec, inclusive: bool = False
 ) -> SyncResult:
-    """One table.  An empty delta leaves the target as it was."""
+    """One table.  The delta is stored once; an empty one leaves the target as it was."""
     key_col = spec.key[0] if spec.unknown_key is not None else None
     wm = watermark(target, spec.ts_col, key_col)
-    delta = read_since(source, spec.ts_col, wm, target.columns, inclusive)
-    return SyncResult(spec.name, wm, delta, upsert(target, delta, list(spec.key)))
+    delta = stored_copy(read_since(source, spec.ts_col, wm, target.columns, inclusive), "delta")
+    rows = delta.count()
+    merged = upsert(target, delta, list(spec.key)) if rows else target
+    return SyncResult(spec.name, wm, delta, merged, rows)
 
 
 def sync_all(
@@ -46,33 +51,23 @@ def sync_all(
     targets: Mapping[str, DataFrame],
     specs: Sequence[TableSpec] = WAREHOUSE_SPECS,
     out_dir: str | None = None,
-    version: str | int = "0",
+    partition_by: Mapping[str, Sequence[str]] = FACT_LAYOUT,
 ) -> list[SyncResult]:
-    """Every table, parents before children; optionally write snapshots."""
+    """Every table, parents before children; with ``out_dir`` each table
+    that has newer rows gets a new version there, in its stored layout."""
     results = []
     for spec in specs:
         result = sync_table(sources[spec.name], targets[spec.name], spec)
-        if out_dir is not None:
-            write_snapshot(result.target, out_dir, spec.name, version)
+        if out_dir is not None and result.rows:
+            write_snapshot(result.target, out_dir, spec.name, partition_by=partition_by.get(spec.name))
         results.append(result)
     return results
 
 
 def sync_report(spark: SparkSession, results: Sequence[SyncResult]) -> DataFrame:
     """I2's log as a DataFrame: (sync_order, table_name, watermark, rows_synced)."""
-    parts = [
-        r.delta.agg(F.count(F.lit(1)).cast("long").alias("rows_synced")).select(
-            F.lit(i + 1).alias("sync_order"),
-            F.lit(r.table).alias("table_name"),
-            ts_literal(r.watermark).alias("watermark"),
-            "rows_synced",
-        )
-        for i, r in enumerate(results)
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = [(i + 1, r.table, r.watermark, r.rows) for i, r in enumerate(results)]
+    return spark.createDataFrame(rows, "sync_order int, table_name string, watermark timestamp_ntz, rows_synced long")
 
 
 def sync_stored_table(
@@ -93,7 +88,7 @@ def sync_stored_table(
     target = spark.read.parquet(target_path)
     key_col = spec.key[0] if spec.unknown_key is not None else None
     wm = watermark(target, spec.ts_col, key_col)
-    delta = reliable_checkpoint(read_since(source, spec.ts_col, wm, target.columns, inclusive))
+    delta = stored_copy(read_since(source, spec.ts_col, wm, target.columns, inclusive), "delta")
     n = delta.count()
     if n == 0:  # nothing newer: leave the target as it is
         return wm, 0, []

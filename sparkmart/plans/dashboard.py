@@ -1,9 +1,9 @@
 """The sales dashboard's measures, plus U1/A6 row counts.
 
-Every measure is an aggregate over the joined star; slicers (B0) are filters
-applied before aggregation, so Catalyst pushes the date range and the
-geography into the dimension side of the joins (and the calendar range into
-the fact's date_key via the broadcast join).
+Every measure is an aggregate over the fact joined to the dimensions it uses;
+slicers (B0) are filters applied before aggregation, so Catalyst pushes the
+date range and the geography into the dimension side of the joins (and the
+calendar range into the fact's date_key via the broadcast join).
 """
 
 from __future__ import annotations
@@ -11,29 +11,33 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions.joins import broadcast_if_small
 from sparkmart.functions.predicates import known
 
 
-def sales_star(fact: DataFrame, dim_date: DataFrame, dim_facility: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """The fact joined to its three dimensions (J3), columns the visuals use.
+FACT_COLUMNS = ("date_key", "facility_key", "product_key", "order_id", "quantity", "unit_price_sold", "line_total")
+DIM_COLUMNS = {
+    "date": ("date_key", "full_date", "year", "month"),
+    "facility": ("facility_key", "facility_name", "country_name", "region_name"),
+    "product": ("product_key", "product_name", "category_name"),
+}
 
-    The calendar is broadcast (bounded by its years); the facility and product
-    sides are broadcast only when a count proves them small, otherwise they
-    are sort-merge joins on the surrogate key.
+
+def sales_star(fact: DataFrame, date: DataFrame | None = None, facility: DataFrame | None = None, product: DataFrame | None = None) -> DataFrame:
+    """The fact joined (J3) to the dimensions given: those that a visual's measure or slicers use.
+
+    Each dimension side is broadcast only when a count proves it small,
+    otherwise it is a sort-merge join on the surrogate key.
     """
-    d = dim_date.select("date_key", "full_date", "year", "month")
-    f, _ = broadcast_if_small(dim_facility.select("facility_key", "facility_name", "country_name", "region_name"))
-    p, _ = broadcast_if_small(dim_product.select("product_key", "product_name", "category_name"))
-    return (
-        fact.select("date_key", "facility_key", "product_key", "order_id", "quantity", "unit_price_sold", "line_total")
-        .join(F.broadcast(d), "date_key")
-        .join(f, "facility_key")
-        .join(p, "product_key")
-    )
+    star = fact.select(*FACT_COLUMNS)
+    for name, dim in (("date", date), ("facility", facility), ("product", product)):
+        if dim is not None:
+            side, _ = broadcast_if_small(dim.select(*DIM_COLUMNS[name]))
+            star = star.join(side, DIM_COLUMNS[name][0])
+    return star
 
 
 def apply_slicers(
@@ -90,15 +94,13 @@ def sales_by_country(star: DataFrame) -> DataFrame:
 def revenue_by_category(star: DataFrame) -> DataFrame:
     """Revenue per category and its share of the total.
 
-    The total is a scalar subquery (one global aggregate, evaluated once).
+    The total is the sum of the grouped rows (one row per category); sums stay
+    decimal, only the share is a double.
     """
-    by_cat = star.groupBy("category_name").agg(F.sum("line_total").alias("revenue"))
-    total = star.agg(F.sum("line_total").cast("double").alias("_total")).scalar()
-    return by_cat.select(
-        "category_name",
-        F.col("revenue").cast("decimal(22,2)").alias("revenue"),
-        F.round(F.col("revenue").cast("double") / F.nullif(total, F.lit(0.0)), 6).alias("revenue_share"),
-    )
+    by_cat = star.groupBy("category_name").agg(F.sum("line_total").cast("decimal(22,2)").alias("revenue"))
+    total = F.sum("revenue").over(Window.partitionBy())
+    share = F.col("revenue").cast("double") / F.nullif(total.cast("double"), F.lit(0.0))
+    return by_cat.select("category_name", "revenue", F.round(share, 6).alias("revenue_share"))
 
 
 def top_products(star: DataFrame, n: int = 5) -> DataFrame:
@@ -129,7 +131,7 @@ def units_vs_price(star: DataFrame) -> DataFrame:
         .groupBy("product_name", "category_name")
         .agg(
             F.sum("quantity").cast("long").alias("units_sold"),
-            F.round(F.avg(F.col("unit_price_sold").cast("double")), 6).alias("avg_unit_price"),
+            F.round(F.sum("unit_price_sold").cast("double") / F.count("unit_price_sold"), 6).alias("avg_unit_price"),
         )
     )
 

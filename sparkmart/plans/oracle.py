@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from sparkmart.plans import scenarios as S
 from sparkmart.plans.build import REPRICE_FACTOR, REPRICED_PRODUCTS, RENAMED_FACILITY
-from sparkmart.plans.queries import SLICER_FROM, SLICER_REGIONS, SLICER_TO
+from sparkmart.plans.queries import CALENDAR_YEARS, SLICER_COUNTRIES, SLICER_FACILITIES, SLICER_FROM, SLICER_REGIONS, SLICER_TO
 from sparkmart.sources.bindings import LINE_ORDER
 
 NOW = f"TIMESTAMP '{S.NOW.isoformat(sep=' ')}'"
@@ -92,14 +92,15 @@ cte(
 _LINE_COLS = (
     "CAST(l.l_orderkey AS BIGINT) AS order_id, CAST(l.l_linenumber AS BIGINT) AS line_number, "
     "CAST(l.l_partkey AS BIGINT) AS product_id, CAST(l.l_quantity AS INTEGER) AS quantity, "
-    "CAST(p.p_retailprice AS DECIMAL(10,2)) AS unit_price_sold, CAST(l.l_extendedprice AS DECIMAL(12,2)) AS line_total"
+    "COALESCE(CAST(p.p_retailprice AS DECIMAL(10,2)), CAST(l.l_extendedprice / NULLIF(l.l_quantity, 0) AS DECIMAL(10,2))) "
+    "AS unit_price_sold, CAST(l.l_extendedprice AS DECIMAL(12,2)) AS line_total"
 )
 cte(
     "src_line",
     f"SELECT ROW_NUMBER() OVER (ORDER BY {', '.join('l.' + c for c in LINE_ORDER)}) AS order_line_id, {_LINE_COLS} "
-    "FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey",
+    "FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey",
 )
-cte("src_line_unkeyed", f"SELECT {_LINE_COLS} FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey")
+cte("src_line_unkeyed", f"SELECT {_LINE_COLS} FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey")
 
 # --- staging extracts (E1–E3) ------------------------------------------------------
 cte(
@@ -319,26 +320,43 @@ cte(
     "prod2",
 )
 
+# --- second load: orders before SYNCED_UNTIL, then all, with edited staging ----------
+_LOAD_KEY = "ROW_NUMBER() OVER (ORDER BY order_id, product_id, quantity, line_total)"
+cte("lines_1", f"SELECT {_LOAD_KEY} AS order_line_id, * FROM stg_order_unkeyed WHERE order_date < {SYNCED_UNTIL}", "stg_order_unkeyed")
+cte(
+    "lines_2",
+    f"SELECT (SELECT COUNT(*) FROM lines_1) + {_LOAD_KEY} AS order_line_id, * FROM stg_order_unkeyed WHERE order_date >= {SYNCED_UNTIL}",
+    "stg_order_unkeyed",
+    "lines_1",
+)
+cte("start_1", f"SELECT make_date(MIN(year(order_date)), 1, 1) AS d FROM src_order WHERE order_date < {SYNCED_UNTIL}", "src_order")
+scd2_sql("prod_first", "prod0", "stg_product", AS_OF, NOW, "(SELECT d FROM start_1)")
+CTES["prod_first_new"] = (CTES["prod_first_new"][0], CTES["prod_first_new"][1] + ("start_1",))
+scd2_sql("prod_load", "prod_first", "stg_product_edit", AS_OF, NOW, "(SELECT d FROM start_1)")
+CTES["prod_load_new"] = (CTES["prod_load_new"][0], CTES["prod_load_new"][1] + ("start_1",))
+fact_sql("load_1", "lines_1", "fac1", "prod_first", "dim_date", NOW, keyed=True)
+fact_sql("load_2", "lines_2", "fac2", "prod_load", "dim_date", NOW, keyed=True)
+
 # --- Type 1 scenario ------------------------------------------------------------------
 cte(
     "scd1_before",
     f"SELECT facility_id + 1 AS facility_key, facility_id AS facility_id_source, "
     f"facility_name, facility_type, country_name, region_name, {EARLIER} AS last_updated FROM stg_facility "
-    f"WHERE facility_type NOT IN ({_in([S.FAC_NEW_SEGMENT, S.FAC_NEVER_SEGMENT])}) "
+    f"WHERE facility_type <> {_q(S.FAC_NEW_SEGMENT)} "
     f"UNION ALL {_UNK_FAC.format(ts=EARLIER)}",
     "stg_facility",
 )
 cte(
-    "scd1_stg",
+    "fac_edited",
     "SELECT facility_id, "
     f"CASE WHEN facility_type = {_q(S.FAC_RENAMED_TYPE)} THEN 'Renamed ' || facility_name ELSE facility_name END "
     "AS facility_name, facility_type, "
     f"CASE WHEN region_name = {_q(S.FAC_NO_COUNTRY_REGION)} THEN NULL ELSE country_name END AS country_name, "
     f"CASE WHEN region_name = {_q(S.FAC_NO_COUNTRY_REGION)} THEN NULL ELSE region_name END AS region_name, "
-    "source_load_date FROM stg_facility "
-    f"WHERE facility_type NOT IN ({_in([S.FAC_ABSENT_SEGMENT, S.FAC_NEVER_SEGMENT])})",
+    "source_load_date FROM stg_facility",
     "stg_facility",
 )
+cte("scd1_stg", f"SELECT * FROM fac_edited WHERE facility_type <> {_q(S.FAC_ABSENT_SEGMENT)}", "fac_edited")
 scd1_sql("scd1_after", "scd1_before", "scd1_stg")
 
 # --- Type 2 scenario ------------------------------------------------------------------
@@ -349,7 +367,7 @@ cte(
     f"product_name, category_name, unit_price, is_active, {SCD2_START} AS row_start_date, "
     f"CASE WHEN {_closed} THEN {CLOSED_END} ELSE CAST(NULL AS DATE) END AS row_end_date, "
     f"NOT ({_closed}) AS is_current, {EARLIER} AS last_updated FROM stg_product "
-    f"WHERE category_name NOT IN ({_in([S.PROD_NEW_CATEGORY, S.PROD_NEVER_CATEGORY])}) "
+    f"WHERE category_name <> {_q(S.PROD_NEW_CATEGORY)} "
     f"UNION ALL {_UNK_PROD.format(ts=EARLIER)}",
     "stg_product",
 )
@@ -362,18 +380,20 @@ cte(
     f"THEN CAST(unit_price * {S.PROD_REPRICE_FACTOR} AS DECIMAL(10,2)) "
     f"WHEN suffix(product_name, {_q(S.PROD_NULL_PRICE_SUFFIX)}) THEN CAST(NULL AS DECIMAL(10,2)) "
     "ELSE unit_price END AS unit_price, is_active, source_load_date FROM stg_product "
-    f"WHERE category_name NOT IN ({_in([S.PROD_ABSENT_CATEGORY, S.PROD_NEVER_CATEGORY])})",
+    f"WHERE category_name <> {_q(S.PROD_ABSENT_CATEGORY)}",
     "stg_product",
 )
 scd2_sql("scd2_after", "scd2_before", "scd2_stg", AS_OF, NOW, SCD2_START)
-fact_sql("fact_scenario", "stg_order", "scd1_after", "scd2_after", "dim_date", NOW, keyed=True)
+cte("fac_loaded", f"SELECT * FROM scd1_after WHERE facility_type <> {_q(S.FAC_NEVER_SEGMENT)}", "scd1_after")
+cte("prod_loaded", f"SELECT * FROM scd2_after WHERE category_name IS DISTINCT FROM {_q(S.PROD_NEVER_CATEGORY)}", "scd2_after")
+fact_sql("fact_scenario", "stg_order", "fac_loaded", "prod_loaded", "dim_date", NOW, keyed=True)
 
 # --- incremental scenario -------------------------------------------------------------------
 fact_sql(
     "sync_source_fact",
     "stg_order",
-    "scd1_after",
-    "scd2_after",
+    "fac_loaded",
+    "prod_loaded",
     "dim_date",
     f"CASE WHEN o.quantity >= {S.CORRECTED_MIN_QTY} THEN {NOW} ELSE CAST(o.order_date AS TIMESTAMP) END",
     keyed=True,
@@ -388,8 +408,8 @@ cte(
 fact_sql(
     "sync_target_fact",
     "stg_order_stale",
-    "scd1_after",
-    "scd2_after",
+    "fac_loaded",
+    "prod_loaded",
     "dim_date",
     "CAST(o.order_date AS TIMESTAMP)",
     keyed=True,
@@ -455,7 +475,8 @@ def oracle_sql() -> dict[str, str]:
     prod_len = schemas.DIM_PRODUCT_SPEC.lengths
     prod_dec = schemas.DIM_PRODUCT_SPEC.decimals
     cte("raw_line_total", "SELECT l_extendedprice AS line_total FROM lineitem")
-    return {
+    cte("raw_lines", "SELECT 1 AS one FROM lineitem")
+    return _with_reports({
         "q_incremental_scan": query("SELECT * FROM delta_fact_orders", "delta_fact_orders"),
         "q_upsert_fact": query("SELECT * FROM upserted_fact_orders", "upserted_fact_orders"),
         "q_upsert_facility": query("SELECT * FROM upserted_dim_facility", "upserted_dim_facility"),
@@ -484,10 +505,10 @@ def oracle_sql() -> dict[str, str]:
         "q_asof_product_join": query(
             "SELECT o.order_id, o.order_date, o.product_id, o.quantity, o.line_total, "
             "COALESCE(p.product_key, -1) AS product_key FROM stg_order_unkeyed o "
-            "LEFT JOIN scd2_after p ON o.product_id = p.product_id_source AND o.order_date >= p.row_start_date "
+            "LEFT JOIN prod_loaded p ON o.product_id = p.product_id_source AND o.order_date >= p.row_start_date "
             "AND (o.order_date < p.row_end_date OR p.row_end_date IS NULL)",
             "stg_order_unkeyed",
-            "scd2_after",
+            "prod_loaded",
         ),
         "q_fact_unknown_members": query("SELECT * FROM fact_scenario", "fact_scenario"),
         "q_fact_load": query("SELECT * FROM fact_first", "fact_first"),
@@ -540,7 +561,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "q_units_vs_price": query(
             "SELECT product_name, category_name, CAST(SUM(quantity) AS BIGINT) AS units_sold, "
-            "ROUND(AVG(CAST(unit_price_sold AS DOUBLE)), 6) AS avg_unit_price FROM star WHERE product_key <> -1 "
+            "ROUND(CAST(SUM(unit_price_sold) AS DOUBLE) / COUNT(unit_price_sold), 6) AS avg_unit_price FROM star WHERE product_key <> -1 "
             "GROUP BY product_name, category_name",
             "star",
         ),
@@ -554,7 +575,7 @@ def oracle_sql() -> dict[str, str]:
                     ("product", "src_product"),
                     ("facility", "src_facility"),
                     ("purchase_order", "src_order"),
-                    ("order_line", "src_line_unkeyed"),
+                    ("order_line", "raw_lines"),
                 )
             ),
             "src_region",
@@ -563,16 +584,16 @@ def oracle_sql() -> dict[str, str]:
             "src_product",
             "src_facility",
             "src_order",
-            "src_line_unkeyed",
+            "raw_lines",
         ),
         "q_dq_not_null": query(
             "SELECT *, concat_ws(','," + ", ".join(
                 f"CASE WHEN {c} IS NULL THEN '{c}' END"
                 for c in ("facility_id", "facility_name", "facility_type", "country_name", "region_name")
-            ) + ") AS null_columns FROM scd1_stg "
+            ) + ") AS null_columns FROM fac_edited "
             "WHERE facility_id IS NULL OR facility_name IS NULL OR facility_type IS NULL OR country_name IS NULL "
             "OR region_name IS NULL",
-            "scd1_stg",
+            "fac_edited",
         ),
         "q_dq_unique": query(
             "SELECT order_id, line_number, CAST(COUNT(*) AS BIGINT) AS duplicate_count FROM src_line_unkeyed "
@@ -582,9 +603,9 @@ def oracle_sql() -> dict[str, str]:
         "q_dq_foreign_key": query(
             "SELECT o.order_id, o.order_date, o.facility_id, o.product_id, o.line_total FROM stg_order_unkeyed o "
             "WHERE o.facility_id IS NOT NULL AND NOT EXISTS "
-            "(SELECT 1 FROM scd1_after f WHERE f.facility_id_source = o.facility_id)",
+            "(SELECT 1 FROM fac_loaded f WHERE f.facility_id_source = o.facility_id)",
             "stg_order_unkeyed",
-            "scd1_after",
+            "fac_loaded",
         ),
         "q_dq_domain": query(
             " UNION ALL ".join(
@@ -596,4 +617,42 @@ def oracle_sql() -> dict[str, str]:
             "stg_product",
             "raw_line_total",
         ),
-    }
+    })
+
+
+def _with_reports(sql: dict[str, str]) -> dict[str, str]:
+    """The ordered reports, the stored forms and the loads, from the statements they share."""
+    sql["q_sync_stored"] = sql["q_upsert_fact"]
+    sql["q_monthly_report"] = sql["q_monthly_revenue"] + " ORDER BY year, month"
+    sql["q_rank_report"] = sql["q_product_revenue_rank"] + " ORDER BY revenue_rank, product_name, category_name"
+    sql["q_second_load"] = query("SELECT * FROM load_1 UNION ALL SELECT * FROM load_2", "load_1", "load_2")
+    sql["q_second_load_product"] = query("SELECT * FROM prod_load", "prod_load")
+    tables = (
+        ("raw_facility", "stg_facility"), ("raw_product", "stg_product"), ("raw_order", "stg_order_unkeyed"), ("dim_date", "dim_date"),
+        ("dim_facility", "fac2"), ("dim_product", "prod2"), ("fact_orders", "fact_report"),
+    )
+    sql["q_snapshot_rebuild"] = query(
+        " UNION ALL ".join(
+            f"SELECT {_q(t)} AS table_name, {v} AS version, CAST(COUNT(*) AS BIGINT) AS row_count FROM {c}" for t, c in tables for v in (0, 1)
+        ),
+        *[c for _, c in tables],
+    )
+    y0, y1 = CALENDAR_YEARS
+    days = calendar_sql(NOW).replace("FROM years", f"FROM (SELECT {y0} AS y0, {y1} AS y1)")
+    sql["q_calendar_years"] = query(
+        f"SELECT c.*, coalesce(o.n, 0) AS n_orders FROM ({days}) c LEFT JOIN "
+        "(SELECT order_date, COUNT(*) AS n FROM src_order GROUP BY order_date) o ON c.full_date = o.order_date",
+        "src_order",
+    )
+    share = (
+        "SELECT category_name, CAST(SUM(line_total) AS DECIMAL(22,2)) AS revenue, "
+        "ROUND(CAST(SUM(line_total) AS DOUBLE) / NULLIF(CAST(SUM(SUM(line_total)) OVER () AS DOUBLE), 0), 6) AS revenue_share, "
+        "{slicer} AS slicer FROM star WHERE {column} IN ({values}) GROUP BY category_name"
+    )
+    sql["q_slicer_facility"] = query(
+        share.format(slicer="'country'", column="country_name", values=_in(SLICER_COUNTRIES))
+        + " UNION ALL "
+        + share.format(slicer="'facility'", column="facility_name", values=_in(SLICER_FACILITIES)),
+        "star",
+    )
+    return sql

@@ -1,15 +1,17 @@
 """Query registry: one entry per operator of the inventory, keyed ``q_*``.
 
 Each callable takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
-driver tables.  What runs before the caller's action is bounded work: key
-assignment and merged dimensions are checkpointed, dimension sizes are
-counted for the broadcast check, and watermarks are read as one scalar.
+driver tables.  What runs before the caller's action: the tables at rest
+(warehouse, merged dimensions, deltas) are written once per session in the
+shared folder, dimension sizes are counted for the broadcast check, and
+watermarks are read as one scalar.
 Column names equal those of the SQL in ``sparkmart.plans.oracle``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +20,12 @@ from sparkmart import schemas
 from sparkmart.operators import calendar, facts, quality, staging, sync
 from sparkmart.operators.keys import assign_keys
 from sparkmart.plans import dashboard, views
+from sparkmart.plans.build import run_build
 from sparkmart.plans.scenarios import NOW, Scenarios
+from sparkmart.session import scratch_path
 from sparkmart.sources.bindings import LINE_ORDER, Sources
 from sparkmart.sources.incremental import read_since, watermark, watermark_col
-from sparkmart.sources.sinks import upsert
+from sparkmart.sources.sinks import read_snapshot, read_stored, versions, write_snapshot
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -46,12 +50,40 @@ def scenarios(spark: SparkSession, sf_dir: str) -> Scenarios:
     return hit[2]
 
 
-def _star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh = scenarios(spark, sf_dir).report_warehouse
-    return dashboard.sales_star(wh.fact_orders, wh.dim_date, wh.dim_facility, wh.dim_product)
+def _star(spark: SparkSession, sf_dir: str, *dims: str) -> DataFrame:
+    wh = scenarios(spark, sf_dir).warehouse
+    sides = {"date": wh.dim_date, "facility": wh.dim_facility, "product": wh.dim_product}
+    return dashboard.sales_star(wh.fact_orders, **{d: sides[d] for d in dims})
 
 
 # --- S2 / S3 / A5 / I1 / I2 -------------------------------------------------------
+# Fixed value: calendar days per stored partition in q_sync_stored.
+DAYS_PER_BLOCK = 31
+
+
+def q_sync_stored(spark, sf_dir):
+    """I1 on a stored target partitioned by blocks of days: only touched partitions are rewritten."""
+    sc = scenarios(spark, sf_dir)
+    block = F.floor(F.col("date_key") / DAYS_PER_BLOCK).cast("long")
+    root, source = scratch_path(spark, "sync-target"), sc.sync_source_fact.withColumn("date_block", block)
+    path = write_snapshot(sc.sync_targets["fact_orders"].withColumn("date_block", block), root, "fact_orders", partition_by=["date_block"])
+    sync.sync_stored_table(spark, source, path, schemas.FACT_ORDERS_SPEC, "date_block")
+    return read_stored(spark, path, sc.sync_source_fact)
+
+
+def q_snapshot_rebuild(spark, sf_dir):
+    """The warehouse rebuilt into the same folder; both versions of every table are kept."""
+    sc = scenarios(spark, sf_dir)
+    root, parts = scratch_path(spark, "rebuild"), []
+    for _ in range(2):
+        run_build(sc.src, sc.params, keyed_lines=False, out_dir=root)
+    for name in sc.warehouse.tables():
+        for version in sorted(versions(spark, root, name)):
+            rows = read_snapshot(spark, root, name, version).agg(F.count(F.lit(1)).alias("row_count"))
+            parts.append(rows.select(F.lit(name).alias("table_name"), F.lit(version).alias("version"), "row_count"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_incremental_scan(spark, sf_dir):
     sc = scenarios(spark, sf_dir)
     wm = watermark(sc.sync_targets["fact_orders"], "last_updated")
@@ -128,6 +160,18 @@ def q_dim_date(spark, sf_dir):
     return calendar.dim_date_for(src.purchase_order, "order_date", 7, NOW)
 
 
+# The years of the surveyed form of the calendar.
+CALENDAR_YEARS = (1996, 1999)
+
+
+def q_calendar_years(spark, sf_dir):
+    """D3 for fixed years, with the orders of each day (days without orders too)."""
+    orders = scenarios(spark, sf_dir).src.purchase_order.groupBy("order_date").agg(F.count(F.lit(1)).alias("n_orders"))
+    days = calendar.build_dim_date(spark, *CALENDAR_YEARS, 7, NOW)
+    joined = days.join(orders, F.col("full_date") == F.col("order_date"), "left").drop("order_date")
+    return joined.withColumn("n_orders", F.coalesce("n_orders", F.lit(0)))
+
+
 def q_scd1_facility(spark, sf_dir):
     return scenarios(spark, sf_dir).scd1_result
 
@@ -139,15 +183,25 @@ def q_scd2_product(spark, sf_dir):
 def q_asof_product_join(spark, sf_dir):
     sc = scenarios(spark, sf_dir)
     lines = sc.staging_order(keyed=False).select("order_id", "order_date", "product_id", "quantity", "line_total")
-    return facts.lookup_key_asof(lines, sc.scd2_result, "product_id", "order_date")
+    return facts.lookup_key_asof(lines, sc.loaded_product, "product_id", "order_date")
 
 
 def q_fact_unknown_members(spark, sf_dir):
-    return scenarios(spark, sf_dir).scenario_fact(keyed=True)
+    return scenarios(spark, sf_dir).scenario_fact()
 
 
 def q_fact_load(spark, sf_dir):
-    return scenarios(spark, sf_dir).first_load.fact_orders
+    return scenarios(spark, sf_dir).first_load_fact
+
+
+def q_second_load(spark, sf_dir):
+    """A second load over stored tables: kept history, kept keys, new lines keyed from the largest on."""
+    return scenarios(spark, sf_dir).second_load.fact_orders
+
+
+def q_second_load_product(spark, sf_dir):
+    """The Type-2 dimension after the second load (both versions of repriced products)."""
+    return scenarios(spark, sf_dir).second_load.dim_product
 
 
 def q_pipeline(spark, sf_dir):
@@ -156,20 +210,30 @@ def q_pipeline(spark, sf_dir):
 
 # --- V1 / V2 / W3 ----------------------------------------------------------------
 def q_monthly_revenue(spark, sf_dir):
-    wh = scenarios(spark, sf_dir).report_warehouse
+    wh = scenarios(spark, sf_dir).warehouse
     return views.monthly_revenue(wh.fact_orders, wh.dim_date)
 
 
 def q_product_revenue_rank(spark, sf_dir):
-    wh = scenarios(spark, sf_dir).report_warehouse
+    wh = scenarios(spark, sf_dir).warehouse
     return views.product_revenue_rank(wh.fact_orders, wh.dim_product, "rank")
 
 
 def q_product_revenue_dense_rank(spark, sf_dir):
-    wh = scenarios(spark, sf_dir).report_warehouse
+    wh = scenarios(spark, sf_dir).warehouse
     return views.product_revenue_rank(wh.fact_orders, wh.dim_product, "dense")
 
 
+def q_monthly_report(spark, sf_dir):
+    wh = scenarios(spark, sf_dir).warehouse
+    return views.monthly_report(wh.fact_orders, wh.dim_date)
+
+
+def q_rank_report(spark, sf_dir):
+    wh = scenarios(spark, sf_dir).warehouse
+    return views.rank_report(wh.fact_orders, wh.dim_product)
+
+
 # --- B0–B6 / A6 / U1 ------------------------------------------------------------
 # The slicer selection exercised by q_slicer_sales.
 SLICER_FROM, SLICER_TO, SLICER_REGIONS = "1997-01-01", "1998-12-31", ("ASIA", "EUROPE")
@@ -179,7 +243,7 @@ def q_slicer_sales(spark, sf_dir):
     import datetime as dt
 
     sliced = dashboard.apply_slicers(
-        _star(spark, sf_dir),
+        _star(spark, sf_dir, "date", "facility"),
         date_from=dt.date.fromisoformat(SLICER_FROM),
         date_to=dt.date.fromisoformat(SLICER_TO),
         regions=SLICER_REGIONS,
@@ -187,28 +251,41 @@ def q_slicer_sales(spark, sf_dir):
     return dashboard.sales_by_country(sliced)
 
 
+# The facilities and countries chosen in q_slicer_facility.
+SLICER_FACILITIES = ("Customer#000000001", "Customer#000000002", "Customer#000000007", "Customer#000000011", "Customer#000000013")
+SLICER_COUNTRIES = ("NATION_1", "NATION_4", "NATION_8", "NATION_12", "NATION_24")
+
+
+def q_slicer_facility(spark, sf_dir):
+    """The facility and the country slicer, revenue by product category."""
+    star = _star(spark, sf_dir, "facility", "product")
+    by_country = dashboard.revenue_by_category(dashboard.apply_slicers(star, countries=SLICER_COUNTRIES)).withColumn("slicer", F.lit("country"))
+    by_name = dashboard.revenue_by_category(dashboard.apply_slicers(star, facilities=SLICER_FACILITIES)).withColumn("slicer", F.lit("facility"))
+    return by_country.unionByName(by_name)
+
+
 def q_kpi_cards(spark, sf_dir):
     return dashboard.kpi_cards(_star(spark, sf_dir))
 
 
 def q_revenue_daily(spark, sf_dir):
-    return dashboard.revenue_over_time(_star(spark, sf_dir), "day")
+    return dashboard.revenue_over_time(_star(spark, sf_dir, "date"), "day")
 
 
 def q_sales_by_country(spark, sf_dir):
-    return dashboard.sales_by_country(_star(spark, sf_dir))
+    return dashboard.sales_by_country(_star(spark, sf_dir, "facility"))
 
 
 def q_revenue_by_category(spark, sf_dir):
-    return dashboard.revenue_by_category(_star(spark, sf_dir))
+    return dashboard.revenue_by_category(_star(spark, sf_dir, "product"))
 
 
 def q_top_products(spark, sf_dir):
-    return dashboard.top_products(_star(spark, sf_dir), 5)
+    return dashboard.top_products(_star(spark, sf_dir, "product"), 5)
 
 
 def q_units_vs_price(spark, sf_dir):
-    return dashboard.units_vs_price(_star(spark, sf_dir))
+    return dashboard.units_vs_price(_star(spark, sf_dir, "product"))
 
 
 def q_row_counts(spark, sf_dir):
@@ -221,14 +298,14 @@ def q_row_counts(spark, sf_dir):
             "product": src.product,
             "facility": src.facility,
             "purchase_order": src.purchase_order,
-            "order_line": src.order_line_unkeyed,
+            "order_line": src.raw("lineitem"),
         }
     )
 
 
 # --- Q1–Q4 -----------------------------------------------------------------------
 def q_dq_not_null(spark, sf_dir):
-    stg = scenarios(spark, sf_dir).scd1_staging
+    stg = scenarios(spark, sf_dir).edited_facility
     return quality.check_not_null(stg, ["facility_id", "facility_name", "facility_type", "country_name", "region_name"])
 
 
@@ -240,7 +317,7 @@ def q_dq_unique(spark, sf_dir):
 def q_dq_foreign_key(spark, sf_dir):
     sc = scenarios(spark, sf_dir)
     lines = sc.staging_order(keyed=False).select("order_id", "order_date", "facility_id", "product_id", "line_total")
-    return quality.check_foreign_key(lines, sc.scd1_result, "facility_id", "facility_id_source")
+    return quality.check_foreign_key(lines, sc.loaded_facility, "facility_id", "facility_id_source")
 
 
 def q_dq_domain(spark, sf_dir):

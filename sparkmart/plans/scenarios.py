@@ -2,15 +2,16 @@
 
 The test data is one static snapshot, so "what the warehouse held before" and
 "what changed since" are derived by rules on data attributes (segment,
-category, product-name words, quantity).  Every rule reads whole tables; none
-exists to shrink the data.  The same rules are written in SQL in
-``sparkmart.plans.oracle``.
+category, product-name words, quantity).  Every customer and part takes part in
+the merge scenarios; members that were never loaded exist only in the
+scenarios about unknown members and foreign keys.  The same rules are written
+in SQL in ``sparkmart.plans.oracle``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.predicates import ts_literal
 from sparkmart.operators import calendar, facts, scd, staging
-from sparkmart.plans.build import BuildParams, Warehouse, run_build
-from sparkmart.session import reliable_checkpoint
+from sparkmart.plans.build import BuildParams, Warehouse, run_build, run_load
+from sparkmart.session import scratch_path, stored_copy
 from sparkmart.sources.bindings import Sources
 
 # Scenario clock and rules.
@@ -57,10 +58,9 @@ def _ts(value: dt.datetime):
 class Scenarios:
     """Lazily built scenario frames over one ``Sources``.
 
-    The two facts that stand for tables at rest (the source warehouse's fact
-    and the target copy before a sync) are materialised once in the
-    checkpoint directory, as the stored tables they model; each is read by a
-    watermark job and by the query itself.
+    The tables at rest (the warehouse, the source fact and the target copy of a
+    sync) are written once in the shared folder, as the stored tables they
+    model; queries read the files.
     """
 
     src: Sources
@@ -72,29 +72,32 @@ class Scenarios:
     # --- canonical warehouse (the reference's script on the test data) ------
     @cached_property
     def params(self) -> BuildParams:
-        return BuildParams(now=NOW, as_of=AS_OF)
+        # A few hundred rows a day don't fill a file: the fact is sorted by day here, not split by it.
+        return BuildParams(now=NOW, as_of=AS_OF, fact_partition=None)
 
     @cached_property
-    def warehouse(self) -> Warehouse:
-        """D6 with keyed order lines (fact keys present).
+    def root(self) -> str:
+        return scratch_path(self.spark, "warehouse")
 
-        The dimensions do not depend on the order lines, so they are shared
-        with :attr:`report_warehouse`; only the staged lines and the fact differ.
-        """
-        base = self.report_warehouse
-        stg_order = self.staging_order(keyed=True)
-        fact = facts.load_fact(stg_order, base.dim_date, base.dim_facility, base.dim_product, NOW)
-        return replace(base, staging_order=stg_order, fact_orders=fact)
+    @cached_property
+    def warehouse(self) -> Warehouse:
+        """D6, stored; the reports, the syncs and the scenario facts read it."""
+        return run_build(self.src, self.params, out_dir=self.root)
 
     @cached_property
-    def report_warehouse(self) -> Warehouse:
-        """D6 without the order-line key: what the reports read."""
-        return run_build(self.src, self.params, keyed_lines=False)
+    def first_load_fact(self) -> DataFrame:
+        """D4 against the dimensions of the first load (no staging edits)."""
+        wh, spark = self.warehouse, self.spark
+        fac = scd.scd1_merge(scd.empty_dim_facility(spark, NOW), self.staging_facility, NOW)
+        prod = scd.scd2_merge(scd.empty_dim_product(spark, NOW), self.staging_product, AS_OF, NOW, calendar.first_day(wh.dim_date))
+        return facts.load_fact(wh.staging_order, wh.dim_date, fac, prod, NOW)
 
     @cached_property
-    def first_load(self) -> Warehouse:
-        """D6 stopped after the first load (no staging edits)."""
-        return run_build(self.src, self.params, keyed_lines=True, apply_edits=False)
+    def second_load(self) -> Warehouse:
+        """A first load of the orders before SYNCED_UNTIL, then a load of all of them with edited staging."""
+        root = scratch_path(self.spark, "loads")
+        run_load(self.src.until(SYNCED_UNTIL), self.params, root)
+        return run_load(self.src, self.params, root, apply_edits=True)
 
     # --- staging -------------------------------------------------------------
     @cached_property
@@ -106,13 +109,14 @@ class Scenarios:
         return staging.extract_product(self.src.product, self.src.category, NOW)
 
     def staging_order(self, keyed: bool) -> DataFrame:
-        lines = self.src.order_line if keyed else self.src.order_line_unkeyed
-        return staging.extract_order(lines, self.src.purchase_order, NOW)
+        if keyed:
+            return self.warehouse.staging_order
+        return staging.extract_order(self.src.order_line_unkeyed, self.src.purchase_order, NOW)
 
     # --- Type 1 ---------------------------------------------------------------
     @cached_property
     def scd1_dim_before(self) -> DataFrame:
-        stg = self.staging_facility.where(~F.col("facility_type").isin(FAC_NEW_SEGMENT, FAC_NEVER_SEGMENT))
+        stg = self.staging_facility.where(F.col("facility_type") != FAC_NEW_SEGMENT)
         dim = stg.select(
             (F.col("facility_id") + 1).alias("facility_key"),  # keys of the earlier load
             F.col("facility_id").alias("facility_id_source"),
@@ -121,9 +125,13 @@ class Scenarios:
         )
         return dim.unionByName(scd.unknown_facility(self.spark, EARLIER))
 
-    @cached_property
+    @property
     def scd1_staging(self) -> DataFrame:
-        stg = self.staging_facility.where(~F.col("facility_type").isin(FAC_ABSENT_SEGMENT, FAC_NEVER_SEGMENT))
+        return self.edited_facility.where(F.col("facility_type") != FAC_ABSENT_SEGMENT)
+
+    @cached_property
+    def edited_facility(self) -> DataFrame:
+        stg = self.staging_facility
         africa = F.col("region_name") == FAC_NO_COUNTRY_REGION
         return stg.select(
             "facility_id",
@@ -143,7 +151,7 @@ class Scenarios:
     # --- Type 2 ---------------------------------------------------------------
     @cached_property
     def scd2_dim_before(self) -> DataFrame:
-        stg = self.staging_product.where(~F.col("category_name").isin(PROD_NEW_CATEGORY, PROD_NEVER_CATEGORY))
+        stg = self.staging_product.where(F.col("category_name") != PROD_NEW_CATEGORY)
         closed = F.col("category_name") == PROD_CLOSED_CATEGORY
         dim = stg.select(
             (F.col("product_id") + 1).alias("product_key"),  # keys of the earlier load
@@ -158,7 +166,7 @@ class Scenarios:
 
     @cached_property
     def scd2_staging(self) -> DataFrame:
-        stg = self.staging_product.where(~F.col("category_name").isin(PROD_ABSENT_CATEGORY, PROD_NEVER_CATEGORY))
+        stg = self.staging_product.where(F.col("category_name") != PROD_ABSENT_CATEGORY)
         name = F.col("product_name")
         price = F.col("unit_price")
         new_price = (
@@ -182,12 +190,18 @@ class Scenarios:
 
     # --- fact against the scenario dimensions (unknown members) -------------
     @cached_property
-    def calendar(self) -> DataFrame:
-        return calendar.dim_date_for(self.src.purchase_order, "order_date", 7, NOW)
+    def loaded_facility(self) -> DataFrame:
+        """The facility dimension without the segment that was never loaded."""
+        return self.scd1_result.where(F.col("facility_type") != FAC_NEVER_SEGMENT)
+
+    @cached_property
+    def loaded_product(self) -> DataFrame:
+        """The product dimension without the category that was never loaded."""
+        return self.scd2_result.where(~F.col("category_name").eqNullSafe(PROD_NEVER_CATEGORY))
 
-    def scenario_fact(self, keyed: bool = True, stamp=None) -> DataFrame:
+    def scenario_fact(self, stamp=None) -> DataFrame:
         return facts.load_fact(
-            self.staging_order(keyed), self.calendar, self.scd1_result, self.scd2_result,
+            self.staging_order(keyed=True), self.warehouse.dim_date, self.loaded_facility, self.loaded_product,
             NOW if stamp is None else stamp,
         )
 
@@ -198,7 +212,7 @@ class Scenarios:
         stamp = F.when(F.col("quantity") >= CORRECTED_MIN_QTY, _ts(NOW)).otherwise(
             F.col("order_date").cast("timestamp_ntz")
         )
-        return reliable_checkpoint(self.scenario_fact(keyed=True, stamp=stamp))
+        return stored_copy(self.scenario_fact(stamp=stamp), "sync-source")
 
     @cached_property
     def sync_target_fact(self) -> DataFrame:
@@ -208,16 +222,15 @@ class Scenarios:
             "quantity",
             F.when(F.col("quantity") >= CORRECTED_MIN_QTY, F.col("quantity") - 1).otherwise(F.col("quantity")),
         )
-        return reliable_checkpoint(
-            facts.load_fact(
-                stale, self.calendar, self.scd1_result, self.scd2_result, F.col("order_date").cast("timestamp_ntz")
-            )
+        fact = facts.load_fact(
+            stale, self.warehouse.dim_date, self.loaded_facility, self.loaded_product, F.col("order_date").cast("timestamp_ntz")
         )
+        return stored_copy(fact, "sync-target")
 
     @cached_property
     def sync_sources(self) -> dict[str, DataFrame]:
         return {
-            "dim_date": self.calendar,
+            "dim_date": self.warehouse.dim_date,
             "dim_facility": self.scd1_result,
             "dim_product": self.scd2_result,
             "fact_orders": self.sync_source_fact,
@@ -226,7 +239,7 @@ class Scenarios:
     @cached_property
     def sync_targets(self) -> dict[str, DataFrame]:
         return {
-            "dim_date": calendar.dim_date_for(self.src.purchase_order, "order_date", 7, EARLIER),
+            "dim_date": self.warehouse.dim_date.withColumn("last_updated", _ts(EARLIER)),
             "dim_facility": self.scd1_dim_before,
             "dim_product": self.scd2_dim_before,
             "fact_orders": self.sync_target_fact,

@@ -17,16 +17,10 @@ from sparkmart.functions.predicates import known
 from sparkmart.operators.keys import global_rank
 
 
-def star_join(fact: DataFrame, dim: DataFrame, key: str, broadcast: bool | None = None) -> DataFrame:
-    """Inner join of the fact to one dimension on its surrogate key.
-
-    ``broadcast=True`` for a dimension with a known bound (the calendar);
-    ``None`` counts the dimension side first and broadcasts it only if small.
-    """
-    if broadcast is None:
-        dim, _ = broadcast_if_small(dim)
-    elif broadcast:
-        dim = F.broadcast(dim)
+def star_join(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Inner join of the fact to one dimension on its surrogate key; the
+    dimension side is counted first and broadcast only if small."""
+    dim, _ = broadcast_if_small(dim)
     return fact.join(dim, key, "inner")
 
 
@@ -38,7 +32,7 @@ def monthly_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """
     dates = dim_date.select("date_key", "year", "month", "month_name")
     monthly = (
-        star_join(fact.select("date_key", "order_id", "quantity", "line_total"), dates, "date_key", broadcast=True)
+        star_join(fact.select("date_key", "order_id", "quantity", "line_total"), dates, "date_key")
         .groupBy("year", "month", "month_name")
         .agg(
             F.sum("line_total").alias("revenue"),
@@ -86,3 +80,13 @@ def product_revenue_rank(fact: DataFrame, dim_product: DataFrame, method: str =
     return ranked.select(
         "product_name", "category_name", "total_revenue", "total_units", "order_count", "revenue_rank"
     )
+
+
+def monthly_report(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """O1: V1 in month order."""
+    return monthly_revenue(fact, dim_date).orderBy("year", "month")
+
+
+def rank_report(fact: DataFrame, dim_product: DataFrame, method: str = "rank") -> DataFrame:
+    """O2: V2 in rank order, equal ranks by name and category (a distributed sort)."""
+    return product_revenue_rank(fact, dim_product, method).orderBy("revenue_rank", "product_name", "category_name")

@@ -58,6 +58,43 @@ ORDER_LINE = _struct(
     ("line_total", MONEY_TOTAL, True),
 )
 
+# --- the input tables as they are scanned (S1: selected and cast by name) -------
+INPUTS = {
+    "region": _struct(("r_regionkey", T.LongType(), False), ("r_name", T.StringType(), False)),
+    "nation": _struct(("n_nationkey", T.LongType(), False), ("n_name", T.StringType(), False), ("n_regionkey", T.LongType(), True)),
+    "customer": _struct(
+        ("c_custkey", T.LongType(), False),
+        ("c_name", T.StringType(), True),
+        ("c_nationkey", T.LongType(), True),
+        ("c_mktsegment", T.StringType(), True),
+    ),
+    "part": _struct(
+        ("p_partkey", T.LongType(), False),
+        ("p_name", T.StringType(), True),
+        ("p_type", T.StringType(), True),
+        ("p_retailprice", T.DoubleType(), True),
+    ),
+    "orders": _struct(
+        ("o_orderkey", T.LongType(), False),
+        ("o_custkey", T.LongType(), True),
+        ("o_totalprice", T.DoubleType(), True),
+        ("o_orderdate", TS, True),
+    ),
+    "lineitem": _struct(
+        ("l_orderkey", T.LongType(), False),
+        ("l_partkey", T.LongType(), True),
+        ("l_suppkey", T.LongType(), True),
+        ("l_linenumber", T.IntegerType(), True),
+        ("l_quantity", T.DoubleType(), True),
+        ("l_extendedprice", T.DoubleType(), True),
+        ("l_discount", T.DoubleType(), True),
+        ("l_tax", T.DoubleType(), True),
+        ("l_returnflag", T.StringType(), True),
+        ("l_linestatus", T.StringType(), True),
+        ("l_shipdate", TS, True),
+    ),
+}
+
 # --- staging (every column nullable) ---------------------------------------
 RAW_PRODUCT = _struct(
     ("product_id", T.LongType(), True),

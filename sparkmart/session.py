@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -75,6 +76,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local_dir
 
 
+#: Folders written by ``stored_copy`` in this process, for ``release_scratch``.
+_SCRATCH: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder, removed by ``release_scratch``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def stored_copy(df, name: str = "frame"):
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
+
+    Lineage ends at files every executor sees, and later reads prune columns
+    and push filters into them.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders of this process; frames that read them end here."""
+    while _SCRATCH:
+        place = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def reliable_checkpoint(df):
     """Materialise ``df`` in the shared checkpoint directory and cut lineage."""
     ensure_checkpoint_dir(df.sparkSession)

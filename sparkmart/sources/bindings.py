@@ -8,23 +8,27 @@
 | ProductCategory  | distinct part.p_type, id = smallest p_partkey of the type         |
 | Product          | part (p_partkey, p_name, category, p_retailprice as decimal, true)  |
 | PurchaseOrder    | orders (o_orderkey, o_custkey, o_orderdate as date, o_totalprice) |
-| OrderLine        | lineitem, unit price sold = the part's list price                 |
+| OrderLine        | lineitem, unit price sold = the part's list price (line total / quantity if the part is unknown) |
 
 ``lineitem`` has no unique line key, so ``order_line_id`` is a dense key over
 every lineitem column (K1 — range partitioned, so one huge order is still split
-across tasks).  Everything is lazy except the key assignments, which
-checkpoint once.
+across tasks).  Every scan goes through the declared column types of
+``schemas.INPUTS``.  Everything is lazy except the key assignments, which are
+stored once.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkmart import schemas
 from sparkmart.operators.keys import assign_keys
+from sparkmart.sources.tables import read_table
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -37,6 +41,9 @@ LINE_ORDER = (
     "l_discount l_tax l_shipdate l_returnflag l_linestatus"
 ).split()
 
+# The lineitem columns the model uses.
+LINE_COLUMNS = "l_orderkey l_linenumber l_partkey l_quantity l_extendedprice".split()
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
@@ -50,10 +57,10 @@ class Sources:
     sf_dir: str
 
     def raw(self, name: str) -> DataFrame:
-        """The driver table as scanned (listed and footer-read once per name)."""
+        """The driver table scanned with its declared types (a missing column is an error)."""
         cache = self.__dict__.setdefault("_raw", {})
         if name not in cache:
-            cache[name] = self.spark.read.parquet(table_path(self.sf_dir, name))
+            cache[name] = read_table(self.spark, table_path(self.sf_dir, name), schemas.INPUTS.get(name))
         return cache[name]
 
     @cached_property
@@ -112,13 +119,14 @@ class Sources:
         )
 
     def _lines(self, keyed: bool) -> DataFrame:
-        li = self.raw("lineitem")
+        li = self.raw("lineitem").select(*LINE_ORDER)
         if keyed:
-            li = assign_keys(li, LINE_ORDER, "order_line_id")
+            li = assign_keys(li, LINE_ORDER, "order_line_id", keep=LINE_COLUMNS)
         price = self.raw("part").select(
             F.col("p_partkey").alias("_pk"), F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price_sold")
         )
-        lines = li.join(price, li["l_partkey"] == price["_pk"], "inner")
+        # A line whose part is unknown stays, at its own average price: the fact gives it the unknown member.
+        lines = li.join(price, li["l_partkey"] == price["_pk"], "left")
         id_col = [F.col("order_line_id")] if keyed else []
         return lines.select(
             *id_col,
@@ -126,7 +134,7 @@ class Sources:
             F.col("l_linenumber").cast("long").alias("line_number"),
             F.col("l_partkey").cast("long").alias("product_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("unit_price_sold"),
+            F.coalesce("unit_price_sold", (F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))).cast("decimal(10,2)")).alias("unit_price_sold"),
             F.col("l_extendedprice").cast("decimal(12,2)").alias("line_total"),
         )
 
@@ -140,6 +148,13 @@ class Sources:
         """OrderLine without the key, for reports that never read it."""
         return self._lines(keyed=False)
 
+    def until(self, day: dt.date) -> Sources:
+        """The sources as they were before ``day``: only orders placed earlier, with their lines."""
+        earlier = Sources(self.spark, self.sf_dir)
+        orders = self.purchase_order.where(F.col("order_date") < F.lit(day))
+        earlier.__dict__["purchase_order"] = orders
+        return earlier
+
     def as_dict(self) -> dict[str, DataFrame]:
         return {
             "region": self.region,
@@ -150,7 +165,3 @@ class Sources:
             "purchase_order": self.purchase_order,
             "order_line": self.order_line,
         }
-
-
-def load_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    return Sources(spark, sf_dir)

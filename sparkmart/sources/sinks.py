@@ -1,31 +1,34 @@
 """S3 keyed upsert, S4 staging refresh, S5 snapshot rebuild.
 
-There is no table format with MERGE in this environment, so every write is a
-new immutable snapshot version ``<root>/<table>/version=<v>``; a plan never
-overwrites a path it is reading, and readers pick the newest version.  A
-failed job leaves the previous version untouched (the per-table commit of the
-reference).
+There is no table format with MERGE in this environment, so a full refresh is
+a new snapshot version ``<root>/<table>/version=<v>``; a plan never overwrites
+a path it is reading, and readers pick the newest complete version (one with
+Spark's ``_SUCCESS`` mark).  A failed job leaves an incomplete version that
+nobody reads and the previous one untouched.  Only ``upsert_partitions``
+rewrites partitions of a version in place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.session import reliable_checkpoint
+from sparkmart.session import stored_copy
 
 
 def assert_unique(df: DataFrame, key: Sequence[str], what: str = "batch") -> DataFrame:
     """Fail (lazily, inside the job) when ``key`` repeats in ``df``.
 
-    A window partitioned by the key: the shuffle it needs is the one the
-    following keyed join needs anyway, so the check adds no exchange.
+    A grouped count (pre-aggregated in every task, so a key that holds a large
+    share of the rows never gathers in one) as a scalar subquery of a filter.
+    ``df`` is read twice: pass a stored frame.
     """
-    n = F.count(F.lit(1)).over(Window.partitionBy(*key))
-    checked = F.when(n > 1, F.raise_error(F.lit(f"duplicate key {list(key)} in {what}")))
-    return df.withColumn("_sm_chk", checked).where(F.col("_sm_chk").isNull()).drop("_sm_chk")
+    repeated = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_sm_n")).where(F.col("_sm_n") > 1)
+    n = repeated.agg(F.count(F.lit(1)).alias("_sm_n")).scalar()
+    fail = F.raise_error(F.lit(f"duplicate key {list(key)} in {what}")).cast("boolean")
+    return df.where(F.when(n > 0, fail).otherwise(F.lit(True)))
 
 
 def upsert(target: DataFrame, delta: DataFrame, key: Sequence[str] | str, check_unique: bool = True) -> DataFrame:
@@ -56,12 +59,15 @@ def write_snapshot(
     df: DataFrame,
     root: str,
     table: str,
-    version: str | int = "0",
+    version: str | int | None = None,
     sort_by: Sequence[str] | None = None,
     partition_by: Sequence[str] | None = None,
 ) -> str:
     """Write ``df`` as a new version of ``table`` (full refresh).
 
+    Without ``version`` it is the next free number; a version that exists is
+    an error, never overwritten.
+
     ``partition_by`` lays the files out in one directory per value (for a
     bounded column such as the fact's ``date_key``): filters on it, and
     dynamic partition pruning from a filtered dimension, skip whole
@@ -71,19 +77,42 @@ def write_snapshot(
     small ones.  ``sort_by`` orders rows inside each file so parquet min/max
     statistics let other filters skip row groups.
     """
+    if version is None:
+        known = versions(df.sparkSession, root, table)
+        version = max(known) + 1 if known else 0
     path = snapshot_path(root, table, version)
     out = df
     if partition_by:
         out = out.hint("rebalance", *partition_by)
     if sort_by or partition_by:
         out = out.sortWithinPartitions(*(list(partition_by or []) + list(sort_by or [])))
-    writer = out.write.mode("overwrite")
+    writer = out.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of Spark's storage layer; errors of the store are raised."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def versions(spark: SparkSession, root: str, table: str) -> dict[int, bool]:
+    """Version numbers of ``table`` by a directory listing, and whether each is complete."""
+    fs, place = _file_system(spark, f"{root.rstrip('/')}/{table}")
+    if not fs.exists(place):
+        return {}
+    out = {}
+    for status in fs.listStatus(place):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("version="):
+            done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            out[int(name.removeprefix("version="))] = fs.exists(done)
+    return out
+
+
 def read_stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """Read a written snapshot back with the column order and types of ``like``
     (partition columns come back last and with inferred types)."""
@@ -91,14 +120,17 @@ def read_stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields])
 
 
+def remove_incomplete(spark: SparkSession, root: str, table: str, version: int) -> None:
+    """Delete what a failed write has left of ``version``; a complete version stays."""
+    if versions(spark, root, table).get(version) is False:
+        fs, place = _file_system(spark, snapshot_path(root, table, version))
+        fs.delete(place, True)
+
+
 def latest_version(spark: SparkSession, root: str, table: str) -> str | None:
-    """Newest ``version=`` directory of ``table`` (partition listing only)."""
-    try:
-        versions = spark.read.parquet(f"{root.rstrip('/')}/{table}").select("version").distinct()
-    except Exception:  # no snapshot yet
-        return None
-    row = versions.agg(F.max(F.col("version").cast("long"))).first()
-    return None if row is None or row[0] is None else str(row[0])
+    """Newest complete version of ``table``, whether it holds rows or not."""
+    complete = [v for v, done in versions(spark, root, table).items() if done]
+    return str(max(complete)) if complete else None
 
 
 def read_snapshot(spark: SparkSession, root: str, table: str, version: str | int | None = None) -> DataFrame:
@@ -108,6 +140,10 @@ def read_snapshot(spark: SparkSession, root: str, table: str, version: str | int
     return spark.read.parquet(snapshot_path(root, table, v))
 
 
+#: Partitions one ``upsert_partitions`` call may rewrite (27 years of days).
+MAX_PARTITIONS = 10_000
+
+
 def upsert_partitions(
     spark: SparkSession,
     target_path: str,
@@ -115,6 +151,7 @@ def upsert_partitions(
     key: Sequence[str] | str,
     partition_col: str,
     keys_may_move: bool = True,
+    max_partitions: int = MAX_PARTITIONS,
 ) -> list:
     """S3 for a stored target partitioned by ``partition_col`` (e.g. the fact by
     ``date_key``): rewrite only the partitions the batch touches.
@@ -122,17 +159,18 @@ def upsert_partitions(
     Affected partitions are those of the batch rows plus those still holding
     one of the batch's keys (a row whose partition value changed).  Their new
     content — old rows whose key is not in the batch, plus the batch — is
-    materialised in the checkpoint directory first (a plan may not overwrite
-    files it reads) and then replaces just those directories through dynamic
-    partition overwrite; every other partition stays untouched, so a sync
-    costs the size of the delta's partitions, not of the table.  The affected
-    partition values are bounded by the partition domain (calendar days) and
-    are returned.  ``keys_may_move=False`` skips the key scan when a row's
-    partition value never changes (e.g. an order line's order date).
+    stored first (a plan may not overwrite files it reads) and then replaces
+    just those directories through dynamic partition overwrite; a partition
+    whose rows have all moved away is removed after it.  Every other partition
+    stays untouched, so a sync costs the size of the delta's partitions, not of
+    the table.  The affected values are returned; more than ``max_partitions``
+    of them, or a null one, is an error (use ``upsert`` into a new version).
+    ``keys_may_move=False`` skips the key scan when a row's partition value
+    never changes (e.g. an order line's order date).
     """
     key = [key] if isinstance(key, str) else list(key)
     target = spark.read.parquet(target_path)
-    delta = assert_unique(delta.select(*target.columns), key, "upsert batch")
+    delta = assert_unique(stored_copy(delta.select(*target.columns), "upsert-batch"), key, "upsert batch")
     affected = delta.select(partition_col)
     if keys_may_move:
         # Partitions still holding a batch key (reads key + partition columns
@@ -142,12 +180,14 @@ def upsert_partitions(
         batch_keys, _ = broadcast_if_small(delta.select(*key))
         moved = target.select(*key, partition_col).join(batch_keys, key, "left_semi").select(partition_col)
         affected = affected.union(moved)
-    values = [r[0] for r in affected.distinct().collect()]
+    values = [r[0] for r in affected.distinct().limit(max_partitions + 1).collect()]
+    if len(values) > max_partitions or None in values:
+        raise ValueError(f"batch touches more than {max_partitions} partitions of {partition_col}, or a null one")
     if not values:
         return []
     old = target.where(F.col(partition_col).isin(values))  # static partition pruning
     rewritten = old.join(delta.select(*key), key, "left_anti").unionByName(delta)
-    rewritten = reliable_checkpoint(rewritten)
+    rewritten = stored_copy(rewritten, "upsert-partitions")
     (
         rewritten.hint("rebalance", partition_col)
         .sortWithinPartitions(partition_col)
@@ -156,4 +196,9 @@ def upsert_partitions(
         .partitionBy(partition_col)
         .parquet(target_path)
     )
+    filled = {r[0] for r in rewritten.select(partition_col).distinct().collect()}  # among the checked values
+    for value in values:
+        if value not in filled:  # dynamic overwrite leaves a partition without new rows as it was
+            fs, place = _file_system(spark, f"{target_path.rstrip('/')}/{partition_col}={value}")
+            fs.delete(place, True)
     return values

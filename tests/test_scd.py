@@ -106,6 +106,13 @@ def test_scd2_three_steps(spark):
         assert sum(r.is_current for r in versions) <= 1
 
 
+def test_scd1_null_staging_id_fails(spark):
+    dim = scd.empty_dim_facility(spark, dt.datetime(2024, 1, 1))
+    stg = spark.createDataFrame([(None, "A", "H", "X", "R")], "facility_id long, facility_name string, facility_type string, country_name string, region_name string")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        scd.scd1_merge(dim, stg, dt.datetime(2024, 2, 1)).collect()
+
+
 def test_scd2_duplicate_staging_key_fails(spark):
     dim = _dim_product(spark, [])
     stg = spark.createDataFrame([(1, "a", "X", _p("1.00"), True), (1, "b", "X", _p("2.00"), True)], PROD_STG)

@@ -95,6 +95,37 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     assert untouched and all(os.path.exists(f) and os.path.getmtime(f) == before[f] for f in untouched)
 
 
+def test_partitioned_upsert_removes_an_emptied_partition(spark, tmp_path):
+    from sparkmart.sources.sinks import upsert_partitions
+
+    schema = "k long, d long, v string, last_updated timestamp_ntz"
+    path = str(tmp_path / "fact")
+    spark.createDataFrame([(1, 0, "old", T(2024, 1, 1)), (2, 1, "old", T(2024, 1, 1))], schema).write.partitionBy("d").parquet(path)
+    delta = spark.createDataFrame([(1, 1, "moved", T(2024, 2, 1))], schema)
+    assert sorted(upsert_partitions(spark, path, delta, "k", "d")) == [0, 1]
+    assert sorted((r.k, r.d, r.v) for r in spark.read.parquet(path).collect()) == [(1, 1, "moved"), (2, 1, "old")]
+    with pytest.raises(ValueError):
+        upsert_partitions(spark, path, delta, "k", "d", max_partitions=0)
+
+
+def test_newest_complete_version_wins(spark, tmp_path):
+    import os
+
+    from sparkmart.sources.sinks import latest_version, read_snapshot, versions, write_snapshot
+
+    root = str(tmp_path)
+    one = spark.createDataFrame([(1, "a", T(2024, 1, 1))], SCHEMA)
+    assert latest_version(spark, root, "t") is None
+    write_snapshot(one, root, "t")
+    write_snapshot(one.limit(0), root, "t")  # an empty table is a version like any other
+    assert latest_version(spark, root, "t") == "1" and read_snapshot(spark, root, "t").count() == 0
+    os.makedirs(f"{root}/t/version=2")  # a failed write
+    assert versions(spark, root, "t") == {0: True, 1: True, 2: False} and latest_version(spark, root, "t") == "1"
+    with pytest.raises(PySparkException):
+        write_snapshot(one, root, "t", version=1)
+    assert write_snapshot(one, root, "t").endswith("version=3")
+
+
 def test_sync_stored_table_end_to_end(spark, tmp_path):
     from sparkmart.operators.sync import sync_stored_table
 
