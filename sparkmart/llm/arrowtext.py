@@ -82,7 +82,7 @@ def words_of(buf: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple
     return starts, ends, per_text
 
 
-def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 22) -> np.ndarray:
+def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 20) -> np.ndarray:
     """64-bit hash of the bytes of each span (equal bytes, equal hashes); bounded scratch memory."""
     out = np.empty(len(starts), np.uint64)
     i = 0

@@ -17,8 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 #: Rows and bytes per Arrow batch handed to a Python worker.
-ARROW_ROWS = 2000
-ARROW_BYTES = 8 * 1024 * 1024
+ARROW_ROWS = 1000
+ARROW_BYTES = 4 * 1024 * 1024
 
 
 def ship(spark: SparkSession) -> None:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import stored
+from sparkmart.llm.common import broadcast_checked, stored
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64(F.lit(1), "u", "v"))).first())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,18 +17,20 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round links every node to the smallest neighbour it or its
     neighbours know; minima are plain grouped aggregates, so a node with very
-    many links never gathers them.
+    many links never gathers them.  The minima are joined back as a broadcast
+    while their counted size allows it.
     """
     edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
     edges = stored(edges, "links")
     seen = _fingerprint(edges)
     while True:
+        small_enough = seen[0]  # at most two minima per link
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        large = both.join(least, F.col("u") == F.col("k")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        least = broadcast_checked(least, 24, rows=2 * small_enough)
+        large = both.join(least, F.col("u") == F.col("k")).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        low = lowest.select(F.col("u").alias("k"), "m")
+        low = broadcast_checked(lowest.select(F.col("u").alias("k"), "m"), 24, rows=2 * small_enough)
         small = large.join(low, F.col("u") == F.col("k")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(small.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), "links")
         now = _fingerprint(edges)
@@ -36,4 +38,4 @@ def components(links: DataFrame) -> DataFrame:
             break
         seen = now
     roots = edges.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("comp"))
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("comp")).unionByName(roots)
+    return stored(edges.select(F.col("u").alias("id"), F.col("v").alias("comp")).unionByName(roots), "components")

@@ -29,7 +29,7 @@ from sparkmart.llm.fm_index import FMIndex
 #: Words per window.
 WINDOW = 10
 #: Text bytes per indexed shard, and benchmark bytes per query block.
-SHARD_BYTES = 6 * 1024 * 1024
+SHARD_BYTES = 3 * 1024 * 1024
 BLOCK_BYTES = 8 * 1024 * 1024
 
 #: Word bytes after lower-casing A-Z: digits, letters, all of the non-ASCII range.

@@ -53,9 +53,11 @@ from sparkmart.llm.components import components
 WORDS = 5
 PERCENT = 80
 #: Text bytes handled at once; shingles per counted chunk.
-SHARD_BYTES = 4 * 1024 * 1024
-CHUNK = 4_000_000
-#: Entries of the broadcast table of frequent shingles (12 MB at most).
+SHARD_BYTES = 2 * 1024 * 1024
+CHUNK = 1_500_000
+#: Shingles with hashes below this (three eighths of the range) are counted; prefixes take a fifth of a set.
+COUNTED = np.uint64(3 << 61)
+#: Entries of the broadcast table of frequent shingles (12 bytes each).
 FREQUENT = 1 << 20
 #: Pivots drawn per region in the first round; four times as many in each later one.
 PIVOTS = 16
@@ -111,47 +113,37 @@ def _bound(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([overlap_bound(x, y) for x, y in zip(a, b, strict=True)], dtype="int64")
 
 
-def _survey(docs: DataFrame, words: int) -> DataFrame:
-    """Rows of two kinds: a document's set (doc_id, n, d1, d2), and (shingle, n) of those met again in a chunk."""
+def _counts(docs: DataFrame, words: int) -> DataFrame:
+    """(shingle, n): in how many documents each shingle of the counted part of the hash range is, where ``n`` >= 3."""
 
     def run(batches):
         held, size = [], 0
-
-        def counted():
-            h, n = np.unique(np.concatenate(held), return_counts=True)
-            h, n = h[n > 1].view(np.int64), n[n > 1]
-            none = pa.nulls(len(h), pa.int64())
-            return pa.RecordBatch.from_arrays([none, pa.array(n), none, none, pa.array(h)], ["doc_id", "n", "d1", "d2", "shingle"])
-
         for batch in shards(batches, 1, SHARD_BYTES):
-            sizes, digests = [], []
             for s in shingle_sets(batch.column(1), words):
-                sizes.append(len(s))
-                digests.append(blake2b(s.tobytes(), digest_size=16).digest())
-                held.append(s)
-                size += len(s)
-            d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            none = pa.nulls(len(sizes), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), none], ["doc_id", "n", "d1", "d2", "shingle"]
-            )
+                held.append(s[: np.searchsorted(s, COUNTED)])
+                size += len(held[-1])
             if size >= CHUNK:
-                yield counted()
+                yield _chunk(held)
                 held, size = [], 0
         if held:
-            yield counted()
+            yield _chunk(held)
+
+    counts = docs.select("doc_id", "text").mapInArrow(run, "shingle long, n long")
+    return counts.groupBy("shingle").agg(F.sum("n").alias("n")).where("n >= 3")
+
 
-    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, shingle long")
+def _chunk(held: list) -> pa.RecordBatch:
+    h, n = np.unique(np.concatenate(held), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["shingle", "n"])
 
 
-def _frequent(survey: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted hashes, counts) of the most frequent shingles, at most ``limit``.
+def _frequent(docs: DataFrame, words: int, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, counts) of the most frequent counted shingles, at most ``limit``.
 
     Only the order of shingles depends on it: the counts steer the work, any
     counts give the same links.
     """
-    counts = survey.where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("n").alias("n")).where("n >= 4")
-    counts = stored(counts, "shingle-counts")
+    counts = stored(_counts(docs, words), "shingle-counts")
     held = counts.groupBy("n").agg(F.count(F.lit(1)).alias("k")).orderBy(F.col("n").desc())
     least, total = None, 0
     for row in held.toLocalIterator():  # from the highest count down, until the table is full
@@ -163,45 +155,45 @@ def _frequent(survey: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.
     table = counts.where(F.col("n") >= least).toArrow()
     h, n = table.column("shingle").to_numpy().view(np.uint64), table.column("n").to_numpy()
     order = np.argsort(h)
-    return h[order], n[order]
+    return h[order], n[order].astype(np.int32)
 
 
-def _prefixes(docs: DataFrame, frequent, words: int, percent: int) -> DataFrame:
-    """(id, n, prefix, sig): the rarest shingles and the signature of every document with shingles."""
+def _points(docs: DataFrame, frequent, words: int, percent: int) -> DataFrame:
+    """Per document (id, n, d1, d2, prefix, sig): size and digest of its set, its rarest shingles, its signature."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
         known, counts = shared.value
         for batch in shards(batches, 1, SHARD_BYTES):
-            ids, sizes, lists, sigs = [], [], [], []
+            sizes, digests, lists, sigs = [], [], [], []
             sets = list(shingle_sets(batch.column(1), words))
             every = np.concatenate(sets)
-            weight = np.zeros(len(every), np.int64)
+            weight = np.zeros(len(every), np.int32)
             if len(known):
                 at = np.minimum(np.searchsorted(known, every), len(known) - 1)
                 hit = known[at] == every
                 weight[hit] = counts[at[hit]]
             pos = 0
-            for doc_id, s in zip(batch.column(0).to_pylist(), sets, strict=True):
+            for s in sets:
                 w = weight[pos : pos + len(s)]
                 pos += len(s)
-                if len(s):
-                    k = prefix_length(len(s), percent)
-                    rare = s[w == 0][:k]  # sets are sorted: the rarest in order of their hash
-                    if len(rare) < k:
-                        rare = s[np.lexsort((s, w))[:k]]
-                    ids.append(doc_id)
-                    sizes.append(len(s))
-                    lists.append(rare.view(np.int64))
-                    sigs.append(signature(s))
-            flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+                k = prefix_length(len(s), percent)
+                rare = s[w == 0][:k]  # sets are sorted: the rarest in order of their hash
+                if len(rare) < k:
+                    rare = s[np.lexsort((s, w))[:k]]
+                sizes.append(len(s))
+                digests.append(blake2b(s.tobytes(), digest_size=16).digest())
+                lists.append(rare.view(np.int64))
+                sigs.append(signature(s))
+            d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             cuts = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+            prefix = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(lists)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat)), pa.array(sigs, pa.binary())],
-                ["id", "n", "prefix", "sig"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), prefix, pa.array(sigs, pa.binary())],
+                ["id", "n", "d1", "d2", "prefix", "sig"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, prefix array<long>, sig binary")
+    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, prefix array<long>, sig binary")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, row_bytes: int, words: int) -> DataFrame:
@@ -229,10 +221,12 @@ def _tested(docs: DataFrame, points: DataFrame, pairs: DataFrame, least: int, wo
     pairs left are made from the texts and meet at the pivot, so every pair
     moves one set.
     """
-    pairs = pairs.where(100 * F.least("n", "np") >= least * F.greatest("n", "np"))
-    sigs = points.select(F.col("id").alias("__id"), "sig")
-    pairs = pairs.join(sigs.withColumnRenamed("sig", "sa"), F.col("id") == F.col("__id")).drop("__id")
-    pairs = pairs.join(sigs.withColumnRenamed("sig", "sb"), F.col("p") == F.col("__id")).drop("__id")
+    pairs = stored(pairs.where(100 * F.least("n", "np") >= least * F.greatest("n", "np")), "pairs")
+    few = broadcast_checked(pairs.withColumnRenamed("id", "__id"), 48)
+    pairs = points.select("id", F.col("sig").alias("sa")).join(few, F.col("id") == F.col("__id")).drop("__id")
+    ends = broadcast_checked(few.select("p").distinct(), 16)
+    sigs = points.select(F.col("id").alias("__id"), F.col("sig").alias("sb")).join(ends, F.col("__id") == F.col("p"), "left_semi")
+    pairs = pairs.join(sigs, F.col("p") == F.col("__id")).drop("__id")
     pairs = pairs.withColumn("bound", _bound("sa", "sb"))
     possible = (F.col("bound") < 0) | (100 * F.col("bound") >= least * (F.col("n") + F.col("np") - F.col("bound")))
     left = stored(pairs.where(possible).select("id", "p", "n", "np"), "pairs-left")
@@ -265,7 +259,8 @@ def _first_regions(prefixes: DataFrame) -> DataFrame:
     # A region of two points is told by its smallest and largest member.
     two = groups.where("k = 2").groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("weight"))
     two = two.select(F.xxhash64(F.lit(2), "lo", "hi").alias("region"), F.explode(F.array("lo", "hi")).alias("id"), "weight")
-    two = two.join(sizes, "id").select("region", "id", "n", "weight")
+    two = stored(two, "shingle-pairs")
+    two = sizes.join(broadcast_checked(two, 40), "id").select("region", "id", "n", "weight")
     more = groups.where("k > 2").select(F.col("shingle").alias("__shingle"))
     many = rows.join(broadcast_checked(more, 16), F.col("shingle") == F.col("__shingle"), "left_semi")
     many = stored(many.select(F.col("shingle").alias("region"), "id", "n", F.lit(1).cast("long").alias("weight")), "shingle-members")
@@ -293,14 +288,17 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
     turn = 0
     while True:
         turn += 1
-        members = members.select("region", "id", "n").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        members = members.select("region", "id", "n").join(broadcast_checked(comps, 32), "id", "left")
+        members = stored(members.withColumn("comp", F.coalesce("comp", "id")), "members")
         # Regions with one component are done; pivots come from all but a region's largest component.
         parts = members.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("k"))
         state = parts.groupBy("region").agg(F.count(F.lit(1)).alias("parts"), F.sum("k").alias("k"), F.max(F.struct("k", "comp")).alias("top"))
         state = state.where("parts > 1").select(F.col("region").alias("r"), F.col("top.comp").alias("top"), (F.col("k") - F.col("top.k")).alias("rest"))
-        open_ = stored(members.join(state, F.col("region") == F.col("r")).drop("r"), "open-regions")
-        if not open_.limit(1).count():
+        state = stored(state, "region-state")
+        regions = state.count()
+        if not regions:
             return comps
+        open_ = stored(members.join(broadcast_checked(state, 40, rows=regions), F.col("region") == F.col("r")).drop("r"), "open-regions")
         chosen = open_.where("comp <> top")
         order = F.xxhash64(F.lit(turn), "id", "region")
         first = chosen.groupBy("region").agg(F.min(F.struct(order.alias("o"), F.col("id"), F.col("n"), F.col("comp"))).alias("p"))
@@ -309,12 +307,15 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
         pivots = first.select("region", "p.id", "p.n", "p.comp").unionByName(drawn).distinct()
         pivots = stored(pivots.select("region", F.col("id").alias("p"), F.col("n").alias("np"), F.col("comp").alias("cp")), "pivots")
         # Distances to the region's pivots of other components; what is beyond 2 eps is not listed.
-        pairs = open_.join(pivots, "region").where("id <> p and comp <> cp")
-        pairs = stored(pairs.select("region", "id", "p", "n", "np"), "pivot-pairs")
+        # Sets whose sizes differ too much are beyond 2 eps unseen.
+        alike = 100 * F.least("n", "np") >= wide * F.greatest("n", "np")
+        reach = pivots.withColumnRenamed("region", "r")
+        met = (F.col("region") == F.col("r")) & (F.col("id") != F.col("p")) & (F.col("comp") != F.col("cp")) & alike
+        pairs = stored(open_.join(broadcast_checked(reach, 48), met).select("region", "id", "p", "n", "np"), "pivot-pairs")
         ordered = pairs.select(F.greatest("id", "p").alias("id"), F.least("id", "p").alias("p"), F.when(F.col("id") > F.col("p"), F.col("n")).otherwise(F.col("np")).alias("n"), F.when(F.col("id") > F.col("p"), F.col("np")).otherwise(F.col("n")).alias("np"))
         found = stored(_tested(docs, points, ordered.distinct(), wide, words), "pivot-distances")
         found = found.select(F.col("id").alias("a"), F.col("p").alias("b"), "inter")
-        near_p = pairs.join(found, (F.greatest("id", "p") == F.col("a")) & (F.least("id", "p") == F.col("b")))
+        near_p = pairs.join(broadcast_checked(found, 40), (F.greatest("id", "p") == F.col("a")) & (F.least("id", "p") == F.col("b")))
         union_ = F.col("n") + F.col("np") - F.col("inter")
         near_p = near_p.select("region", "id", "p", "n", (100 * F.col("inter") >= near * union_).alias("link"), (F.col("inter") / union_).alias("likeness"))
         near_p = stored(near_p, "region-distances")
@@ -323,11 +324,12 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
         homes = near_p.where("link").groupBy("region", "id").agg(F.max_by("p", F.struct("likeness", "p")).alias("p"))
         homes = stored(homes, "homes")
         cells = homes.select(F.col("region").alias("r"), F.col("p").alias("q")).distinct()
-        inside = near_p.join(cells, (F.col("region") == F.col("r")) & (F.col("p") == F.col("q"))).drop("r", "q")
+        inside = near_p.join(broadcast_checked(stored(cells, "cells"), 32), (F.col("region") == F.col("r")) & (F.col("p") == F.col("q"))).drop("r", "q")
         done = pivots.select("region", F.col("p").alias("id"))  # pivots have met their whole region
+        done = broadcast_checked(done, 32)
         inside = inside.join(done, ["region", "id"], "left_anti")
         inside = inside.select(F.xxhash64(F.lit(3), F.col("region"), F.col("p"), F.lit(turn)).alias("region"), "id", "n")
-        outer = open_.join(done.unionByName(homes.select("region", "id")).distinct(), ["region", "id"], "left_anti")
+        outer = open_.join(done, ["region", "id"], "left_anti").join(broadcast_checked(homes.select("region", "id"), 32), ["region", "id"], "left_anti")
         outer = outer.select(F.xxhash64(F.lit(4), F.col("region"), F.lit(turn)).alias("region"), "id", "n")
         both = stored(inside.unionByName(outer).withColumn("weight", F.lit(1).cast("long")), "next-members")
         members = stored(_distinct_regions(both), "next-regions")
@@ -338,18 +340,17 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
 def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    survey = stored(_survey(docs, words), "shingle-survey")
-    points = survey.where(F.col("shingle").isNull()).select("doc_id", "n", "d1", "d2")
-    whole = points.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = whole.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("__most"))
+    points = stored(_points(docs, _frequent(docs, words), words, percent), "shingle-points")
+    whole = points.where((F.col("n") > 0) & F.col("id").isNotNull())
+    # Classes of equal sets; the smallest doc_id stands for its class.
+    classes = whole.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.max("id").alias("__most"))
     classes = stored(classes.where("rep <> __most").drop("__most"), "shingle-classes")
-    few = broadcast_checked(classes, 32)
-    reps = points.join(few, ["d1", "d2"], "left").withColumn("rep", F.coalesce("rep", "doc_id"))
-    copies = stored(reps.where("n > 0 and rep <> doc_id").select(F.col("doc_id").alias("id")).distinct(), "shingle-copies")
-    prefixes = _prefixes(docs.where(F.col("doc_id").isNotNull()), _frequent(survey), words, percent)
-    prefixes = stored(prefixes, "shingle-prefixes").join(broadcast_checked(copies, 16), "id", "left_anti")
-    comps = find_components(docs, prefixes, words, percent)
-    found = reps.join(comps, (F.col("rep") == F.col("id")) & (F.col("n") > 0), "left")
+    rows = points.select("id", "n", "d1", "d2").join(broadcast_checked(classes, 40), ["d1", "d2"], "left")
+    rows = rows.select(F.col("id").alias("doc_id"), "n", F.coalesce("rep", "id").alias("rep"))
+    copies = stored(rows.where("n > 0 and rep <> doc_id").select(F.col("doc_id").alias("id")).distinct(), "shingle-copies")
+    reps = whole.join(broadcast_checked(copies, 16), "id", "left_anti")
+    comps = find_components(docs, reps, words, percent).withColumnRenamed("id", "__id")
+    found = rows.join(broadcast_checked(comps, 32), (F.col("rep") == F.col("__id")) & (F.col("n") > 0), "left")
     comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", F.when(F.col("n") > 0, F.col("rep")), "doc_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"))
 

@@ -40,10 +40,10 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 
 #: Ids per block, and characters encoded at once.
-BLOCK_IDS = 1 << 21
-BATCH_CHARS = 1 << 21
+BLOCK_IDS = 1 << 20
+BATCH_CHARS = 1 << 20
 #: Pieces a worker remembers before it starts anew (a cache: no effect on results).
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 400_000
 
 LETTER, NUMBER, SPACE = 1, 2, 3
 
