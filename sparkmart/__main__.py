@@ -36,7 +36,7 @@ def _params(args):
 
     now = dt.datetime.fromisoformat(args.now) if args.now else dt.datetime.now(dt.UTC).replace(tzinfo=None, microsecond=0)
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else now.date()
-    return BuildParams(now=now, as_of=as_of)
+    return BuildParams(now=now, as_of=as_of, fact_partition=None if args.fact_partition == "none" else args.fact_partition)
 
 
 def cmd_build(spark: SparkSession, args) -> dict:
@@ -66,7 +66,8 @@ def cmd_sync(spark: SparkSession, args) -> list[dict]:
         v = latest_version(spark, args.target, spec.name)
         new = spark.createDataFrame([], sources[spec.name].schema)
         targets[spec.name] = new if v is None else read_snapshot(spark, args.target, spec.name, v)
-    results = sync.sync_all(sources, targets, out_dir=args.target)
+    layout = {} if args.fact_partition == "none" else {"fact_orders": (args.fact_partition,)}
+    results = sync.sync_all(sources, targets, out_dir=args.target, partition_by=layout)
     return [r.asDict() for r in sync.sync_report(spark, results).orderBy("sync_order").collect()]
 
 
@@ -98,6 +99,8 @@ def main(argv: list[str] | None = None) -> int:
     s = sub.add_parser("sync")
     s.add_argument("--source", required=True)
     s.add_argument("--target", required=True)
+    for name in ("build", "load", "sync"):
+        sub.choices[name].add_argument("--fact-partition", default="date_key", help="stored layout of the fact; none: sorted by day")
     r = sub.add_parser("report")
     r.add_argument("--warehouse", required=True)
     r.add_argument("--view", choices=("monthly", "rank"), default="monthly")

@@ -1,6 +1,7 @@
 """End-to-end build on the smallest test data: the properties of SURVEY §5."""
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,13 +15,15 @@ from sparkmart.plans.build import new_lines, run_load
 from sparkmart.sources.sinks import read_snapshot, versions
 
 SF = "/root/testdata/sf0.001"
+#: A directory per day is many tiny files here; one test below builds that layout.
+FLAT = BuildParams(fact_partition=None)
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
 
 def test_build_writes_consistent_snapshots(spark, tmp_path):
     src = Sources(spark, SF)
     out = str(tmp_path / "wh")
-    run_build(src, BuildParams(), out_dir=out)
+    run_build(src, FLAT, out_dir=out)
     t = {name: read_snapshot(spark, out, name) for name in ("raw_order", "dim_date", "dim_facility", "dim_product", "fact_orders")}
 
     # One fact row per staged line, one per source line.
@@ -55,24 +58,25 @@ def test_build_writes_consistent_snapshots(spark, tmp_path):
 
 def test_sync_all_then_nothing_left(spark, tmp_path):
     src = Sources(spark, SF)
-    wh = run_build(src, BuildParams())
+    wh = run_build(src, FLAT)
     source = {"dim_date": wh.dim_date, "dim_facility": wh.dim_facility, "dim_product": wh.dim_product, "fact_orders": wh.fact_orders}
     empty = {name: spark.createDataFrame([], df.schema) for name, df in source.items()}
     out = str(tmp_path / "target")
-    first = sync.sync_all(source, empty, out_dir=out)
+    months = {"dim_date": ("month",)}
+    first = sync.sync_all(source, empty, out_dir=out, partition_by=months)
     assert [r.rows for r in first] == [df.count() for df in source.values()]
     targets = {spec.name: read_snapshot(spark, out, spec.name) for spec in schemas.WAREHOUSE_SPECS}
-    second = sync.sync_all(source, targets, out_dir=out)
+    second = sync.sync_all(source, targets, out_dir=out, partition_by=months)
     assert [r.rows for r in second] == [0, 0, 0, 0]
-    # Nothing newer: no new version; the fact keeps its layout.
+    # Nothing newer: no new version; a table keeps its layout.
     assert [versions(spark, out, spec.name) for spec in schemas.WAREHOUSE_SPECS] == [{0: True}] * 4
-    assert os.listdir(os.path.join(out, "fact_orders", "version=0"))[0].startswith(("date_key=", "_SUCCESS", "."))
+    assert "month=7" in os.listdir(os.path.join(out, "dim_date", "version=0"))
 
 
 def test_views_are_queryable_with_sql(spark):
     from sparkmart.sources.tables import register_warehouse_views
 
-    wh = run_build(Sources(spark, SF), BuildParams(), keyed_lines=False)
+    wh = run_build(Sources(spark, SF), FLAT, keyed_lines=False)
     names = register_warehouse_views(spark, wh)
     assert "vw_monthly_revenue" in names
     by_sql = spark.sql("SELECT year, month, revenue FROM vw_monthly_revenue ORDER BY year, month").collect()
@@ -112,11 +116,11 @@ def test_second_load_keeps_keys_and_history(spark, tmp_path):
 
     out = str(tmp_path / "wh")
     src = Sources(spark, SF)
-    params = BuildParams()
+    params = FLAT
     first = run_load(src.until(dt.date(1998, 1, 1)), params, out)
     keys = {r.order_line_key: tuple(r) for r in first.fact_orders.collect()}
     # An early order appears only now: the later load must not move any key.
-    second = run_load(src, BuildParams(now=dt.datetime(2003, 1, 1)), out, apply_edits=True)
+    second = run_load(src, replace(FLAT, now=dt.datetime(2003, 1, 1)), out, apply_edits=True)
     rows = {r.order_line_key: tuple(r) for r in second.fact_orders.select(*first.fact_orders.columns).collect()}
     assert len(rows) == src.order_line_unkeyed.count() and sorted(rows) == list(range(1, len(rows) + 1))
     assert all(rows[k] == v for k, v in keys.items())
@@ -126,7 +130,7 @@ def test_second_load_keeps_keys_and_history(spark, tmp_path):
     assert len(facility) == 1 and facility[0].facility_name == params.renamed_facility[1]
     assert [versions(spark, out, t) for t in second.tables()] == [{0: True, 1: True}] * 7
     # A third load of the same source adds nothing.
-    third = run_load(src, BuildParams(now=dt.datetime(2004, 1, 1)), out, apply_edits=True)
+    third = run_load(src, replace(FLAT, now=dt.datetime(2004, 1, 1)), out, apply_edits=True)
     assert third.fact_orders.count() == len(rows)
 
 
@@ -147,7 +151,7 @@ def test_a_failing_gate_publishes_nothing(spark, tmp_path):
     src = Sources(spark, SF)
     src.__dict__["facility"] = src.facility.withColumn("facility_name", F.when(F.col("facility_id") != 3, F.col("facility_name")))
     with pytest.raises(QualityError):
-        run_build(src, BuildParams(), keyed_lines=False, out_dir=out)
+        run_build(src, FLAT, keyed_lines=False, out_dir=out)
     assert versions(spark, out, "fact_orders") == {}
 
 
@@ -155,7 +159,7 @@ def test_lines_of_unknown_parts_reach_the_fact(spark):
     src = Sources(spark, SF)
     src.raw("part")
     src.__dict__["_raw"]["part"] = src.raw("part").where("p_partkey <> 7")
-    wh = run_build(src, BuildParams(), keyed_lines=False)
+    wh = run_build(src, FLAT, keyed_lines=False)
     assert wh.fact_orders.count() == src.raw("lineitem").count()
     lost = src.raw("lineitem").where("l_partkey = 7").count()
     assert lost > 0 and wh.fact_orders.where("product_key = -1").count() == lost
