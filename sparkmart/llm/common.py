@@ -74,6 +74,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows per partition of small derived tables.
+PART_ROWS = 100_000
+
+
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, known to have at most ``rows`` rows, in no more partitions than these fill."""
+    return df.coalesce(max(1, -(-rows // PART_ROWS)))
+
+
 #: Default bound of a broadcast side; its rows are counted before it is sent.
 BROADCAST_BYTES = 24 * 1024 * 1024
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import broadcast_checked, stored
+from sparkmart.llm.common import broadcast_checked, sized, stored
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -24,18 +24,18 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(edges, "links")
     seen = _fingerprint(edges)
     while True:
-        small_enough = seen[0]  # at most two minima per link
+        rows = 2 * seen[0]  # at most two minima per link
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        least = broadcast_checked(least, 24, rows=2 * small_enough)
+        least = broadcast_checked(sized(least, rows), 24, rows=rows)
         large = both.join(least, F.col("u") == F.col("k")).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        low = broadcast_checked(lowest.select(F.col("u").alias("k"), "m"), 24, rows=2 * small_enough)
+        lowest = sized(large.groupBy("u").agg(F.min("v").alias("m")), rows)
+        low = broadcast_checked(lowest.select(F.col("u").alias("k"), "m"), 24, rows=rows)
         small = large.join(low, F.col("u") == F.col("k")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), "links")
+        edges = stored(sized(small.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), rows), "links")
         now = _fingerprint(edges)
         if now == seen:
             break
         seen = now
-    roots = edges.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("comp"))
+    roots = sized(edges.select(F.col("v").alias("id")).distinct(), seen[0]).select("id", F.col("id").alias("comp"))
     return stored(edges.select(F.col("u").alias("id"), F.col("v").alias("comp")).unionByName(roots), "components")

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.llm.arrowtext import LOWER, hash_spans, mix64, shards, text_bytes, words_of
-from sparkmart.llm.common import broadcast_checked, stored
+from sparkmart.llm.common import broadcast_checked, sized, stored
 from sparkmart.llm.components import components
 
 #: Words per shingle; links need 100 * intersection >= PERCENT * union.
@@ -235,6 +235,7 @@ def _tested(docs: DataFrame, points: DataFrame, pairs: DataFrame, least: int, wo
     both = sets.join(pivots, F.col("p") == F.col("q")).withColumn("inter", F.size(F.array_intersect("set", "pivot")).cast("long"))
     # The smaller value if a doc_id has several texts; one row per pair either way.
     both = both.groupBy("id", "p", "n", "np").agg(F.min("inter").alias("inter"))
+    both = sized(both, left.count())
     return both.where(100 * F.col("inter") >= least * (F.col("n") + F.col("np") - F.col("inter")))
 
 
@@ -245,7 +246,7 @@ def _distinct_regions(members: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64(F.lit(6), "id")).alias("s"), F.bit_xor(F.xxhash64(F.lit(7), "id")).alias("x"),
     )
     kept = marks.where("k > 1").groupBy("k", "lo", "hi", "s", "x").agg(F.min("region").alias("region"), F.sum("w").alias("w"))
-    kept = stored(kept.select(F.col("region").alias("__region"), "w"), "regions")
+    kept = stored(sized(kept.select(F.col("region").alias("__region"), "w"), members.count()), "regions")
     rows = members.join(broadcast_checked(kept, 24), F.col("region") == F.col("__region"))
     return rows.select("region", "id", "n", F.col("w").alias("weight"))
 
@@ -277,6 +278,7 @@ def _first_links(docs: DataFrame, points: DataFrame, members: DataFrame, near: i
     pairs = members.join(pivots, F.col("region") == F.col("r")).where("id <> p")
     pairs = pairs.groupBy("id", "n", "p", "np").agg(F.sum("weight").alias("w"))
     best = pairs.groupBy("id", "n").agg(F.max(F.struct("w", F.negative("p").alias("m"), "p", "np")).alias("b"))
+    best = sized(best, members.count())
     return _tested(docs, points, best.select("id", F.col("b.p").alias("p"), "n", F.col("b.np").alias("np")), near, words).select(F.col("id").alias("u"), F.col("p").alias("v"))
 
 
@@ -291,10 +293,11 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
         members = members.select("region", "id", "n").join(broadcast_checked(comps, 32), "id", "left")
         members = stored(members.withColumn("comp", F.coalesce("comp", "id")), "members")
         # Regions with one component are done; pivots come from all but a region's largest component.
-        parts = members.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("k"))
+        total = members.count()
+        parts = sized(members.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("k")), total)
         state = parts.groupBy("region").agg(F.count(F.lit(1)).alias("parts"), F.sum("k").alias("k"), F.max(F.struct("k", "comp")).alias("top"))
         state = state.where("parts > 1").select(F.col("region").alias("r"), F.col("top.comp").alias("top"), (F.col("k") - F.col("top.k")).alias("rest"))
-        state = stored(state, "region-state")
+        state = stored(sized(state, total), "region-state")
         regions = state.count()
         if not regions:
             return comps
@@ -304,7 +307,8 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
         first = chosen.groupBy("region").agg(F.min(F.struct(order.alias("o"), F.col("id"), F.col("n"), F.col("comp"))).alias("p"))
         share = float(PIVOTS * 4 ** (turn - 1)) / F.col("rest")
         drawn = chosen.where(_draw(F.lit(100 + turn), F.col("id"), F.col("region")) < share).select("region", "id", "n", "comp")
-        pivots = first.select("region", "p.id", "p.n", "p.comp").unionByName(drawn).distinct()
+        pivots = first.select("region", "p.id", "p.n", "p.comp").unionByName(drawn)
+        pivots = sized(pivots.distinct(), total)
         pivots = stored(pivots.select("region", F.col("id").alias("p"), F.col("n").alias("np"), F.col("comp").alias("cp")), "pivots")
         # Distances to the region's pivots of other components; what is beyond 2 eps is not listed.
         # Sets whose sizes differ too much are beyond 2 eps unseen.
@@ -322,8 +326,8 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
         links = near_p.where("link").select(F.col("id").alias("u"), F.col("p").alias("v")).distinct()
         # Next regions: a cell around each pivot that has linked points, with its boundary points; the outer rest.
         homes = near_p.where("link").groupBy("region", "id").agg(F.max_by("p", F.struct("likeness", "p")).alias("p"))
-        homes = stored(homes, "homes")
-        cells = homes.select(F.col("region").alias("r"), F.col("p").alias("q")).distinct()
+        homes = stored(sized(homes, near_p.count()), "homes")
+        cells = sized(homes.select(F.col("region").alias("r"), F.col("p").alias("q")).distinct(), homes.count())
         inside = near_p.join(broadcast_checked(stored(cells, "cells"), 32), (F.col("region") == F.col("r")) & (F.col("p") == F.col("q"))).drop("r", "q")
         done = pivots.select("region", F.col("p").alias("id"))  # pivots have met their whole region
         done = broadcast_checked(done, 32)
