@@ -33,8 +33,6 @@ HEADLINE = (
     "q_asof_product_join",
     "q_upsert_fact",
 )
-# Started from the raw files for every run; the others read what is stored.
-FROM_RAW = ("q_pipeline", "q_scd2_product")
 
 
 def main() -> None:
