@@ -173,6 +173,7 @@ def _points(docs: DataFrame, frequent, words: int, percent: int) -> DataFrame:
                 at = np.minimum(np.searchsorted(known, every), len(known) - 1)
                 hit = known[at] == every
                 weight[hit] = counts[at[hit]]
+            weight[every >= COUNTED] = np.iinfo(np.int32).max  # the uncounted part of the range comes last
             pos = 0
             for s in sets:
                 w = weight[pos : pos + len(s)]
