@@ -246,18 +246,19 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
 
     def hashes(batches):
         for batch in batches:
-            hosts, out = [], []
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = subtrees(page) if page else []
-                out.extend(found)
-                hosts.extend([host] * len(found))
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(out, pa.int64())], ["host", "hash"])
+            digests, out = [], []
+            for page in batch.column(1).to_pylist():
+                page = page or ""
+                digests.append(blake2b(page.encode("utf-8", "replace"), digest_size=16).digest())
+                out.append(subtrees(page) if page else [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(out, pa.list_(pa.int64()))], ["host", "digest", "hashes"])
 
     # A page copied many times is one page of its host.
     rows = pages.select(urls.host(F.col("url")).alias("host"), F.col("html"))
-    sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages")).where(F.col("n_pages") >= min_pages)
-    found = rows.mapInArrow(hashes, "host string, hash long")
-    counts = found.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+    found = rows.mapInArrow(hashes, "host string, digest binary, hashes array<long>")
+    different = stored(found.groupBy("host", "digest").agg(F.first("hashes").alias("hashes")).select("host", "hashes"), "html-pages")
+    sizes = different.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages")).where(F.col("n_pages") >= min_pages)
+    counts = different.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
     common = counts.join(broadcast_checked(sizes, 64), "host").where(F.col("n") >= min_share * F.col("n_pages"))
     return common.groupBy("host").agg(F.array_sort(F.collect_list("hash")).alias("hashes"))
 

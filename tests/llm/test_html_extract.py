@@ -49,3 +49,16 @@ def test_templates_per_host(llm):
     assert got[40] == "a copied story" and got[60] == got[61] == "" and got[62] == "x" and got[None] == "y"
     assert all(r["n_chars"] == len(r["text"]) for r in out)
     assert extract(pages.limit(0)).count() == 0
+
+
+def test_copies_of_a_page_count_once(llm):
+    rows = [(i, f"http://d.com/{i}", "<article><div><p>copied words</p></div></article>") for i in range(9)]
+    rows += [(20 + i, f"http://e.com/{i}", "<p>copied words</p>") for i in range(9)]
+    # Copies don't hide the template of the other pages either.
+    rows += [(40 + i, f"http://f.com/{i}", "<article>a copied story</article>") for i in range(40)]
+    rows += [(80 + i, f"http://f.com/x{i}", f"<article><p>own text {i}</p><div>About f.com</div></article>") for i in range(6)]
+    pages = llm.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in extract(pages).collect()}
+    assert {got[i] for i in range(9)} == {got[20 + i] for i in range(9)} == {"copied words"}
+    assert {got[40 + i] for i in range(40)} == {"a copied story"}
+    assert [got[80 + i] for i in range(6)] == [f"own text {i}" for i in range(6)]
