@@ -8,12 +8,14 @@ stay fixed) in a random direction until one fraction is 0 or 1.  Documents
 are folded in buckets of about ``FAN`` rows, each bucket leaves at most one
 undecided document, and these meet again in the next level of a reduction
 tree, so the last one per source is at most one document off the target.
-Randomness is a hash of the two ids and the seed: reruns agree.
+Randomness is a hash of the two ids and the seed: reruns agree.  Rows with
+null or repeated doc_id are told apart by their source and text, rows equal
+in these too by their place in the input.
 
 Defined results: null text has size 0 and takes 0 words; null source is a
 source of its own, last in order; a source without words has target 0; an
-empty table gives an empty table; repeated rows of one doc_id
-share one rounding (the larger); rows with null doc_id take the whole part only.
+empty table gives an empty table; every row, of a null or repeated doc_id
+too, is a document of its own with its own rounding.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import WORD, stored
+from sparkmart.llm.common import WORD, broadcast_checked, stored
 
 #: Rows folded in one bucket (average).
 FAN = 100
@@ -97,13 +99,13 @@ def pivotal_rounding(df: DataFrame, seed: int = 11, fan: int = FAN) -> DataFrame
     buckets = F.ceil(F.col("__n") / fan)
     joined = df.join(F.broadcast(counts) if counts.count() <= 100_000 else counts, df["stratum"].eqNullSafe(counts["stratum"])).drop(counts["stratum"])
     level = joined.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "key", "size"), buckets)).drop("__n")
-    member = "struct<key:bigint,size:double,x:double>"
+    kind = df.schema["key"].dataType.simpleString()
+    member, outcome = f"struct<key:{kind},size:double,x:double>", f"array<struct<key:{kind},up:int>>"
     decided = []
     width = largest
     while True:
         groups = level.groupBy("stratum", "bucket").agg(F.array_sort(F.collect_list(F.struct("key", "size", "x"))).alias("d"))
-        start = F.struct(F.lit(None).cast(member).alias("cur"), F.lit(None).cast("array<struct<key:bigint,up:int>>").alias("out"))
-        start = F.struct(start["cur"].alias("cur"), F.array().cast("array<struct<key:bigint,up:int>>").alias("out"))
+        start = F.struct(F.lit(None).cast(member).alias("cur"), F.array().cast(outcome).alias("out"))
         folded = groups.select("stratum", "bucket", F.aggregate("d", start, lambda acc, b: _meet(acc, b, seed)).alias("r"))
         folded = stored(folded, "mix-level")
         decided.append(folded.select("stratum", F.explode("r.out").alias("o")).select("stratum", "o.key", "o.up"))
@@ -117,20 +119,43 @@ def pivotal_rounding(df: DataFrame, seed: int = 11, fan: int = FAN) -> DataFrame
     return last
 
 
-def mix(df: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 11) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target (its source's), copies, taken."""
-    docs = stored(df.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+def _keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__key``, a struct that no two rows share; its hash is that of the doc_id where this is unique.
+
+    Of a null or repeated doc_id the key also has the hash of source and text,
+    and of rows equal in these the row's number.
+    """
+    parts = [F.col("__id"), F.lit(None).cast("long"), F.lit(None).cast("long")]
+    repeated = docs.groupBy(F.col("__id").alias("__i")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1 or __i is null")
+    repeated = stored(repeated.select("__i", F.lit(True).alias("__many")), "mix-repeated")
+    if n := repeated.count():
+        docs = docs.join(broadcast_checked(repeated, 24, rows=n), F.col("__id").eqNullSafe(F.col("__i")), "left").drop("__i")
+        same = docs.where("__many").groupBy(F.col("__id").alias("__i"), F.col("__text").alias("__t")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+        same = stored(same.select("__i", "__t", F.lit(True).alias("__same")), "mix-same")
+        alike = F.col("__many") & F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__text") == F.col("__t"))
+        docs = docs.join(broadcast_checked(same, 32), alike, "left").drop("__i", "__t")
+        parts[1:] = F.when(F.col("__many"), F.col("__text")), F.when(F.col("__same"), F.col("__row"))
+    return docs.withColumn("__key", F.struct(*[c.alias(k) for c, k in zip(parts, ("id", "text", "row"), strict=True)])).drop("__many", "__same")
+
+
+def mix(df: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 11, carry=()) -> DataFrame:
+    """Per row: doc_id, source, size, source_size, target (its source's), copies, taken; with ``carry``, a struct ``carried`` of these columns."""
+    sized = df.select(
+        "doc_id", "source", word_count(F.col("text")).alias("size"), F.col("doc_id").cast("long").alias("__id"),
+        F.xxhash64("source", "text").alias("__text"), F.monotonically_increasing_id().alias("__row"), *([F.struct(*carry).alias("carried")] if carry else []),
+    )
+    docs = stored(sized, "mix-sizes")
     sources = targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
     sources = stored(sources, "mix-targets").withColumnRenamed("source", "__source")
     few = F.broadcast(sources) if sources.count() <= 100_000 else sources
+    docs = _keys(docs)
     docs = docs.join(few, docs["source"].eqNullSafe(F.col("__source"))).drop("__source")
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     docs = docs.withColumn("__whole", F.floor(copies + 1e-12)).withColumn("__x", F.greatest(copies - F.col("__whole"), F.lit(0.0)))
-    key = F.col("doc_id").cast("long")
     open_rows = docs.where((F.col("__x") > 1e-12) & (F.col("size") > 0)).select(
-        F.col("source").alias("stratum"), key.alias("key"), F.col("size").cast("double").alias("size"), F.col("__x").alias("x")
+        F.col("source").alias("stratum"), F.col("__key").alias("key"), F.col("size").cast("double").alias("size"), F.col("__x").alias("x")
     )
-    ups = pivotal_rounding(open_rows, seed).groupBy("key").agg(F.max("up").alias("__up"))
-    docs = docs.join(ups, docs["doc_id"] == ups["key"], "left").drop("key")
+    ups = pivotal_rounding(open_rows, seed).where("up = 1").select("key", F.col("up").alias("__up"))
+    docs = docs.join(broadcast_checked(ups, 64), docs["__key"] == ups["key"], "left").drop("key")
     docs = docs.withColumn("copies", (F.col("__whole") + F.coalesce("__up", F.lit(0))).cast("long"))
-    return docs.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    return docs.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), *(["carried"] if carry else []))

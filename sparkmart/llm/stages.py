@@ -38,10 +38,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (a row per copy)."""
     from sparkmart.llm.mixing import mix
 
-    docs = docs.select(*COLUMNS)
-    taken = mix(docs).where("copies > 0").select(F.col("doc_id").alias("__id"), "copies")
-    joined = docs.join(taken, docs["doc_id"] == F.col("__id"))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
+    taken = mix(docs.select(*COLUMNS), carry=COLUMNS).where("copies > 0")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[f"carried.{c}" for c in COLUMNS])
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,3 +78,33 @@ def test_edge_rows(frame):
     assert len(got) == 5
     assert all(r["taken"] == 0 for r in got if r["size"] == 0)
     assert all(r["taken"] <= 2 * r["size"] for r in got)
+
+
+def test_null_and_repeated_ids_are_documents_of_their_own(llm, frame):
+    from sparkmart.llm.stages import COLUMNS, mix_sources
+
+    texts = [f"{'w ' * (1 + i % 40)}{i}" for i in range(600)]
+    ids = [None if i % 3 == 0 else 7 if i % 3 == 1 else 1000 + i for i in range(600)]
+    docs = list(zip(ids, texts, strict=True)) + [(None, "same words here")] * 60 + [(7, "other same words")] * 60
+    df = frame(docs, sources=["a" if i % 2 else "b" for i in range(len(docs))])
+    size = [len(WORD.findall(t)) for _, t in docs]
+    total = {s: sum(n for i, n in enumerate(size) if ("a" if i % 2 else "b") == s) for s in "ab"}
+    want = brute_targets(total)
+    got = mix(df).collect()
+    assert len(got) == len(docs)
+    for s in "ab":
+        assert abs(sum(r["taken"] for r in got if r["source"] == s) - want[s]) <= max(size) + 1e-6
+    out = mix_sources(llm, df, "")
+    assert tuple(out.columns) == COLUMNS
+    rows = out.collect()
+    assert len(rows) == sum(r["copies"] for r in got)
+    assert sum(len(WORD.findall(r["text"])) for r in rows) == sum(r["taken"] for r in got)
+    assert {r["doc_id"] is None for r in rows} == {True, False}
+    most = {t: 0 for _, t in docs}
+    for r in rows:
+        most[r["text"]] += 1
+    assert all(most[t] <= 2 for t in texts) and most["same words here"] <= 120
+    # Rows with unlike texts keep their copies however the table is dealt.
+    unlike = df.where("text not like '%same words%'")
+    again = [sorted((r["text"], r["doc_id"] or 0) for r in mix_sources(llm, x, "").collect()) for x in (unlike, unlike.repartition(5))]
+    assert again[0] == again[1]
