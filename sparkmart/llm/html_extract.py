@@ -177,66 +177,36 @@ def main_text(page: str, template: frozenset = frozenset()) -> str:
     tops = _articles(root)
     inside_of = {id(x) for x in tops}
     parts: list[str] = []
-
-    def walk(node, inside):
+    # An explicit stack: elements to enter, spans and separators, the next one last.
+    todo: list = []
+    for top in reversed(tops or [root]):
+        todo += [(top, False), " "]
+    while todo:
+        entry = todo.pop()
+        if isinstance(entry, str):
+            parts.append(entry)
+            continue
+        node, inside = entry
         inside = inside or id(node) in inside_of
-        if node.name in BLOCKS:
-            parts.append(" ")
+        ahead: list = []
         for x in node.kids:
             if isinstance(x, tuple):
-                parts.append(page[x[0] : x[1]])
-            elif x.name in BLOCKS or not x.kids:
-                if x.name in VOID or x.name not in BLOCKS:
-                    if x.name in ("br", "hr"):
-                        parts.append(" ")
-                    continue
-                if _dropped(x, inside):
-                    parts.append(" ")
-                elif template and (x.name in CONTAINERS or (not inside and x.name in TEXT_BLOCKS)) and _digest(page, x) in template:
-                    parts.append(" ")
-                else:
-                    deep.append((x, inside))
-                    walk_next()
-            elif not _dropped(x, inside):
-                deep.append((x, inside))
-                walk_next()
-        if node.name in BLOCKS:
-            parts.append(" ")
-
-    deep: list = []
-
-    def walk_next():
-        walk(*deep.pop())
-
-    for top in tops or [root]:
-        parts.append(" ")
-        _guarded(walk, top)
+                ahead.append(page[x[0] : x[1]])
+            elif x.name in VOID or (x.name not in BLOCKS and not x.kids):
+                if x.name in ("br", "hr"):
+                    ahead.append(" ")
+            elif _dropped(x, inside):
+                if x.name in BLOCKS:
+                    ahead.append(" ")
+            elif template and (x.name in CONTAINERS or (not inside and x.name in TEXT_BLOCKS)) and _digest(page, x) in template:
+                ahead.append(" ")
+            else:
+                ahead.append((x, inside))
+        edge = [" "] if node.name in BLOCKS else []
+        todo += [*edge, *reversed(ahead), *edge]
     return " ".join(html.unescape("".join(parts)).split())
 
 
-#: Elements nested deeper than this are read as flat text of their ancestor.
-MAX_DEPTH = 400
-
-
-def _guarded(walk, top):
-    """Flatten nesting beyond MAX_DEPTH (unclosed tags of a broken page) before the walk recurses."""
-    todo = [(top, 0)]
-    while todo:
-        node, depth = todo.pop()
-        if depth >= MAX_DEPTH:
-            flat, more = [], list(reversed(node.kids))
-            while more:
-                x = more.pop()
-                if isinstance(x, tuple) or not x.kids or _dropped(x, True):
-                    flat.append(x)
-                else:
-                    more.extend(reversed(x.kids))
-            node.kids = flat
-        else:
-            todo.extend((x, depth + 1) for x in node.kids if not isinstance(x, tuple))
-    walk(top, False)
-
-
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(host, hashes): the template subtrees of every host.
 

@@ -62,3 +62,12 @@ def test_copies_of_a_page_count_once(llm):
     assert {got[i] for i in range(9)} == {got[20 + i] for i in range(9)} == {"copied words"}
     assert {got[40 + i] for i in range(40)} == {"a copied story"}
     assert [got[80 + i] for i in range(6)] == [f"own text {i}" for i in range(6)]
+
+
+def test_deep_pages_keep_their_blocks_apart():
+    for name in ("div", "section", "b"):
+        deep = f"<{name}>" * 3000 + "<p>a</p><p>b</p><ul><li>c<li>d</ul>"
+        assert main_text(f"<article>{deep}</article>") == "a b c d"
+    box = "<div>box</div>"
+    page = "<article>" + "<section>" * 1000 + f"<p>a</p>{box}<p>b</p>"
+    assert main_text(page, frozenset(subtrees(box))) == "a b"
