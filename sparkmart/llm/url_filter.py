@@ -26,11 +26,10 @@ from sparkmart.llm.common import broadcast_checked, stored
 #: The production site rules (action, host/path).
 SITE_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
-#: Bounds of mined rules: share and number of labelled unwanted pages, share of unwanted pages among those matched, tokens.
+#: Bounds of mined rules: share and number of labelled unwanted pages, share of unwanted pages among those matched.
 MIN_SUPPORT = 0.001
 MIN_PAGES = 10
 MIN_CONFIDENCE = 0.6
-MAX_TOKENS = 4
 UNWANTED = "label:unwanted"
 
 
@@ -64,13 +63,14 @@ def labelled(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return ids.join(votes, F.col("page_id") == F.col("doc_id")).select("page_id", (F.col("__bad") == 1).alias("unwanted"))
 
 
-def mine(items: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+def mine(items: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int | None = None) -> DataFrame:
     """(antecedent, confidence, support) of the pruned rules for the unwanted label.
 
     ``items``: one array of distinct tokens per labelled page, with the label
     token on unwanted ones.  Only itemsets with the label token lead to rules,
     and each of them needs ``min_support``, so tokens that are rarer among the
-    unwanted pages are left out before the trees are built.
+    unwanted pages are left out before the trees are built.  Rules have any
+    number of tokens unless ``max_tokens`` is given.
     """
     n = items.count()
     schema = "antecedent array<string>, confidence double, support double"
@@ -82,7 +82,9 @@ def mine(items: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: flo
         return items.sparkSession.createDataFrame([], schema)
     # Frequent itemsets of the unwanted pages (each holds the label token); their counts on all pages follow.
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / max(1, bad.count())), minConfidence=1.0).fit(bad)
-    sets = model.freqItemsets.where(F.array_contains("items", UNWANTED) & F.size("items").between(2, max_tokens + 1))
+    sets = model.freqItemsets.where(F.array_contains("items", UNWANTED) & (F.size("items") >= 2))
+    if max_tokens is not None:
+        sets = sets.where(F.size("items") <= max_tokens + 1)
     sets = sets.select(F.array_sort(F.array_remove("items", UNWANTED)).alias("antecedent"), F.col("freq").alias("n_bad"))
     sets = stored(sets, "url-itemsets")
     every = matches(items.withColumn("id", F.monotonically_increasing_id()), sets.select("antecedent"), frequent)

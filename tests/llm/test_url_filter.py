@@ -75,3 +75,10 @@ def test_matching_by_the_rarest_token(llm):
     assert sorted((r["id"], *r["antecedent"]) for r in matches(pages, rules).collect()) == [(1, "a", "b"), (4, "a", "b"), (4, "c")]
     t = llm.createDataFrame([("http://www.free-bets.Example.com/en/12.html?b=1&a#x",)], "url string").select(tokens(F.col("url"))).first()[0]
     assert {"h:free", "h:bets", "h:free-bets", "p:en", "p:0.html", "q:a", "q:b"} <= set(t)
+
+
+def test_rules_of_many_tokens(llm):
+    whole = list("abcdef")
+    rows = [(whole + [UNWANTED],)] * 30 + [([x for x in whole if x != y],) for y in whole for _ in range(30)]
+    got = [(r["antecedent"], r["confidence"]) for r in mine(llm.createDataFrame(rows, "items array<string>")).collect()]
+    assert got == [(whole, 1.0)]
