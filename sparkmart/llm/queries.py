@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sparkmart.llm.common import ship, table
 
@@ -80,6 +79,27 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.packing import digest_rows
+
+    ship(spark)
+    return digest_rows(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.merkle import document_proofs
+
+    ship(spark)
+    return document_proofs(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkmart.llm.whitening import component_rows
+
+    ship(spark)
+    return component_rows(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op3_warc": op3_warc,
     "op4_token_output": op4_token_output,
@@ -91,4 +111,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_html_extract": op10_html_extract,
+    "op11_harmonic_packing": op11_harmonic_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }

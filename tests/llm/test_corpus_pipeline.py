@@ -18,7 +18,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_registry():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= names and set(ORACLE) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "ngram_jaccard_join", "benchmark_decontamination", "source_mixing", "token_output"]
 
