@@ -44,7 +44,8 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, x, k1, k2) of the valid rows; the keys are a 128-bit hash of x."""
     v = F.col(vector_col)
     valid = v.isNotNull() & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < LARGEST))
-    x = F.transform(v, lambda c: F.floor(SCALE * c.cast("double")) + F.lit(SHIFT).cast("long"))
+    # Only valid vectors are scaled, wherever the filter below is run.
+    x = F.transform(F.when(valid, v), lambda c: F.floor(SCALE * c.cast("double")) + F.lit(SHIFT).cast("long"))
     rows = vectors.where(valid).select(F.col(id_col).alias("vec_id"), x.alias("x"))
     lengths = rows.groupBy(F.size("x").alias("d")).count().orderBy(F.col("count").desc(), F.col("d").desc()).limit(1).collect()
     d = lengths[0]["d"] if lengths else 0
