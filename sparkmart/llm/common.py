@@ -57,9 +57,9 @@ def made() -> int:
     return len(_MADE)
 
 
-def release(spark: SparkSession, since: int, keep: DataFrame) -> None:
-    """Delete the folders handed out after ``since`` that ``keep`` doesn't read."""
-    read = keep.inputFiles()[:1]
+def release(spark: SparkSession, since: int, *keep: DataFrame) -> None:
+    """Delete the folders handed out after ``since`` that no stored table of ``keep`` is in."""
+    read = [f for df in keep for f in df.inputFiles()[:1]]
     for path in _MADE[since:]:
         if not any(path.rsplit("/", 1)[-1] in f for f in read):
             place = spark._jvm.org.apache.hadoop.fs.Path(path)

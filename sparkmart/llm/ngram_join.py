@@ -5,10 +5,13 @@ sets of word shingles).  Equal sets form one point (classes by a 128-bit
 digest); a link is a pair of points at distance at most ``eps``.
 
 First regions.  Almost all points are at distance 1 of each other, where no
-pivot separates them, so the first regions come from the sets: linked sets
-share one of their rarest shingles (of a set of n, the first
-``n - ceil((1 - eps) n) + 1`` in one global order, rare ones first).  All points
-that list a shingle form a region; regions with the same members are one.
+pivot separates them, so the first regions come from the sets: the hash range is
+cut into more parts than linked sets can have different shingles, so linked
+sets hold the same shingles in some part (``signatures``).  All points that list
+a part with the same contents form a region; regions with the same members are
+one.  A part holds several shingles, so unrelated texts that share a passage
+seldom meet; parts that a sample of the documents shows to be frequent are the
+first that a set may leave out.
 
 A first step links every point with one pivot, the smallest point of the
 regions it shares most shingles in, if they are near.
@@ -36,6 +39,7 @@ document; an empty table gives an empty table; extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
@@ -46,19 +50,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.llm.arrowtext import LOWER, hash_spans, mix64, shards, text_bytes, words_of
-from sparkmart.llm.common import broadcast_checked, sized, stored
+from sparkmart.llm.common import broadcast_checked, made, release, sized, stored
 from sparkmart.llm.components import components
 
 #: Words per shingle; links need 100 * intersection >= PERCENT * union.
 WORDS = 5
 PERCENT = 80
-#: Text bytes handled at once; shingles per counted chunk.
+#: Text bytes handled at once.
 SHARD_BYTES = 2 * 1024 * 1024
-CHUNK = 1_500_000
-#: Shingles with hashes below this (three eighths of the range) are counted; prefixes take a fifth of a set.
-COUNTED = np.uint64(3 << 61)
-#: Entries of the broadcast table of frequent shingles (12 bytes each).
-FREQUENT = 1 << 20
+#: Size classes from one size space to the next; parts beyond the largest difference, in percent of it.
+STEP = 3
+SPARE = 20
+#: Parts are counted on one document in so many; these counts and more are hot; entries of the broadcast table of hot parts (8 bytes each).
+SAMPLED = 16
+HOT_COUNT = 3
+HOT_PARTS = 1 << 20
+#: Pairs of one pivot tested by one task, about.
+PIVOT_PAIRS = 2000
 #: Pivots drawn per region in the first round; four times as many in each later one.
 PIVOTS = 16
 
@@ -87,10 +95,6 @@ def shingle_sets(col: pa.Array, words: int = WORDS):
             yield grams[:0]
 
 
-def prefix_length(n: int, percent: int = PERCENT) -> int:
-    return n + (-percent * n) // 100 + 1 if n else 0
-
-
 def signature(hashes: np.ndarray) -> bytes:
     """Shingles per bucket of the hash range, a byte each (255: so many or more); about a bucket per shingle."""
     bits = max(6, min(13, len(hashes).bit_length() - 1))
@@ -113,37 +117,98 @@ def _bound(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([overlap_bound(x, y) for x, y in zip(a, b, strict=True)], dtype="int64")
 
 
-def _counts(docs: DataFrame, words: int) -> DataFrame:
-    """(shingle, n): in how many documents each shingle of the counted part of the hash range is, where ``n`` >= 3."""
-
-    def run(batches):
-        held, size = [], 0
-        for batch in shards(batches, 1, SHARD_BYTES):
-            for s in shingle_sets(batch.column(1), words):
-                held.append(s[: np.searchsorted(s, COUNTED)])
-                size += len(held[-1])
-            if size >= CHUNK:
-                yield _chunk(held)
-                held, size = [], 0
-        if held:
-            yield _chunk(held)
-
-    counts = docs.select("doc_id", "text").mapInArrow(run, "shingle long, n long")
-    return counts.groupBy("shingle").agg(F.sum("n").alias("n")).where("n >= 3")
+@lru_cache(maxsize=8)
+def size_classes(percent: int = PERCENT) -> np.ndarray:
+    """Smallest sizes of the size classes; a set of one class links only with sets of this class and its neighbours."""
+    starts = [1]
+    while starts[-1] < 1 << 40:
+        starts.append(100 * starts[-1] // percent + 1)
+    return np.array(starts, np.int64)
 
 
-def _chunk(held: list) -> pa.RecordBatch:
-    h, n = np.unique(np.concatenate(held), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["shingle", "n"])
+def partitions(n: np.ndarray, space: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """(parts, emitted) of sets of ``n`` shingles in their size space.
 
+    Linked sets of ``a`` and ``b`` shingles differ in at most
+    ``(a + b) (100 - percent) / (100 + percent)``; a set of the space meets no
+    larger partner than the space's top.
+    """
+    starts = size_classes(percent)
+    top = starts[np.minimum(space * STEP + STEP + 1, len(starts) - 1)] - 1
+    apart = lambda total: total * (100 - percent) // (100 + percent)
+    most = apart(2 * top)
+    parts = most + 3 + most * SPARE // 100
+    emitted = apart(n + np.minimum(top, 100 * n // percent)) + 1
+    return parts, emitted
+
+
+def signatures(sets: list[np.ndarray], percent: int = PERCENT, hot: np.ndarray | None = None, whole: bool = False) -> list[np.ndarray]:
+    """Hashes of parts per set; linked sets share one.
+
+    Size spaces are ``STEP + 1`` neighbouring classes, with one class in
+    common, so linked sets meet in a space.  There the hash range is cut into
+    more parts than linked sets can differ in, so at least
+    ``parts - difference`` parts are the same in both.  Each set may leave out
+    all but ``emitted`` of its parts, those of the sorted array ``hot`` first, then
+    the smallest: in one order of all possible parts, the set that leaves out
+    more still lists one that is equal, and the other set lists it too.
+    ``whole``: leave out only the empty ones.
+    """
+    out: list[list[np.ndarray]] = [[] for _ in sets]
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    classes = np.searchsorted(size_classes(percent), sizes, side="right") - 1
+    every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    mixed, high = mix64(every), every >> np.uint64(32)
+    for lower in (False, True):
+        space = classes // STEP - lower
+        own = (sizes > 0) & (space >= 0) & (~np.bool_(lower) | (classes % STEP == 0))
+        if not own.any():
+            continue
+        space = np.where(own, space, 0)
+        parts, emitted = partitions(sizes, space, percent)
+        inside = own[owner]
+        who, values = owner[inside], mixed[inside]
+        part = ((high[inside] * parts[who].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], (who[1:] != who[:-1]) | (part[1:] != part[:-1])]))
+        held = np.diff(np.append(first, len(who)))
+        who, part = who[first], part[first]
+        place = mix64((space[who].astype(np.uint64) << np.uint64(40)) + part.astype(np.uint64) + np.uint64(1))
+        marks = mix64(np.add.reduceat(values, first) + place)
+        rank = -np.minimum(held, 255)
+        if hot is not None and len(hot):
+            rank[hot[np.minimum(np.searchsorted(hot, marks), len(hot) - 1)] == marks] += 512
+        order = np.lexsort((marks, rank, who))
+        who, marks = who[order], marks[order]
+        filled = np.bincount(who, minlength=len(sets))
+        begin = np.cumsum(filled) - filled
+        keep = whole | (np.arange(len(who)) - begin[who] < emitted[who])
+        cut = np.cumsum(np.bincount(who[keep], minlength=len(sets)))[:-1]
+        for i, m in enumerate(np.split(marks[keep], cut)):
+            if len(m):
+                out[i].append(m)
+        for i in np.flatnonzero(own & (filled < emitted) & (not whole)).tolist():  # empty parts come last
+            part = ((sets[i] >> np.uint64(32)) * np.uint64(parts[i])) >> np.uint64(32)
+            empty = np.setdiff1d(np.arange(parts[i], dtype=np.uint64), part)
+            marks_ = mix64(mix64(np.uint64(int(space[i]) << 40) + empty + np.uint64(1)))
+            out[i].append(np.sort(marks_)[: emitted[i] - filled[i]])
+    return [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in out]
+
+
+def _hot_parts(docs: DataFrame, words: int, percent: int, limit: int = HOT_PARTS) -> np.ndarray:
+    """Sorted hashes of parts seen often in a sixteenth of the documents, at most ``limit``.
+
+    They only steer which parts a set leaves out first; any table gives the same links.
+    """
 
-def _frequent(docs: DataFrame, words: int, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted hashes, counts) of the most frequent counted shingles, at most ``limit``.
+    def run(batches):
+        for batch in shards(batches, 1, SHARD_BYTES):
+            marks = np.concatenate(signatures(list(shingle_sets(batch.column(1), words)), percent, whole=True))
+            yield pa.RecordBatch.from_arrays([pa.array(marks.view(np.int64))], ["part"])
 
-    Only the order of shingles depends on it: the counts steer the work, any
-    counts give the same links.
-    """
-    counts = stored(_counts(docs, words), "shingle-counts")
+    seen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLED)) == 0).select("doc_id", "text").mapInArrow(run, "part long")
+    counts = seen.repartition("part").groupBy("part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT_COUNT)
+    counts = stored(counts, "part-counts")
     held = counts.groupBy("n").agg(F.count(F.lit(1)).alias("k")).orderBy(F.col("n").desc())
     least, total = None, 0
     for row in held.toLocalIterator():  # from the highest count down, until the table is full
@@ -151,50 +216,28 @@ def _frequent(docs: DataFrame, words: int, limit: int = FREQUENT) -> tuple[np.nd
             break
         least, total = row["n"], total + row["k"]
     if least is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    table = counts.where(F.col("n") >= least).toArrow()
-    h, n = table.column("shingle").to_numpy().view(np.uint64), table.column("n").to_numpy()
-    order = np.argsort(h)
-    return h[order], n[order].astype(np.int32)
+        return np.zeros(0, np.uint64)
+    return np.sort(counts.where(F.col("n") >= least).select("part").toArrow().column("part").to_numpy().view(np.uint64))
 
 
-def _points(docs: DataFrame, frequent, words: int, percent: int) -> DataFrame:
-    """Per document (id, n, d1, d2, prefix, sig): size and digest of its set, its rarest shingles, its signature."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+def _points(docs: DataFrame, hot: np.ndarray, words: int, percent: int) -> DataFrame:
+    """Per document (id, n, d1, d2, parts, sig): size and digest of its set, the hashes of its parts, its histogram."""
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
-        known, counts = shared.value
         for batch in shards(batches, 1, SHARD_BYTES):
-            sizes, digests, lists, sigs = [], [], [], []
             sets = list(shingle_sets(batch.column(1), words))
-            every = np.concatenate(sets)
-            weight = np.zeros(len(every), np.int32)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, every), len(known) - 1)
-                hit = known[at] == every
-                weight[hit] = counts[at[hit]]
-            weight[every >= COUNTED] = np.iinfo(np.int32).max  # the uncounted part of the range comes last
-            pos = 0
-            for s in sets:
-                w = weight[pos : pos + len(s)]
-                pos += len(s)
-                k = prefix_length(len(s), percent)
-                rare = s[w == 0][:k]  # sets are sorted: the rarest in order of their hash
-                if len(rare) < k:
-                    rare = s[np.lexsort((s, w))[:k]]
-                sizes.append(len(s))
-                digests.append(blake2b(s.tobytes(), digest_size=16).digest())
-                lists.append(rare.view(np.int64))
-                sigs.append(signature(s))
-            d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            lists = signatures(sets, percent, shared.value)
+            d = np.frombuffer(b"".join(blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
             cuts = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            prefix = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(lists)))
+            parts = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(lists).view(np.int64)))
+            sigs = pa.array([signature(s) for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), prefix, pa.array(sigs, pa.binary())],
-                ["id", "n", "d1", "d2", "prefix", "sig"],
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), parts, sigs],
+                ["id", "n", "d1", "d2", "parts", "sig"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, prefix array<long>, sig binary")
+    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, parts array<long>, sig binary")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, row_bytes: int, words: int) -> DataFrame:
@@ -231,12 +274,18 @@ def _tested(docs: DataFrame, points: DataFrame, pairs: DataFrame, least: int, wo
     pairs = pairs.withColumn("bound", _bound("sa", "sb"))
     possible = (F.col("bound") < 0) | (100 * F.col("bound") >= least * (F.col("n") + F.col("np") - F.col("bound")))
     left = stored(pairs.where(possible).select("id", "p", "n", "np"), "pairs-left")
-    sets = _sets(docs, left, "id", 40, words)
-    pivots = _sets(docs, left.select("p").distinct(), "p", 16, words).select(F.col("p").alias("q"), F.col("set").alias("pivot"))
-    both = sets.join(pivots, F.col("p") == F.col("q")).withColumn("inter", F.size(F.array_intersect("set", "pivot")).cast("long"))
+    # A pivot of very many pairs is dealt to several tasks, its set to each of them.
+    shares = left.groupBy("p").agg(F.ceil(F.count(F.lit(1)) / PIVOT_PAIRS).cast("long").alias("shares"))
+    shares = stored(sized(shares, left.count()), "pivot-shares")
+    spread = left.join(broadcast_checked(shares.withColumnRenamed("p", "__p"), 32), F.col("p") == F.col("__p"))
+    spread = spread.withColumn("salt", F.pmod(F.xxhash64("id"), "shares")).select("id", "p", "n", "np", "salt")
+    sets = _sets(docs, spread, "id", 48, words)
+    copies = stored(shares.select("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("__salt")), "pivot-copies")
+    pivots = _sets(docs, copies, "p", 32, words).select(F.col("p").alias("q"), "__salt", F.col("set").alias("pivot"))
+    met = (F.col("p") == F.col("q")) & (F.col("salt") == F.col("__salt"))
+    both = sets.join(pivots, met).withColumn("inter", F.size(F.array_intersect("set", "pivot")).cast("long"))
     # The smaller value if a doc_id has several texts; one row per pair either way.
     both = both.groupBy("id", "p", "n", "np").agg(F.min("inter").alias("inter"))
-    both = sized(both, left.count())
     return both.where(100 * F.col("inter") >= least * (F.col("n") + F.col("np") - F.col("inter")))
 
 
@@ -252,20 +301,21 @@ def _distinct_regions(members: DataFrame) -> DataFrame:
     return rows.select("region", "id", "n", F.col("w").alias("weight"))
 
 
-def _first_regions(prefixes: DataFrame) -> DataFrame:
-    """(region, id, n, weight) of the points that share a rare shingle; weight: how many shingles all of them share so."""
-    rows = prefixes.select("id", "n", F.explode("prefix").alias("shingle"))
-    groups = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("k > 1")
-    groups = stored(groups, "shingle-groups")
-    sizes = prefixes.select("id", "n")
+def _first_regions(points: DataFrame) -> DataFrame:
+    """(region, id, n, weight) of the points that share a part; weight: how many parts all of them share so."""
+    rows = points.select("id", "n", F.explode("parts").alias("part"))
+    # Hardly any part occurs twice in a task, so the rows are dealt out before they are counted.
+    groups = rows.select("part", "id").repartition("part").groupBy("part").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("k > 1")
+    groups = stored(groups, "part-groups")
+    sizes = points.select("id", "n")
     # A region of two points is told by its smallest and largest member.
     two = groups.where("k = 2").groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("weight"))
     two = two.select(F.xxhash64(F.lit(2), "lo", "hi").alias("region"), F.explode(F.array("lo", "hi")).alias("id"), "weight")
-    two = stored(two, "shingle-pairs")
+    two = stored(two, "part-pairs")
     two = sizes.join(broadcast_checked(two, 40), "id").select("region", "id", "n", "weight")
-    more = groups.where("k > 2").select(F.col("shingle").alias("__shingle"))
-    many = rows.join(broadcast_checked(more, 16), F.col("shingle") == F.col("__shingle"), "left_semi")
-    many = stored(many.select(F.col("shingle").alias("region"), "id", "n", F.lit(1).cast("long").alias("weight")), "shingle-members")
+    more = groups.where("k > 2").select(F.col("part").alias("__part"))
+    many = rows.join(broadcast_checked(more, 16), F.col("part") == F.col("__part"), "left_semi")
+    many = stored(many.select(F.col("part").alias("region"), "id", "n", F.lit(1).cast("long").alias("weight")), "part-members")
     return _distinct_regions(many).unionByName(two)
 
 
@@ -283,14 +333,15 @@ def _first_links(docs: DataFrame, points: DataFrame, members: DataFrame, near: i
     return _tested(docs, points, best.select("id", F.col("b.p").alias("p"), "n", F.col("b.np").alias("np")), near, words).select(F.col("id").alias("u"), F.col("p").alias("v"))
 
 
-def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id, comp) of the points (id, n, prefix, sig) that are linked with others."""
+def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, percent: int = PERCENT, trace: list | None = None) -> DataFrame:
+    """(id, comp) of the points (id, n, parts, sig) that are linked with others; ``trace`` gets the pairs met in each round."""
     near, wide = percent, 2 * percent - 100  # similarities at distance eps and 2 eps
     members = stored(_first_regions(points), "regions-1")
     comps = components(_first_links(docs, points, members, near, words))
-    turn = 0
+    turn, spark = 0, docs.sparkSession
     while True:
         turn += 1
+        began = made()
         members = members.select("region", "id", "n").join(broadcast_checked(comps, 32), "id", "left")
         members = stored(members.withColumn("comp", F.coalesce("comp", "id")), "members")
         # Regions with one component are done; pivots come from all but a region's largest component.
@@ -304,10 +355,10 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
             return comps
         open_ = stored(members.join(broadcast_checked(state, 40, rows=regions), F.col("region") == F.col("r")).drop("r"), "open-regions")
         chosen = open_.where("comp <> top")
-        order = F.xxhash64(F.lit(turn), "id", "region")
+        order = F.xxhash64(F.lit(turn), "id")  # overlapping regions draw the same pivots, so their pairs coincide
         first = chosen.groupBy("region").agg(F.min(F.struct(order.alias("o"), F.col("id"), F.col("n"), F.col("comp"))).alias("p"))
         share = float(PIVOTS * 4 ** (turn - 1)) / F.col("rest")
-        drawn = chosen.where(_draw(F.lit(100 + turn), F.col("id"), F.col("region")) < share).select("region", "id", "n", "comp")
+        drawn = chosen.where(_draw(F.lit(100 + turn), F.col("id")) < share).select("region", "id", "n", "comp")
         pivots = first.select("region", "p.id", "p.n", "p.comp").unionByName(drawn)
         pivots = sized(pivots.distinct(), total)
         pivots = stored(pivots.select("region", F.col("id").alias("p"), F.col("n").alias("np"), F.col("comp").alias("cp")), "pivots")
@@ -317,6 +368,8 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
         reach = pivots.withColumnRenamed("region", "r")
         met = (F.col("region") == F.col("r")) & (F.col("id") != F.col("p")) & (F.col("comp") != F.col("cp")) & alike
         pairs = stored(open_.join(broadcast_checked(reach, 48), met).select("region", "id", "p", "n", "np"), "pivot-pairs")
+        if trace is not None:
+            trace.append(pairs.count())
         ordered = pairs.select(F.greatest("id", "p").alias("id"), F.least("id", "p").alias("p"), F.when(F.col("id") > F.col("p"), F.col("n")).otherwise(F.col("np")).alias("n"), F.when(F.col("id") > F.col("p"), F.col("np")).otherwise(F.col("n")).alias("np"))
         found = stored(_tested(docs, points, ordered.distinct(), wide, words), "pivot-distances")
         found = found.select(F.col("id").alias("a"), F.col("p").alias("b"), "inter")
@@ -340,12 +393,13 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
         members = stored(_distinct_regions(both), "next-regions")
         if links.limit(1).count():
             comps = components(links.unionByName(comps.select(F.col("id").alias("u"), F.col("comp").alias("v"))))
+        release(spark, began, members, comps)
 
 
-def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, trace: list | None = None) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    points = stored(_points(docs, _frequent(docs, words), words, percent), "shingle-points")
+    points = stored(_points(docs, _hot_parts(docs, words, percent), words, percent), "shingle-points")
     whole = points.where((F.col("n") > 0) & F.col("id").isNotNull())
     # Classes of equal sets; the smallest doc_id stands for its class.
     classes = whole.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.max("id").alias("__most"))
@@ -354,7 +408,10 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     rows = rows.select(F.col("id").alias("doc_id"), "n", F.coalesce("rep", "id").alias("rep"))
     copies = stored(rows.where("n > 0 and rep <> doc_id").select(F.col("doc_id").alias("id")).distinct(), "shingle-copies")
     reps = whole.join(broadcast_checked(copies, 16), "id", "left_anti")
-    comps = find_components(docs, reps, words, percent).withColumnRenamed("id", "__id")
+    began = made()
+    comps = find_components(docs, reps, words, percent, trace)
+    release(docs.sparkSession, began, comps)
+    comps = comps.withColumnRenamed("id", "__id")
     found = rows.join(broadcast_checked(comps, 32), (F.col("rep") == F.col("__id")) & (F.col("n") > 0), "left")
     comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", F.when(F.col("n") > 0, F.col("rep")), "doc_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"))

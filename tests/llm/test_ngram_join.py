@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from sparkmart.llm.components import components
-from sparkmart.llm.ngram_join import link_components, prefix_length, representatives, shingle_sets
+from sparkmart.llm.ngram_join import link_components, partitions, representatives, shingle_sets, signatures, size_classes
 from texts import brute_components, prose, shingles
 
 
@@ -62,9 +62,41 @@ def test_long_text(frame):
     assert got == {1: 1, 2: 1, 3: 3}
 
 
-@pytest.mark.parametrize("n", [1, 4, 5, 6, 10, 99, 1000])
-def test_prefix_length(n):
-    assert prefix_length(n) == n - math.ceil(0.8 * n - 1e-9) + 1
+def test_size_classes():
+    starts = size_classes()
+    for n in [*range(1, 400), 12_345]:
+        c = np.searchsorted(starts, [n, 100 * n // 80], side="right") - 1
+        assert c[1] - c[0] <= 1
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 13, 21, 40, 100, 700])
+def test_linked_sets_share_a_signature(n):
+    rng = np.random.default_rng(n)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        # The most distant partners allowed: drop, replace or add shingles up to the threshold.
+        drop = int(rng.integers(0, n // 9 + 2))
+        kept = rng.permutation(a)[: max(1, len(a) - drop)]
+        add = max(0, 100 * len(kept) // 80 - len(a))
+        add = int(rng.integers(max(0, add - 1), add + 1))
+        b = np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, add, dtype=np.uint64) * np.uint64(2) + np.uint64(1)]))
+        inter = len(np.intersect1d(a, b))
+        if 100 * inter >= 80 * (len(a) + len(b) - inter):
+            x, y = signatures([a, b])
+            assert len(np.intersect1d(x, y)), (len(a), len(b), inter)
+    parts, emitted = partitions(np.array([n]), np.array([(np.searchsorted(size_classes(), n, side="right") - 1) // 3]))
+    assert 0 < emitted[0] <= parts[0] and math.ceil(0.25 * n) + 1 >= emitted[0]
+
+
+def test_a_passage_of_thousands_of_unrelated_texts(frame):
+    rng = random.Random(12)
+    passage = prose(rng, 60, 5000)
+    rows = [(i, f"{prose(rng, rng.randrange(20, 90), 20_000)} {passage} {prose(rng, rng.randrange(20, 90), 20_000)}") for i in range(3000)]
+    rows += [(5000 + i, rows[i][1] + " more") for i in range(0, 100, 10)]
+    trace = []
+    got = {r["doc_id"]: r["component_id"] for r in link_components(frame(rows).repartition(16), trace=trace).collect()}
+    assert {i: c for i, c in got.items() if c != i} == {5000 + i: i for i in range(0, 100, 10)}
+    assert sum(trace) < 20 * len(rows), trace  # all pairs would be 4.5 million
 
 
 def test_shingle_sets_count_as_brute_force():
