@@ -54,7 +54,8 @@ def with_clause(*names: str) -> str:
 
     for n in names:
         visit(n)
-    return "WITH " + ",\n".join(f"{n} AS (\n{CTES[n][0]}\n)" for n in order)
+    # Materialised: the plan of a long chain doesn't hang on how often a step is used.
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED (\n{CTES[n][0]}\n)" for n in order)
 
 
 def query(body: str, *names: str) -> str:
@@ -440,15 +441,26 @@ for _t, _src, _tgt, _key, _cols, _unk in SYNC_TABLES:
     )
 
 
-def _rank_sql(fn: str) -> str:
+_MONTHLY = (
+    "SELECT year, month, month_name, CAST(revenue AS DECIMAL(22,2)) AS revenue, order_count, units_sold, "
+    "CAST(LAG(revenue) OVER (ORDER BY year, month) AS DECIMAL(22,2)) AS prev_month_revenue, "
+    "CAST(ROUND((revenue - LAG(revenue) OVER (ORDER BY year, month)) "
+    "/ NULLIF(LAG(revenue) OVER (ORDER BY year, month), 0) * 100, 2) AS DECIMAL(18,2)) AS mom_growth_pct "
+    "FROM (SELECT d.year, d.month, d.month_name, SUM(f.line_total) AS revenue, "
+    "CAST(COUNT(DISTINCT f.order_id) AS BIGINT) AS order_count, CAST(SUM(f.quantity) AS BIGINT) AS units_sold "
+    "FROM fact_report f JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.year, d.month, d.month_name)"
+)
+
+
+def _rank_sql(fn: str, fact: str = "fact_report", products: str = "prod2") -> str:
     return query(
         "SELECT p.product_name, p.category_name, CAST(SUM(f.line_total) AS DECIMAL(22,2)) AS total_revenue, "
         "CAST(SUM(f.quantity) AS BIGINT) AS total_units, CAST(COUNT(DISTINCT f.order_id) AS BIGINT) AS order_count, "
         f"CAST({fn}() OVER (ORDER BY SUM(f.line_total) DESC NULLS FIRST) AS BIGINT) AS revenue_rank "
-        "FROM fact_report f JOIN prod2 p ON f.product_key = p.product_key WHERE p.product_key <> -1 "
+        f"FROM {fact} f JOIN {products} p ON f.product_key = p.product_key WHERE p.product_key <> -1 "
         "GROUP BY p.product_name, p.category_name",
-        "fact_report",
-        "prod2",
+        fact,
+        products,
     )
 
 
@@ -513,17 +525,7 @@ def oracle_sql() -> dict[str, str]:
         "q_fact_unknown_members": query("SELECT * FROM fact_scenario", "fact_scenario"),
         "q_fact_load": query("SELECT * FROM fact_first", "fact_first"),
         "q_pipeline": query("SELECT * FROM fact_pipeline", "fact_pipeline"),
-        "q_monthly_revenue": query(
-            "SELECT year, month, month_name, CAST(revenue AS DECIMAL(22,2)) AS revenue, order_count, units_sold, "
-            "CAST(LAG(revenue) OVER (ORDER BY year, month) AS DECIMAL(22,2)) AS prev_month_revenue, "
-            "CAST(ROUND((revenue - LAG(revenue) OVER (ORDER BY year, month)) "
-            "/ NULLIF(LAG(revenue) OVER (ORDER BY year, month), 0) * 100, 2) AS DECIMAL(18,2)) AS mom_growth_pct "
-            "FROM (SELECT d.year, d.month, d.month_name, SUM(f.line_total) AS revenue, "
-            "CAST(COUNT(DISTINCT f.order_id) AS BIGINT) AS order_count, CAST(SUM(f.quantity) AS BIGINT) AS units_sold "
-            "FROM fact_report f JOIN dim_date d ON f.date_key = d.date_key GROUP BY d.year, d.month, d.month_name)",
-            "fact_report",
-            "dim_date",
-        ),
+        "q_monthly_revenue": query(_MONTHLY, "fact_report", "dim_date"),
         "q_product_revenue_rank": _rank_sql("RANK"),
         "q_product_revenue_dense_rank": _rank_sql("DENSE_RANK"),
         "q_slicer_sales": query(
@@ -622,7 +624,21 @@ def oracle_sql() -> dict[str, str]:
 
 def _with_reports(sql: dict[str, str]) -> dict[str, str]:
     """The ordered reports, the stored forms and the loads, from the statements they share."""
-    sql["q_sync_stored"] = sql["q_upsert_fact"]
+    sql["q_sync_stored"] = sql["q_log_fact"] = sql["q_log_compacted"] = sql["q_upsert_fact"]
+    sql["q_log_commit"] = query(
+        " UNION ALL ".join(f"SELECT {_q(t)} AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM upserted_{t}" for t, *_ in SYNC_TABLES),
+        *[f"upserted_{t}" for t, *_ in SYNC_TABLES],
+    )
+    sql["q_maintained_monthly_revenue"] = query(
+        _MONTHLY.replace("fact_report", "upserted_fact_orders").replace("dim_date", "upserted_dim_date"), "upserted_fact_orders", "upserted_dim_date"
+    )
+    sql["q_maintained_product_rank"] = _rank_sql("RANK", "upserted_fact_orders", "upserted_dim_product")
+    sql["q_merged_order_counts"] = query(
+        "SELECT d.year, CAST(CEIL(d.month / 3.0) AS INTEGER) AS quarter, CAST(COUNT(DISTINCT f.order_id) AS BIGINT) AS order_count "
+        "FROM upserted_fact_orders f JOIN upserted_dim_date d ON f.date_key = d.date_key GROUP BY 1, 2",
+        "upserted_fact_orders",
+        "upserted_dim_date",
+    )
     sql["q_monthly_report"] = sql["q_monthly_revenue"] + " ORDER BY year, month"
     sql["q_rank_report"] = sql["q_product_revenue_rank"] + " ORDER BY revenue_rank, product_name, category_name"
     sql["q_second_load"] = query("SELECT * FROM load_1 UNION ALL SELECT * FROM load_2", "load_1", "load_2")

@@ -21,9 +21,11 @@ from sparkmart.operators import calendar, facts, quality, staging, sync
 from sparkmart.operators.keys import assign_keys
 from sparkmart.plans import dashboard, views
 from sparkmart.plans.build import run_build
+from sparkmart.plans.maintained import SalesState
 from sparkmart.plans.scenarios import NOW, Scenarios
 from sparkmart.session import scratch_path
 from sparkmart.sources.bindings import LINE_ORDER, Sources
+from sparkmart.sources.delta_log import Commit, DeltaLog
 from sparkmart.sources.incremental import read_since, watermark, watermark_col
 from sparkmart.sources.sinks import read_snapshot, read_stored, versions, write_snapshot
 
@@ -95,6 +97,62 @@ def q_upsert_fact(spark, sf_dir):
     return sync.sync_table(sc.sync_source_fact, sc.sync_targets["fact_orders"], schemas.FACT_ORDERS_SPEC).target
 
 
+def _synced_log(sc, spark):
+    """A log with the old targets, then the sync of all tables; (log, first commit, second)."""
+    log = DeltaLog(spark, scratch_path(spark, "log"))
+    first = log.append(sc.sync_targets)
+    return log, first, log.sync(sc.sync_sources)[0]
+
+
+def q_log_fact(spark, sf_dir):
+    """S3/I1 as merge-on-read: the sync writes only its delta, reading merges."""
+    log, _, _ = _synced_log(scenarios(spark, sf_dir), spark)
+    return log.read("fact_orders")
+
+
+def q_log_compacted(spark, sf_dir):
+    """The delta in five loads, then runs of one tier merged."""
+    sc = scenarios(spark, sf_dir)
+    log = DeltaLog(spark, scratch_path(spark, "log"))
+    log.append({"fact_orders": sc.sync_target_fact})
+    delta = read_since(sc.sync_source_fact, "last_updated", log.watermark("fact_orders"))
+    for k in range(5):
+        log.append({"fact_orders": delta.where(F.pmod(F.xxhash64("order_line_key"), F.lit(5)) == k)})
+    log.compact("fact_orders")
+    return log.read("fact_orders")
+
+
+def q_log_commit(spark, sf_dir):
+    """One commit for all tables: rows of each table as of the second commit."""
+    log, _, second = _synced_log(scenarios(spark, sf_dir), spark)
+    counts = [log.read(t, second).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count") for t in log.specs]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _maintained(spark, sf_dir):
+    log, first, second = _synced_log(scenarios(spark, sf_dir), spark)
+    state = SalesState(spark, scratch_path(spark, "state"))
+    state.refresh(log, Commit(), first)
+    state.refresh(log, first, second)
+    return state
+
+
+def q_maintained_monthly_revenue(spark, sf_dir):
+    """V1 after two loads, from sums kept up by signed changes."""
+    return _maintained(spark, sf_dir).monthly_revenue()
+
+
+def q_maintained_product_rank(spark, sf_dir):
+    """V2 after two loads, from sums kept up by signed changes."""
+    return _maintained(spark, sf_dir).product_revenue_rank()
+
+
+def q_merged_order_counts(spark, sf_dir):
+    """A3 by merged bitmaps: distinct orders per quarter after two loads."""
+    quarter = F.ceil(F.col("month") / 3).cast("int").alias("quarter")
+    return _maintained(spark, sf_dir).distinct_orders(F.col("year"), quarter)
+
+
 def q_upsert_facility(spark, sf_dir):
     sc = scenarios(spark, sf_dir)
     return sync.sync_table(sc.scd1_result, sc.scd1_dim_before, schemas.DIM_FACILITY_SPEC).target
