@@ -67,6 +67,8 @@ HOT_COUNT = 3
 HOT_PARTS = 1 << 20
 #: Pairs of one pivot tested by one task, about.
 PIVOT_PAIRS = 2000
+#: Points from which on regions with mostly the same members are joined.
+LARGE_REGION = 32
 #: Pivots drawn per region in the first round; four times as many in each later one.
 PIVOTS = 16
 
@@ -301,6 +303,36 @@ def _distinct_regions(members: DataFrame) -> DataFrame:
     return rows.select("region", "id", "n", F.col("w").alias("weight"))
 
 
+def _joined_regions(members: DataFrame, turn: int) -> DataFrame:
+    """Large regions with mostly the same members become one, so that their pairs are met once.
+
+    Two minima of hashed members agree with the squared share of common ones;
+    a union misses no pair.
+    """
+    members = stored(members, "all-regions")
+    marks = members.groupBy("region").agg(F.count(F.lit(1)).alias("k"), *[F.min(F.xxhash64(F.lit(1000 + 2 * turn + j), "id")).alias(f"m{j}") for j in (0, 1)])
+    large = marks.where(F.col("k") >= LARGE_REGION).select(F.col("region").alias("__region"), F.xxhash64(F.lit(5), "m0", "m1").alias("__joined"))
+    large = stored(large, "large-regions")
+    renamed = members.join(broadcast_checked(large, 24), F.col("region") == F.col("__region"), "left")
+    renamed = renamed.select(F.coalesce("__joined", "region").alias("region"), "id", "n", "weight")
+    return renamed.groupBy("region", "id", "n").agg(F.sum("weight").alias("weight"))
+
+
+def _met(points: DataFrame, pivots: DataFrame, least: int) -> DataFrame:
+    """(region, id, p, n, np) of the pivots and the points of other components whose sizes allow ``least`` percent."""
+    reach = pivots.withColumnRenamed("region", "r")
+    alike = 100 * F.least("n", "np") >= least * F.greatest("n", "np")
+    met = (F.col("region") == F.col("r")) & (F.col("id") != F.col("p")) & (F.col("comp") != F.col("cp")) & alike
+    return points.join(broadcast_checked(reach, 48), met).select("region", "id", "p", "n", "np")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs with the larger id first."""
+    first = F.col("id") > F.col("p")
+    n, other = F.when(first, F.col("n")).otherwise(F.col("np")), F.when(first, F.col("np")).otherwise(F.col("n"))
+    return pairs.select(F.greatest("id", "p").alias("id"), F.least("id", "p").alias("p"), n.alias("n"), other.alias("np")).distinct()
+
+
 def _first_regions(points: DataFrame) -> DataFrame:
     """(region, id, n, weight) of the points that share a part; weight: how many parts all of them share so."""
     rows = points.select("id", "n", F.explode("parts").alias("part"))
@@ -336,7 +368,7 @@ def _first_links(docs: DataFrame, points: DataFrame, members: DataFrame, near: i
 def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, percent: int = PERCENT, trace: list | None = None) -> DataFrame:
     """(id, comp) of the points (id, n, parts, sig) that are linked with others; ``trace`` gets the pairs met in each round."""
     near, wide = percent, 2 * percent - 100  # similarities at distance eps and 2 eps
-    members = stored(_first_regions(points), "regions-1")
+    members = stored(_joined_regions(_first_regions(points), 0), "regions-1")
     comps = components(_first_links(docs, points, members, near, words))
     turn, spark = 0, docs.sparkSession
     while True:
@@ -362,22 +394,22 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
         pivots = first.select("region", "p.id", "p.n", "p.comp").unionByName(drawn)
         pivots = sized(pivots.distinct(), total)
         pivots = stored(pivots.select("region", F.col("id").alias("p"), F.col("n").alias("np"), F.col("comp").alias("cp")), "pivots")
-        # Distances to the region's pivots of other components; what is beyond 2 eps is not listed.
-        # Sets whose sizes differ too much are beyond 2 eps unseen.
-        alike = 100 * F.least("n", "np") >= wide * F.greatest("n", "np")
-        reach = pivots.withColumnRenamed("region", "r")
-        met = (F.col("region") == F.col("r")) & (F.col("id") != F.col("p")) & (F.col("comp") != F.col("cp")) & alike
-        pairs = stored(open_.join(broadcast_checked(reach, 48), met).select("region", "id", "p", "n", "np"), "pivot-pairs")
+        # Pivots meet the points of their region that are of another component; sizes too far apart are skipped unseen.
+        pairs = stored(_met(open_, pivots, near).select("id", "p", "n", "np"), "pivot-pairs")
         if trace is not None:
             trace.append(pairs.count())
-        ordered = pairs.select(F.greatest("id", "p").alias("id"), F.least("id", "p").alias("p"), F.when(F.col("id") > F.col("p"), F.col("n")).otherwise(F.col("np")).alias("n"), F.when(F.col("id") > F.col("p"), F.col("np")).otherwise(F.col("n")).alias("np"))
-        found = stored(_tested(docs, points, ordered.distinct(), wide, words), "pivot-distances")
+        found = _tested(docs, points, _ordered(pairs), near, words)
+        links = stored(found.select(F.col("id").alias("u"), F.col("p").alias("v")), "pivot-links")
+        # Only pivots with links get cells, so only their distances up to 2 eps are needed.
+        ends = stored(links.select(F.explode(F.array("u", "v")).alias("__p")).distinct(), "linked-ends")
+        centres = pivots.join(broadcast_checked(ends, 16), F.col("p") == F.col("__p"), "left_semi")
+        pairs = stored(_met(open_, centres, wide), "cell-pairs")
+        found = stored(_tested(docs, points, _ordered(pairs), wide, words), "pivot-distances")
         found = found.select(F.col("id").alias("a"), F.col("p").alias("b"), "inter")
         near_p = pairs.join(broadcast_checked(found, 40), (F.greatest("id", "p") == F.col("a")) & (F.least("id", "p") == F.col("b")))
         union_ = F.col("n") + F.col("np") - F.col("inter")
         near_p = near_p.select("region", "id", "p", "n", (100 * F.col("inter") >= near * union_).alias("link"), (F.col("inter") / union_).alias("likeness"))
         near_p = stored(near_p, "region-distances")
-        links = near_p.where("link").select(F.col("id").alias("u"), F.col("p").alias("v")).distinct()
         # Next regions: a cell around each pivot that has linked points, with its boundary points; the outer rest.
         homes = near_p.where("link").groupBy("region", "id").agg(F.max_by("p", F.struct("likeness", "p")).alias("p"))
         homes = stored(sized(homes, near_p.count()), "homes")
@@ -390,7 +422,7 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
         outer = open_.join(done, ["region", "id"], "left_anti").join(broadcast_checked(homes.select("region", "id"), 32), ["region", "id"], "left_anti")
         outer = outer.select(F.xxhash64(F.lit(4), F.col("region"), F.lit(turn)).alias("region"), "id", "n")
         both = stored(inside.unionByName(outer).withColumn("weight", F.lit(1).cast("long")), "next-members")
-        members = stored(_distinct_regions(both), "next-regions")
+        members = stored(_joined_regions(_distinct_regions(both), turn), "next-regions")
         if links.limit(1).count():
             comps = components(links.unionByName(comps.select(F.col("id").alias("u"), F.col("comp").alias("v"))))
         release(spark, began, members, comps)
