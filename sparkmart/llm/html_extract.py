@@ -11,6 +11,12 @@ Template subtrees are looked for outside the article, and inside it among
 containers only (no paragraphs, headings or lists), so that an article which
 many pages copy keeps its text.  A page that occurs many times counts once.
 
+A class word drops block elements only, not names like ``with-sidebar``, and
+never the element (or form) that holds the only article or, on pages without
+one, the larger part of the text; menus, footers, asides, hidden parts and
+reader comments are dropped in any case.  Parsing and hashing are linear in
+the page.
+
 Defined results: a null or empty page has empty text; character references are
 decoded after the markup is read; white space inside a block becomes one
 space, blocks are joined by one space; a tag that is never closed ends with
@@ -22,6 +28,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from hashlib import blake2b
 
 import numpy as np
@@ -59,9 +66,12 @@ MARKED = re.compile(
     r"(?:$|[\s_-])",
     re.I,
 )
+#: Class names that begin so say something about another part; reader comments are never the article.
+OTHERS = re.compile(r"(?:no|not|non|with|without|has|have|hide|show|toggle|is)[_-]", re.I)
+READERS = re.compile(r"(?:^|[\s_-])(?:comment|comments|reply|replies|discussion|disqus)(?:$|[\s_-])", re.I)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:\s|["'])hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-_TAG = re.compile(r"""<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+_TAG = re.compile(r"""<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 
 
@@ -73,20 +83,31 @@ class Node:
         self.stop, self.kids = inner, []
 
 
-def is_marked(name: str, attrs: str) -> bool:
+def is_marked(name: str, attrs: str) -> str:
+    """What marks an element: ``hidden``, ``readers`` (their comments), ``named``; empty if nothing does."""
     if not attrs or name in ("html", "body", "article", "main"):
-        return False
-    return bool(_HIDDEN.search(attrs)) or any(MARKED.search(" ".join(m)) for m in _NAMES.findall(attrs))
+        return ""
+    if _HIDDEN.search(attrs):
+        return "hidden"
+    if name not in BLOCKS:
+        return ""  # a word of a sentence isn't a part of the page
+    names = [w for m in _NAMES.findall(attrs) for w in " ".join(m).split() if not OTHERS.match(w)]
+    if any(READERS.search(w) for w in names):
+        return "readers"
+    return "named" if any(MARKED.search(w) for w in names) else ""
 
 
 def parse(page: str) -> Node:
     """Element tree; kids are elements and (start, stop) spans of text."""
-    root = Node("", 0, 0, False)
+    root = Node("", 0, 0, "")
     stack, at, pos, n = [root], 0, 0, len(page)
+    open_names: Counter = Counter()
 
     def close(k, end):
         while len(stack) > k:
-            stack.pop().stop = end
+            node = stack.pop()
+            node.stop = end
+            open_names[node.name] -= 1
 
     while m := _TAG.search(page, pos):
         if m.start() > at:
@@ -96,12 +117,13 @@ def parse(page: str) -> Node:
             continue
         name = m[2].lower()
         if m[1]:
+            if not open_names[name]:
+                continue  # a stray end tag
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == name:
-                    for open_node in stack[k:]:
-                        open_node.stop = m.start()
-                    stack[k].stop = m.end()
-                    del stack[k:]
+                    ended = stack[k]
+                    close(k, m.start())
+                    ended.stop = m.end()
                     break
                 if stack[k].name in ("article", "main", "body") and name not in ("article", "main", "body", "html"):
                     break  # a stray end tag doesn't end the article
@@ -123,6 +145,7 @@ def parse(page: str) -> Node:
         stack[-1].kids.append(node)
         if name not in VOID and not m[3].endswith("/"):
             stack.append(node)
+            open_names[name] += 1
     if at < n:
         stack[-1].kids.append((at, n))
     close(1, n)
@@ -130,17 +153,68 @@ def parse(page: str) -> Node:
     return root
 
 
-def _dropped(node: Node, inside: bool) -> bool:
-    return node.marked or node.name in RAW or node.name in DROPPED or (node.name == "header" and not inside)
+def _order(root: Node) -> list[tuple[Node, int]]:
+    """Elements with the index of their parent, parents first."""
+    out, at = [(root, -1)], 0
+    while at < len(out):
+        out.extend((x, at) for x in out[at][0].kids if not isinstance(x, tuple))
+        at += 1
+    return out
+
+
+def _never(node: Node) -> bool:
+    """Parts that never hold the article."""
+    return node.marked in ("hidden", "readers") or node.name in RAW or (node.name in DROPPED and node.name != "form")
+
 
+def kept_wrappers(page: str, root: Node) -> set[int]:
+    """Ids of marked elements and forms that hold the article, or the larger part of the page's text in paragraphs.
 
-def _articles(node: Node) -> list[Node]:
+    A name doesn't drop these.  The article is the longest one when all are in
+    such elements.
+    """
+    nodes = _order(root)
+    if not any(x.marked == "named" or x.name == "form" for x, _ in nodes):
+        return set()
+    size, prose, out_of = [0] * len(nodes), [False] * len(nodes), [False] * len(nodes)
+    free = [True] * len(nodes)  # in no dropped part
+    for i, (x, parent) in enumerate(nodes):
+        out_of[i] = _never(x) or (parent >= 0 and out_of[parent])
+        free[i] = not out_of[i] and not (x.marked or x.name == "form") and (parent < 0 or free[parent])
+    for i in range(len(nodes) - 1, -1, -1):
+        x, parent = nodes[i]
+        if out_of[i]:
+            continue
+        size[i] += sum(len(page[t[0] : t[1]].strip()) for t in x.kids if isinstance(t, tuple))
+        prose[i] |= x.name in ("p", "article", "main")
+        if parent >= 0:
+            size[parent] += size[i]
+            prose[parent] |= prose[i]
+    keep: set[int] = set()
+    wanted = [i for i, (x, _) in enumerate(nodes) if x.name in ("article", "main") and not out_of[i]]
+    if wanted:
+        if not any(free[i] for i in wanted):
+            at = max(wanted, key=lambda i: size[i])
+            while at >= 0:
+                keep.add(id(nodes[at][0]))
+                at = nodes[at][1]
+        return keep
+    return {id(x) for i, (x, _) in enumerate(nodes) if prose[i] and 2 * size[i] > size[0]}
+
+
+def _dropped(node: Node, inside: bool, keep: set[int]) -> bool:
+    if id(node) in keep:
+        return False
+    return bool(node.marked) or node.name in RAW or node.name in DROPPED or (node.name == "header" and not inside)
+
+
+def _articles(node: Node, keep: set[int]) -> list[Node]:
     """Outermost article (else main) elements outside dropped parts."""
     for wanted in ("article", "main"):
         found, todo = [], [node]
         while todo:
             x = todo.pop()
-            if isinstance(x, tuple) or _dropped(x, True):
+            if isinstance(x, tuple) or _dropped(x, True, keep):
                 continue
             if x.name == wanted:
                 found.append(x)
@@ -151,22 +225,28 @@ def _articles(node: Node) -> list[Node]:
     return []
 
 
-def _digest(page: str, node: Node) -> int:
-    """Hash of a subtree's source with white space evened out."""
-    source = " ".join(page[node.start : node.stop].split())
-    return int.from_bytes(blake2b(source.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+def _digests(page: str, root: Node) -> dict[int, int]:
+    """Hash of each element's subtree, from its tag, its texts (white space evened out) and its children's hashes."""
+    out: dict[int, int] = {}
+    for node, _ in reversed(_order(root)):
+        parts = [" ".join(page[node.start : node.stop if node.name in RAW else node.inner].split()).encode("utf-8", "replace")]
+        for x in node.kids:
+            parts.append(" ".join(page[x[0] : x[1]].split()).encode("utf-8", "replace") if isinstance(x, tuple) else b"<%d" % out[id(x)])
+        out[id(node)] = int.from_bytes(blake2b(b"\0".join(p for p in parts if p), digest_size=8).digest(), "little", signed=True)
+    return out
 
 
 def subtrees(page: str) -> list[int]:
     """Hashes of the page's subtrees that may be template."""
     root = parse(page)
-    inside_of = {id(x) for x in _articles(root)}
+    inside_of = {id(x) for x in _articles(root, kept_wrappers(page, root))}
+    digests = _digests(page, root)
     out, todo = set(), [(root, False)]
     while todo:
         node, inside = todo.pop()
         inside = inside or id(node) in inside_of
         if node.name in CONTAINERS or (not inside and node.name in TEXT_BLOCKS and node.name != "br"):
-            out.add(_digest(page, node))
+            out.add(digests[id(node)])
         todo.extend((x, inside) for x in node.kids if not isinstance(x, tuple) and x.name not in RAW)
     return sorted(out)
 
@@ -174,7 +254,9 @@ def subtrees(page: str) -> list[int]:
 def main_text(page: str, template: frozenset = frozenset()) -> str:
     """Text of the page's article (or body) without dropped and template subtrees."""
     root = parse(page)
-    tops = _articles(root)
+    keep = kept_wrappers(page, root)
+    tops = _articles(root, keep)
+    digests = _digests(page, root) if template else {}
     inside_of = {id(x) for x in tops}
     parts: list[str] = []
     # An explicit stack: elements to enter, spans and separators, the next one last.
@@ -195,10 +277,10 @@ def main_text(page: str, template: frozenset = frozenset()) -> str:
             elif x.name in VOID or (x.name not in BLOCKS and not x.kids):
                 if x.name in ("br", "hr"):
                     ahead.append(" ")
-            elif _dropped(x, inside):
+            elif _dropped(x, inside, keep):
                 if x.name in BLOCKS:
                     ahead.append(" ")
-            elif template and (x.name in CONTAINERS or (not inside and x.name in TEXT_BLOCKS)) and _digest(page, x) in template:
+            elif template and (x.name in CONTAINERS or (not inside and x.name in TEXT_BLOCKS)) and digests[id(x)] in template:
                 ahead.append(" ")
             else:
                 ahead.append((x, inside))

@@ -17,6 +17,15 @@ CASES = [
     ("<article><p>a</div>b</p></article>", "ab"),
     ("<article><p>open <b>bold <i>it", "open bold it"),
     ("<p hidden>x</p><p>y</p>", "y"),
+    ("<div class='layout with-sidebar'><article><p>kept</p></article><div class=sidebar>s</div></div>", "kept"),
+    ("<div class='content no-sidebar'><p>kept</p></div><div class=sidebar>s</div>", "kept"),
+    ("<form><header>h</header><div><p>the whole page in a form</p></div><footer>f</footer></form>", "the whole page in a form"),
+    ("<form><article>one</article></form><form>search</form>", "one"),
+    ("<article><p>the <span class=share>share</span> of votes</p></article>", "the share of votes"),
+    ("<div class='page header-wide'><main><p>in a marked wrapper</p></main></div><div>other</div>", "in a marked wrapper"),
+    ("<article>a</article><div class=related><article>a longer teaser</article></div>", "a"),
+    ("<p>short</p><section class=comments><p>a much longer comment of a reader</p></section>", "short"),
+    ("<nav>n</nav><form>Login Password</form>", ""),
     ("", ""),
     ("<", "<"),
     ("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>", "deep"),
@@ -38,7 +47,7 @@ def test_templates_per_host(llm):
     box = "<div class=x>Subscribe to us</div>"
     rows = [(i, f"http://a.com/{i}", f"<div>{box}<p>All rights of a.com</p><p>own text {i}</p></div>") for i in range(8)]
     rows += [(20 + i, f"http://b.com/{i}", f"<p>All rights of a.com</p><p>text {i}</p>") for i in range(2)]
-    rows += [(40 + i, f"http://c.com/{i}", f"<article><p>a copied story</p><p>{box}</p></article>") for i in range(9)]
+    rows += [(40 + i, f"http://c.com/{i}", f"<article><p>a copied story</p><p>{box}</p></article><p>{i}</p>") for i in range(9)]
     rows += [(60, None, None), (61, "http://a.com/x", ""), (62, None, "<p>x</p>"), (None, "u", "<p>y</p>"), (0, rows[0][1], rows[0][2])]
     pages = llm.createDataFrame([(*r, "clash", 0) for r in rows], "page_id long, url string, html string, text string, hashes int").repartition(3)
     out = extract(pages).collect()
@@ -71,3 +80,12 @@ def test_deep_pages_keep_their_blocks_apart():
     box = "<div>box</div>"
     page = "<article>" + "<section>" * 1000 + f"<p>a</p>{box}<p>b</p>"
     assert main_text(page, frozenset(subtrees(box))) == "a b"
+
+
+@pytest.mark.parametrize("page", ["<div>" * 8000 + "x" * 200_000, "<a " * 20_000, "</b>" * 20_000 + "<p>x", "<b>" * 5000 + "</i>" * 20_000, "<p class='" * 5000])
+def test_hostile_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    main_text(page, frozenset(subtrees(page)))
+    assert time.process_time() - began < 4
