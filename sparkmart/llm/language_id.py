@@ -52,14 +52,16 @@ _LETTERS: list[np.ndarray] = []
 
 
 def _letter_table() -> np.ndarray:
+    """Per code point: 1 for a mark, 2 for a letter, else 0."""
     if not _LETTERS:
         import regex
 
         every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
         points = np.frombuffer(every.encode("utf-32-le"), np.uint32)
-        table = np.zeros(0x110000, np.bool_)
-        for m in regex.finditer(r"[\p{L}\p{M}]+", every):
-            table[points[m.start() : m.end()]] = True
+        table = np.zeros(0x110000, np.uint8)
+        for pattern, kind in ((r"\p{M}+", 1), (r"\p{L}+", 2)):
+            for m in regex.finditer(pattern, every):
+                table[points[m.start() : m.end()]] = kind
         _LETTERS.append(table)
     return _LETTERS[0]
 
@@ -80,7 +82,8 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     cp = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
     offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, low), np.int64, len(low)))])
     inside = np.zeros(len(cp) + 1, np.bool_)
-    inside[:-1] = _letter_table()[cp]
+    kind = _letter_table()[cp]
+    inside[:-1] = kind > 0
     first = inside[:-1].copy()
     first[1:] &= ~inside[:-2]
     heads = offsets[:-1][offsets[:-1] < len(cp)]
@@ -89,6 +92,9 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     ends_of_text = offsets[1:][offsets[1:] > 0] - 1
     last[ends_of_text] = inside[ends_of_text]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    letters = np.concatenate([[0], np.cumsum(kind == 2)])
+    real = letters[end] > letters[start]  # marks alone are no word
+    start, end = start[real], end[real]
     parts = -(-(end - start) // MAX_WORD)
     if len(parts) and parts.max() > 1:
         k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)

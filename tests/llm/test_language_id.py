@@ -82,3 +82,9 @@ def test_edge_rows(frame):
     got = identify(frame(rows + [(8, "the and of"), (9, "der die und")], langs=[None] * 7 + ["en", "de"])).collect()
     assert [r["lang_pred"] for r in got if r["doc_id"] in (1, 2, 3)] == ["und"] * 3
     assert {r["lang_pred"] for r in got if r["doc_id"] in (None, 4)} == {"en"}
+
+
+def test_marks_alone_are_no_word():
+    from sparkmart.llm.language_id import words
+
+    assert words(["́̂ 123", "é ́", "", "a1b"])[3].tolist() == [0, 1, 0, 2]
