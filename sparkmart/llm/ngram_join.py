@@ -17,7 +17,10 @@ A first step links every point with one pivot, the smallest point of the
 regions it shares most shingles in, if they are near.
 
 Recursion.  In each region pivots are drawn and the distance of the other
-points to them is computed exactly (bounds from sizes and signatures first).  A point within ``eps`` of a pivot is
+points to them is computed exactly.  Bounds come first: the join of points and
+pivots makes a pair only if their sizes and the parities of their shingles
+(``parities``) allow the similarity, then histograms are compared, then sets.
+A point within ``eps`` of a pivot is
 linked with it and belongs to the cell of its nearest one (its Voronoi
 region).  A pair of links can join a cell's point only with points within
 ``2 eps`` of its pivot (triangle inequality), so these boundary points are
@@ -39,7 +42,7 @@ document; an empty table gives an empty table; extra columns are ignored.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -65,6 +68,9 @@ SPARE = 20
 SAMPLED = 16
 HOT_COUNT = 3
 HOT_PARTS = 1 << 20
+#: Longs of parities per set; unrelated sets of up to twice as many shingles as these have bits are told apart.
+PARITY_WORDS = 8
+PARITIES = f"struct<{', '.join(f'w{i}: long' for i in range(PARITY_WORDS))}>"
 #: Pairs of one pivot tested by one task, about.
 PIVOT_PAIRS = 2000
 #: Points from which on regions with mostly the same members are joined.
@@ -104,6 +110,27 @@ def signature(hashes: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """Per set ``PARITY_WORDS`` longs: for each of their bits, whether an odd number of shingles falls on it.
+
+    A shingle in only one of two sets turns one bit, so two sets differ in at
+    least as many shingles as their parities differ in bits.
+    """
+    bits = 64 * PARITY_WORDS
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    place = np.concatenate(sets).astype(np.int64) & (bits - 1) if sets else np.zeros(0, np.int64)
+    place += np.repeat(np.arange(len(sets)) * bits, sizes)
+    odd = (np.bincount(place, minlength=len(sets) * bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(len(sets), PARITY_WORDS)
+
+
+def _may_reach(n: Column, a: str, other: Column, b: str, least: int) -> Column:
+    """Whether the sizes and the parities ``a`` and ``b`` of two sets allow ``least`` percent of similarity."""
+    turned = [F.bit_count(F.col(f"{a}.w{i}").bitwiseXOR(F.col(f"{b}.w{i}"))) for i in range(PARITY_WORDS)]
+    apart = reduce(lambda x, y: x + y, turned)
+    return (100 * F.least(n, other) >= least * F.greatest(n, other)) & ((100 + least) * apart <= (100 - least) * (n + other))
+
+
 def overlap_bound(a: bytes, b: bytes) -> int:
     """At most so many shingles are in both sets, by their signatures; -1 when these can't tell."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -223,7 +250,7 @@ def _hot_parts(docs: DataFrame, words: int, percent: int, limit: int = HOT_PARTS
 
 
 def _points(docs: DataFrame, hot: np.ndarray, words: int, percent: int) -> DataFrame:
-    """Per document (id, n, d1, d2, parts, sig): size and digest of its set, the hashes of its parts, its histogram."""
+    """Per document (id, n, d1, d2, parts, sig, odd): size and digest of its set, the hashes of its parts, its histogram and parities."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
@@ -234,12 +261,13 @@ def _points(docs: DataFrame, hot: np.ndarray, words: int, percent: int) -> DataF
             cuts = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
             parts = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(lists).view(np.int64)))
             sigs = pa.array([signature(s) for s in sets], pa.binary())
+            odd = pa.StructArray.from_arrays([pa.array(w) for w in np.ascontiguousarray(parities(sets).T)], [f"w{i}" for i in range(PARITY_WORDS)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), parts, sigs],
-                ["id", "n", "d1", "d2", "parts", "sig"],
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), parts, sigs, odd],
+                ["id", "n", "d1", "d2", "parts", "sig", "odd"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, parts array<long>, sig binary")
+    return docs.mapInArrow(run, f"id long, n long, d1 long, d2 long, parts array<long>, sig binary, odd {PARITIES}")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, row_bytes: int, words: int) -> DataFrame:
@@ -319,11 +347,11 @@ def _joined_regions(members: DataFrame, turn: int) -> DataFrame:
 
 
 def _met(points: DataFrame, pivots: DataFrame, least: int) -> DataFrame:
-    """(region, id, p, n, np) of the pivots and the points of other components whose sizes allow ``least`` percent."""
+    """(region, id, p, n, np) of the pivots and the points of other components whose sizes and parities allow ``least`` percent."""
     reach = pivots.withColumnRenamed("region", "r")
-    alike = 100 * F.least("n", "np") >= least * F.greatest("n", "np")
-    met = (F.col("region") == F.col("r")) & (F.col("id") != F.col("p")) & (F.col("comp") != F.col("cp")) & alike
-    return points.join(broadcast_checked(reach, 48), met).select("region", "id", "p", "n", "np")
+    met = (F.col("region") == F.col("r")) & (F.col("id") != F.col("p")) & (F.col("comp") != F.col("cp"))
+    met = met & _may_reach(F.col("n"), "odd", F.col("np"), "oddp", least)
+    return points.join(broadcast_checked(reach, 56 + 8 * PARITY_WORDS), met).select("region", "id", "p", "n", "np")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -366,7 +394,7 @@ def _first_links(docs: DataFrame, points: DataFrame, members: DataFrame, near: i
 
 
 def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, percent: int = PERCENT, trace: list | None = None) -> DataFrame:
-    """(id, comp) of the points (id, n, parts, sig) that are linked with others; ``trace`` gets the pairs met in each round."""
+    """(id, comp) of the points (id, n, parts, sig, odd) that are linked with others; ``trace`` gets the pairs met in each round."""
     near, wide = percent, 2 * percent - 100  # similarities at distance eps and 2 eps
     members = stored(_joined_regions(_first_regions(points), 0), "regions-1")
     comps = components(_first_links(docs, points, members, near, words))
@@ -386,16 +414,20 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
         if not regions:
             return comps
         open_ = stored(members.join(broadcast_checked(state, 40, rows=regions), F.col("region") == F.col("r")).drop("r"), "open-regions")
-        chosen = open_.where("comp <> top")
+        ids = stored(open_.select("id").distinct(), "open-ids")
+        odd = points.select("id", "n", "odd").join(broadcast_checked(ids, 16), "id", "left_semi").distinct()
+        odd = stored(odd, "open-parities")  # one row per point, so that repeated rows of a doc_id stay one
+        seen = open_.join(broadcast_checked(odd, 32 + 8 * PARITY_WORDS), ["id", "n"])
+        chosen = seen.where("comp <> top")
         order = F.xxhash64(F.lit(turn), "id")  # overlapping regions draw the same pivots, so their pairs coincide
-        first = chosen.groupBy("region").agg(F.min(F.struct(order.alias("o"), F.col("id"), F.col("n"), F.col("comp"))).alias("p"))
+        first = chosen.groupBy("region").agg(F.min(F.struct(order.alias("o"), F.col("id"), F.col("n"), F.col("comp"), F.col("odd"))).alias("p"))
         share = float(PIVOTS * 4 ** (turn - 1)) / F.col("rest")
-        drawn = chosen.where(_draw(F.lit(100 + turn), F.col("id")) < share).select("region", "id", "n", "comp")
-        pivots = first.select("region", "p.id", "p.n", "p.comp").unionByName(drawn)
+        drawn = chosen.where(_draw(F.lit(100 + turn), F.col("id")) < share).select("region", "id", "n", "comp", "odd")
+        pivots = first.select("region", "p.id", "p.n", "p.comp", "p.odd").unionByName(drawn)
         pivots = sized(pivots.distinct(), total)
-        pivots = stored(pivots.select("region", F.col("id").alias("p"), F.col("n").alias("np"), F.col("comp").alias("cp")), "pivots")
-        # Pivots meet the points of their region that are of another component; sizes too far apart are skipped unseen.
-        pairs = stored(_met(open_, pivots, near).select("id", "p", "n", "np"), "pivot-pairs")
+        pivots = stored(pivots.select("region", F.col("id").alias("p"), F.col("n").alias("np"), F.col("comp").alias("cp"), F.col("odd").alias("oddp")), "pivots")
+        # Pivots meet the points of their region that are of another component; what sizes and parities exclude makes no pair.
+        pairs = stored(_met(seen, pivots, near).select("id", "p", "n", "np"), "pivot-pairs")
         if trace is not None:
             trace.append(pairs.count())
         found = _tested(docs, points, _ordered(pairs), near, words)
@@ -403,7 +435,7 @@ def find_components(docs: DataFrame, points: DataFrame, words: int = WORDS, perc
         # Only pivots with links get cells, so only their distances up to 2 eps are needed.
         ends = stored(links.select(F.explode(F.array("u", "v")).alias("__p")).distinct(), "linked-ends")
         centres = pivots.join(broadcast_checked(ends, 16), F.col("p") == F.col("__p"), "left_semi")
-        pairs = stored(_met(open_, centres, wide), "cell-pairs")
+        pairs = stored(_met(seen, centres, wide), "cell-pairs")
         found = stored(_tested(docs, points, _ordered(pairs), wide, words), "pivot-distances")
         found = found.select(F.col("id").alias("a"), F.col("p").alias("b"), "inter")
         near_p = pairs.join(broadcast_checked(found, 40), (F.greatest("id", "p") == F.col("a")) & (F.least("id", "p") == F.col("b")))

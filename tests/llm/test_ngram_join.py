@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from sparkmart.llm.components import components
-from sparkmart.llm.ngram_join import link_components, partitions, representatives, shingle_sets, signatures, size_classes
+from sparkmart.llm.ngram_join import link_components, parities, partitions, representatives, shingle_sets, signatures, size_classes
 from texts import brute_components, prose, shingles
 
 
@@ -99,6 +99,29 @@ def test_a_passage_of_thousands_of_unrelated_texts(frame):
     assert sum(trace) < 20 * len(rows), trace  # all pairs would be 4.5 million
 
 
+def test_many_edits_of_one_short_text(frame):
+    rng = random.Random(21)
+    base = prose(rng, 45, 5000)
+    rows = [(i, edited(rng, base, rng.randrange(4, 7))) for i in range(900)]
+    rows += [(2000 + i, rows[i][1] + " more") for i in range(0, 90, 10)]
+    trace = []
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in link_components(frame(rows).repartition(16), trace=trace).collect()}
+    assert got == brute_components(rows)
+    assert sum(trace) < 20 * len(rows), trace  # all pairs would be 0.4 million
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 1 << 63, int(k), dtype=np.uint64)) for k in (0, 1, 5, 60, 60, 700, 20_000)]
+    sets += [np.union1d(sets[4][5:], sets[1]), np.union1d(sets[6][50:], sets[3])]
+    odd = parities(sets)
+    for a, x in zip(sets, odd, strict=True):
+        for b, y in zip(sets, odd, strict=True):
+            turned = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+            assert turned <= len(np.setxor1d(a, b)) and turned % 2 == (len(a) + len(b)) % 2
+    assert parities([]).shape == (0, odd.shape[1])
+
+
 def test_shingle_sets_count_as_brute_force():
     rng = random.Random(8)
     texts = [prose(rng, n, 7) for n in range(30)] + ["É é A a", "x\u00a0y z", None]
