@@ -6,7 +6,8 @@ that count proves it fits ``spark.sql.autoBroadcastJoinThreshold``; beyond
 that they are sort-merge joins on the natural key, with AQE splitting a hot
 key on the fact side.  The as-of lookup is an equi-join on the
 product id with the validity interval as a residual condition (never a
-nested-loop join); empty intervals are dropped first (G3).
+nested-loop join); empty intervals are dropped first (G3).  The fact load merges
+a product dimension too large to broadcast with the lines (``operators.asof``).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.joins import broadcast_if_small
 from sparkmart.functions.predicates import UNKNOWN_KEY, non_empty_interval, ts_literal, valid_at
+from sparkmart.operators.asof import lookup_key_asof_merge
 
 
 def lookup_key(
@@ -57,8 +59,13 @@ def lookup_key_asof(
     out_col: str | None = None,
     default: int = UNKNOWN_KEY,
     size_check: bool = True,
+    merge: bool = False,
 ) -> DataFrame:
-    """Point-in-time lookup: same id and ``start <= date < end`` (open end)."""
+    """Point-in-time lookup: same id and ``start <= date < end`` (open end).
+
+    With ``merge`` a dimension too large to broadcast is merged with the lines
+    by ranges of (id, date); its versions must not overlap.
+    """
     out_col = out_col or key_col
     right = dim.where(non_empty_interval(start_col, end_col)).select(
         F.col(dim_on).alias("_sm_lk"),
@@ -67,7 +74,9 @@ def lookup_key_asof(
         F.col(end_col).alias("_sm_e"),
     )
     if size_check:
-        right, _ = broadcast_if_small(right)
+        right, small = broadcast_if_small(right)
+        if merge and not small:
+            return lookup_key_asof_merge(df, dim, on, date_col, dim_on, key_col, start_col, end_col, out_col, default)
     cond = (df[on] == F.col("_sm_lk")) & valid_at(df[date_col], F.col("_sm_s"), F.col("_sm_e"))
     joined = df.join(right, cond, "left")
     return joined.withColumn(out_col, F.coalesce(F.col("_sm_key"), F.lit(default).cast("long"))).drop(
@@ -112,7 +121,7 @@ def load_fact(
         staging_order = staging_order.withColumn("_sm_stamp", now)
     lines = staging_order
     lines = lookup_key(lines, dim_facility, "facility_id", "facility_id_source", "facility_key")
-    lines = lookup_key_asof(lines, dim_product, "product_id", "order_date")
+    lines = lookup_key_asof(lines, dim_product, "product_id", "order_date", merge=True)
     lines = lookup_key(lines, dim_date, "order_date", "full_date", "date_key", default=None)
     lines = require_keys(
         lines, "date_key", "order date outside the calendar (dim_date)", show=("order_id", "order_date")

@@ -441,6 +441,25 @@ for _t, _src, _tgt, _key, _cols, _unk in SYNC_TABLES:
     )
 
 
+# --- a synced copy that drifted without a new stamp ---------------------------------------------
+cte(
+    "drifted_fact_orders",
+    f"SELECT {_FACT_COLS.replace('quantity', 'CAST(CASE WHEN date_key % 100 = 1 AND quantity = 7 THEN quantity + 1 ELSE quantity END AS INTEGER) AS quantity')} "
+    "FROM upserted_fact_orders WHERE NOT (date_key % 100 = 2 AND quantity = 11)",
+    "upserted_fact_orders",
+)
+
+
+def _difference_sql(source: str, target: str, key: str, cols: str) -> str:
+    """(key, status) of the rows in which two copies differ, by comparing all of them."""
+    names = [c.strip() for c in cols.split(",")]
+    unequal = " OR ".join(f"s.{c} IS DISTINCT FROM t.{c}" for c in names)
+    return (
+        f"SELECT COALESCE(s.{key}, t.{key}) AS {key}, CASE WHEN t.{key} IS NULL THEN 'missing' WHEN s.{key} IS NULL THEN 'extra' "
+        f"ELSE 'changed' END AS status FROM {source} s FULL JOIN {target} t ON s.{key} = t.{key} WHERE {unequal}"
+    )
+
+
 _MONTHLY = (
     "SELECT year, month, month_name, CAST(revenue AS DECIMAL(22,2)) AS revenue, order_count, units_sold, "
     "CAST(LAG(revenue) OVER (ORDER BY year, month) AS DECIMAL(22,2)) AS prev_month_revenue, "
@@ -625,6 +644,19 @@ def oracle_sql() -> dict[str, str]:
 def _with_reports(sql: dict[str, str]) -> dict[str, str]:
     """The ordered reports, the stored forms and the loads, from the statements they share."""
     sql["q_sync_stored"] = sql["q_log_fact"] = sql["q_log_compacted"] = sql["q_upsert_fact"]
+    sql["q_asof_merge_join"] = sql["q_asof_product_join"]
+    sql["q_verify_rows"] = query(
+        _difference_sql("sync_source_fact", "drifted_fact_orders", "order_line_key", _FACT_COLS), "sync_source_fact", "drifted_fact_orders"
+    )
+    copies = {t: "drifted_fact_orders" if t == "fact_orders" else f"upserted_{t}" for t, *_ in SYNC_TABLES}
+    counts = ", ".join(f"CAST(COUNT(*) FILTER (WHERE status = '{x}') AS BIGINT) AS {x}" for x in ("missing", "extra", "changed"))
+    sql["q_verify_report"] = query(
+        " UNION ALL ".join(
+            f"SELECT {_q(t)} AS table_name, {counts} FROM ({_difference_sql(src, copies[t], key, cols)})" for t, src, _, key, cols, _ in SYNC_TABLES
+        ),
+        *[src for _, src, *_ in SYNC_TABLES],
+        *copies.values(),
+    )
     sql["q_log_commit"] = query(
         " UNION ALL ".join(f"SELECT {_q(t)} AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM upserted_{t}" for t, *_ in SYNC_TABLES),
         *[f"upserted_{t}" for t, *_ in SYNC_TABLES],

@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart import schemas
-from sparkmart.operators import calendar, facts, quality, staging, sync
+from sparkmart.operators import calendar, facts, quality, staging, sync, verify
+from sparkmart.operators.asof import lookup_key_asof_merge
 from sparkmart.operators.keys import assign_keys
 from sparkmart.plans import dashboard, views
 from sparkmart.plans.build import run_build
 from sparkmart.plans.maintained import SalesState
 from sparkmart.plans.scenarios import NOW, Scenarios
-from sparkmart.session import scratch_path
+from sparkmart.session import scratch_path, stored_copy
 from sparkmart.sources.bindings import LINE_ORDER, Sources
 from sparkmart.sources.delta_log import Commit, DeltaLog
 from sparkmart.sources.incremental import read_since, watermark, watermark_col
@@ -183,6 +184,31 @@ def q_sync_report(spark, sf_dir):
     return sync.sync_report(spark, results)
 
 
+def _drifted(sc):
+    """(sources, targets) after a sync; the target's fact then drifted without a new stamp.
+
+    Lines of 7 units sold on the first of a month have one unit more, lines of
+    11 units sold on the second are gone.
+    """
+    sources = {t: stored_copy(df, f"verify-source-{t}") for t, df in sc.sync_sources.items()}
+    targets = {spec.name: sync.sync_table(sources[spec.name], sc.sync_targets[spec.name], spec).target for spec in schemas.WAREHOUSE_SPECS}
+    day, units = F.col("date_key") % 100, F.col("quantity")
+    fact = targets["fact_orders"].where(~((day == 2) & (units == 11)))
+    targets["fact_orders"] = fact.withColumn("quantity", F.when((day == 1) & (units == 7), units + 1).otherwise(units))
+    return sources, {t: stored_copy(df, f"verify-target-{t}") for t, df in targets.items()}
+
+
+def q_verify_rows(spark, sf_dir):
+    """The lines in which a synced copy differs, found by digests of key ranges."""
+    sources, targets = _drifted(scenarios(spark, sf_dir))
+    return verify.differing_rows(sources["fact_orders"], targets["fact_orders"], "order_line_key")
+
+
+def q_verify_report(spark, sf_dir):
+    """Per table, the rows that are missing, too many or changed in the copy."""
+    return verify.verify_all(*_drifted(scenarios(spark, sf_dir)))
+
+
 # --- E1–E4 -----------------------------------------------------------------------
 def q_extract_facility(spark, sf_dir):
     return scenarios(spark, sf_dir).staging_facility
@@ -244,6 +270,13 @@ def q_asof_product_join(spark, sf_dir):
     return facts.lookup_key_asof(lines, sc.loaded_product, "product_id", "order_date")
 
 
+def q_asof_merge_join(spark, sf_dir):
+    """J5 as a merge by ranges of (product, date), for a dimension that is not broadcast."""
+    sc = scenarios(spark, sf_dir)
+    lines = sc.staging_order(keyed=False).select("order_id", "order_date", "product_id", "quantity", "line_total")
+    return lookup_key_asof_merge(lines, sc.loaded_product, "product_id", "order_date")
+
+
 def q_fact_unknown_members(spark, sf_dir):
     return scenarios(spark, sf_dir).scenario_fact()
 
