@@ -643,7 +643,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _with_reports(sql: dict[str, str]) -> dict[str, str]:
     """The ordered reports, the stored forms and the loads, from the statements they share."""
-    sql["q_sync_stored"] = sql["q_log_fact"] = sql["q_log_compacted"] = sql["q_upsert_fact"]
+    sql["q_sync_stored"] = sql["q_log_fact"] = sql["q_log_compacted"] = sql["q_log_stream"] = sql["q_upsert_fact"]
     sql["q_asof_merge_join"] = sql["q_asof_product_join"]
     sql["q_verify_rows"] = query(
         _difference_sql("sync_source_fact", "drifted_fact_orders", "order_line_key", _FACT_COLS), "sync_source_fact", "drifted_fact_orders"
@@ -673,6 +673,20 @@ def _with_reports(sql: dict[str, str]) -> dict[str, str]:
     )
     sql["q_monthly_report"] = sql["q_monthly_revenue"] + " ORDER BY year, month"
     sql["q_rank_report"] = sql["q_product_revenue_rank"] + " ORDER BY revenue_rank, product_name, category_name"
+    sql["q_sql_views"] = query(
+        "SELECT d.year, d.month, p.category_name, m.revenue AS month_revenue, r.n_products, r.best_rank, "
+        "CAST(SUM(f.line_total) AS DECIMAL(22,2)) AS revenue, CAST(COUNT(*) AS BIGINT) AS line_count "
+        "FROM fact_report f JOIN dim_date d ON f.date_key = d.date_key JOIN prod2 p ON f.product_key = p.product_key "
+        f"JOIN fac2 c ON f.facility_key = c.facility_key JOIN ({_MONTHLY}) m ON m.year = d.year AND m.month = d.month "
+        "JOIN (SELECT category_name, CAST(COUNT(*) AS BIGINT) AS n_products, CAST(MIN(revenue_rank) AS BIGINT) AS best_rank "
+        "FROM (SELECT p.product_name, p.category_name, RANK() OVER (ORDER BY SUM(f.line_total) DESC NULLS FIRST) AS revenue_rank "
+        "FROM fact_report f JOIN prod2 p ON f.product_key = p.product_key WHERE p.product_key <> -1 GROUP BY p.product_name, p.category_name) "
+        "GROUP BY category_name) r ON r.category_name = p.category_name GROUP BY ALL",
+        "fact_report",
+        "dim_date",
+        "prod2",
+        "fac2",
+    )
     sql["q_second_load"] = query("SELECT * FROM load_1 UNION ALL SELECT * FROM load_2", "load_1", "load_2")
     sql["q_second_load_product"] = query("SELECT * FROM prod_load", "prod_load")
     tables = (

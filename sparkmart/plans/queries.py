@@ -29,6 +29,8 @@ from sparkmart.sources.bindings import LINE_ORDER, Sources
 from sparkmart.sources.delta_log import Commit, DeltaLog
 from sparkmart.sources.incremental import read_since, watermark, watermark_col
 from sparkmart.sources.sinks import read_snapshot, read_stored, versions, write_snapshot
+from sparkmart.sources.tables import register_warehouse_views
+from sparkmart.streaming.log_stream import start_log_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +125,39 @@ def q_log_compacted(spark, sf_dir):
     return log.read("fact_orders")
 
 
+def q_log_stream(spark, sf_dir):
+    """I1 as a stream with keyed state into the log: the whole source arrives in two parts, only changes are written."""
+    sc = scenarios(spark, sf_dir)
+    log, feed = DeltaLog(spark, scratch_path(spark, "log")), scratch_path(spark, "stream-source")
+    log.append({"fact_orders": sc.sync_target_fact})
+    checkpoint = scratch_path(spark, "stream-state")
+    for part in (0, 1):
+        sc.sync_source_fact.where(F.pmod(F.xxhash64("order_line_key"), F.lit(2)) == part).write.mode("append").parquet(feed)
+        start_log_stream(spark, feed, log, "fact_orders", checkpoint).awaitTermination()
+    return log.read("fact_orders")
+
+
+def q_sql_views(spark, sf_dir):
+    """``spark.sql`` over the registered warehouse tables and views, revenue of a month and a category beside their views."""
+    register_warehouse_views(spark, scenarios(spark, sf_dir).warehouse)
+    return spark.sql(SQL_VIEWS)
+
+
+# The statement of q_sql_views.
+SQL_VIEWS = """
+SELECT d.year, d.month, p.category_name, m.revenue AS month_revenue, r.n_products, r.best_rank,
+       CAST(SUM(f.line_total) AS DECIMAL(22,2)) AS revenue, CAST(COUNT(*) AS BIGINT) AS line_count
+FROM fact_orders f
+JOIN dim_date d ON f.date_key = d.date_key
+JOIN dim_product p ON f.product_key = p.product_key
+JOIN dim_facility c ON f.facility_key = c.facility_key
+JOIN vw_monthly_revenue m ON m.year = d.year AND m.month = d.month
+JOIN (SELECT category_name, CAST(COUNT(*) AS BIGINT) AS n_products, CAST(MIN(revenue_rank) AS BIGINT) AS best_rank
+      FROM vw_product_revenue_rank GROUP BY category_name) r ON r.category_name = p.category_name
+GROUP BY d.year, d.month, p.category_name, m.revenue, r.n_products, r.best_rank
+"""
+
+
 def q_log_commit(spark, sf_dir):
     """One commit for all tables: rows of each table as of the second commit."""
     log, _, second = _synced_log(scenarios(spark, sf_dir), spark)

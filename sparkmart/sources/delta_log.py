@@ -64,8 +64,11 @@ class Run:
 
 @dataclass
 class Commit:
+    """``writers``: per named writer the commit it started from and its last numbered load."""
+
     number: int = 0
     tables: dict[str, list[Run]] = field(default_factory=dict)
+    writers: dict[str, tuple[int, int]] = field(default_factory=dict)
 
 
 def _bit(bitmap: str, position: str):
@@ -110,13 +113,24 @@ class DeltaLog:
                 return Commit()
             number = known[-1]
         text = self.spark.read.text(self._place(number), wholetext=True).first()[0]
-        tables = {t: [Run(**r) for r in runs] for t, runs in json.loads(text).items()}
-        return Commit(number, tables)
+        content = json.loads(text)
+        tables = {t: [Run(**r) for r in runs] for t, runs in content["tables"].items()}
+        return Commit(number, tables, {w: tuple(at) for w, at in content["writers"].items()})
+
+    def first_seen(self, writer: str) -> int:
+        """The commit that ``writer`` started from; the newest one's number if it has not written yet, 0 without any."""
+        head = self.commit()
+        return head.writers[writer][0] if writer in head.writers else head.number
+
+    def last_load(self, writer: str) -> int:
+        """Number of the last load that ``writer`` committed, -1 before the first."""
+        return self.commit().writers.get(writer, (0, -1))[1]
 
     def _publish(self, commit: Commit) -> bool:
         """Make ``commit`` visible; False if its number is taken."""
         jvm, final = self.spark._jvm, self._place(commit.number)
-        text = json.dumps({t: [asdict(r) for r in runs] for t, runs in commit.tables.items()})
+        tables = {t: [asdict(r) for r in runs] for t, runs in commit.tables.items()}
+        text = json.dumps({"tables": tables, "writers": commit.writers})
         fs, place = _file_system(self.spark, f"{self.root}/_commits/_{uuid.uuid4().hex}")
         out = fs.create(place, False)
         out.write(bytearray(text.encode()))
@@ -133,17 +147,19 @@ class DeltaLog:
             raise error
         return True
 
-    def _commit_changes(self, based_on: Commit, changes: Mapping[str, tuple[list[str], list[Run]]]) -> Commit:
+    def _commit_changes(self, based_on: Commit, changes: Mapping[str, tuple[list[str], list[Run]]], writer: tuple[str, int] | None = None) -> Commit:
         """Replace runs (by name) and add runs per table on top of the newest commit."""
         while True:
             head = self.commit()
-            tables = dict(head.tables)
+            tables, writers = dict(head.tables), dict(head.writers)
+            if writer is not None:
+                writers[writer[0]] = (writers[writer[0]][0] if writer[0] in writers else based_on.number, writer[1])
             for name, (gone, added) in changes.items():
                 if head.tables.get(name, []) != based_on.tables.get(name, []):
                     raise CommitConflict(name)
                 kept = [r for r in tables.get(name, []) if r.name not in gone]
                 tables[name] = sorted(kept + added, key=lambda r: r.first)
-            new = Commit(head.number + 1, tables)
+            new = Commit(head.number + 1, tables, writers)
             if self._publish(new):
                 return new
 
@@ -164,16 +180,22 @@ class DeltaLog:
         buckets = self.spark.read.parquet(keys).count()
         return Run(run, facts["n"], buckets, first, last, facts["wm"].isoformat() if facts["wm"] else None)
 
-    def append(self, loads: Mapping[str, DataFrame]) -> Commit:
-        """S3: one commit with a run per table that has rows; nothing is visible if any write fails."""
+    def append(self, loads: Mapping[str, DataFrame], writer: tuple[str, int] | None = None) -> Commit:
+        """S3: one commit with a run per table that has rows; nothing is visible if any write fails.
+
+        ``writer``: (name, number) of a load that may be tried again; a number
+        up to the writer's last committed one adds nothing.
+        """
         base, changes = self.commit(), {}
+        if writer is not None and self.last_load(writer[0]) >= writer[1]:
+            return base
         for name, rows in loads.items():
             spec = self.specs[name]
             last = max((r.last for r in base.tables.get(name, [])), default=0) + 1
             run = self._write(name, rows.select(*[f.name for f in spec.schema.fields]), last, last)
             if run is not None:
                 changes[name] = ([], [run])
-        return self._commit_changes(base, changes) if changes else base
+        return self._commit_changes(base, changes, writer) if changes or writer else base
 
     # --- reading -----------------------------------------------------------
     def _merged(self, name: str, runs: Sequence[Run]) -> DataFrame:
