@@ -6,7 +6,8 @@ with a label token over the labelled pages; rules ``tokens -> unwanted`` with
 enough support and confidence, and more confidence than any of their sub-rules,
 block the pages that hold all their tokens.  Matching uses an inverted index:
 each rule is listed under its rarest token, a page looks up its tokens there
-and tests the few rules found.
+and tests the few rules found.  Tokens of the same unwanted pages are mined as
+one item, so a site's many shared tokens don't multiply the itemsets.
 
 Defined results: a null URL or one without ``://`` has empty host and path, no
 tokens and is allowed; without labelled pages or strong rules every page
@@ -16,6 +17,8 @@ when one of the labels says so; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,31 +66,50 @@ def labelled(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return ids.join(votes, F.col("page_id") == F.col("doc_id")).select("page_id", (F.col("__bad") == 1).alias("unwanted"))
 
 
+def _classes(bad: DataFrame, least: float) -> DataFrame:
+    """(head, members): tokens that stand on at least ``least`` unwanted pages, those of the same pages together.
+
+    Page sets are compared by their size and 128 bits of xor-ed page hashes.
+    A class has at most as many tokens as one of its pages.
+    """
+    one, two = F.bit_xor(F.xxhash64("id")).alias("one"), F.bit_xor(F.xxhash64(F.lit(7), "id")).alias("two")
+    sets = bad.select("id", F.explode("items").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"), one, two)
+    same = sets.where(F.col("n") >= least).groupBy("n", "one", "two")
+    return same.agg(F.min("t").alias("head"), F.array_sort(F.collect_list("t")).alias("members")).select("head", "members")
+
+
 def mine(items: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int | None = None) -> DataFrame:
     """(antecedent, confidence, support) of the pruned rules for the unwanted label.
 
     ``items``: one array of distinct tokens per labelled page, with the label
-    token on unwanted ones.  Only itemsets with the label token lead to rules,
-    and each of them needs ``min_support``, so tokens that are rarer among the
-    unwanted pages are left out before the trees are built.  Rules have any
-    number of tokens unless ``max_tokens`` is given.
+    token on unwanted ones.  A rule needs ``min_support`` among the unwanted
+    pages, so rarer tokens are left out before the trees are built, and tokens
+    that stand on the same unwanted pages are one item there: of the token sets
+    that differ only within such classes, the whole one is mined, which is the
+    surest.  Rules have any number of tokens unless ``max_tokens`` is given.
     """
     n = items.count()
     schema = "antecedent array<string>, confidence double, support double"
-    bad = items.where(F.array_contains("items", UNWANTED))
+    none = items.sparkSession.createDataFrame([], schema)
     least = max(MIN_PAGES, min_support * n)
-    frequent = bad.select(F.explode("items").alias("t")).groupBy("t").count().where(F.col("count") >= least)
-    frequent = frequent.select("t")
-    if not n or bad.limit(1).count() == 0:
-        return items.sparkSession.createDataFrame([], schema)
-    # Frequent itemsets of the unwanted pages (each holds the label token); their counts on all pages follow.
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / max(1, bad.count())), minConfidence=1.0).fit(bad)
-    sets = model.freqItemsets.where(F.array_contains("items", UNWANTED) & (F.size("items") >= 2))
+    unwanted = items.where(F.array_contains("items", UNWANTED))
+    bad = stored(unwanted.select(F.monotonically_increasing_id().alias("id"), F.array_remove("items", UNWANTED).alias("items")), "url-unwanted")
+    classes = stored(_classes(bad, least), "url-classes")
+    heads = broadcast_checked(classes.select("head"), 200)
+    kept = bad.select("id", F.explode("items").alias("head")).join(heads, "head").groupBy("id").agg(F.collect_list("head").alias("items"))
+    kept = stored(kept.select("items"), "url-heads")
+    n_kept = kept.count()
+    if not n_kept:
+        return none
+    # Half a page below the bound: the share times the pages is rounded up again.
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (math.ceil(least) - 0.5) / n_kept), minConfidence=1.0).fit(kept)
+    found = stored(model.freqItemsets, "url-itemsets")
+    whole = found.select("items", "freq", F.explode("items").alias("head")).join(classes, "head").groupBy("items", "freq")
+    sets = whole.agg(F.array_sort(F.flatten(F.collect_list("members"))).alias("antecedent")).select("antecedent", F.col("freq").alias("n_bad"))
     if max_tokens is not None:
-        sets = sets.where(F.size("items") <= max_tokens + 1)
-    sets = sets.select(F.array_sort(F.array_remove("items", UNWANTED)).alias("antecedent"), F.col("freq").alias("n_bad"))
-    sets = stored(sets, "url-itemsets")
-    every = matches(items.withColumn("id", F.monotonically_increasing_id()), sets.select("antecedent"), frequent)
+        sets = sets.where(F.size("antecedent") <= max_tokens)
+    sets = stored(sets, "url-sets")
+    every = matches(items.withColumn("id", F.monotonically_increasing_id()), sets.select("antecedent"))
     totals = every.groupBy("antecedent").agg(F.count(F.lit(1)).alias("n_all"))
     rules = sets.join(totals, "antecedent").select(
         "antecedent", (F.col("n_bad") / F.col("n_all")).alias("confidence"), (F.col("n_bad") / n).alias("support")
@@ -102,18 +124,21 @@ def mine(items: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: flo
     return strong.join(weak, "antecedent", "left_anti")
 
 
-def matches(pages: DataFrame, rules: DataFrame, frequency: DataFrame | None = None) -> DataFrame:
+def matches(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """(id, antecedent) of every page (id, items) and rule whose tokens it holds.
 
-    Inverted index: a rule stands under its first token in the order of
-    rarity among the rules' tokens, so a page finds a rule at most once.
+    Inverted index: a rule stands under the one of its tokens that the fewest
+    pages hold, so a page finds a rule at most once and common tokens find none.
     """
-    listed = rules.select("antecedent", F.explode("antecedent").alias("token"))
-    uses = listed.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    rarest = listed.join(uses, "token").groupBy("antecedent").agg(F.min_by("token", F.struct("n", "token")).alias("token"))
-    index = stored(rarest, "url-index")
+    listed = stored(rules.select("antecedent", F.explode("antecedent").alias("token")), "url-rule-tokens")
     pages_tokens = pages.select("id", "items", F.explode("items").alias("token"))
-    found = pages_tokens.join(broadcast_checked(index, 200), "token")
+    uses = pages_tokens.select("token").join(broadcast_checked(listed.select("token").distinct(), 200), "token", "left_semi")
+    uses = uses.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    by_use = F.struct(F.coalesce("n", F.lit(0)), "token")
+    index = stored(listed.join(uses, "token", "left").groupBy("antecedent").agg(F.min_by("token", by_use).alias("token")), "url-index")
+    bytes_ = F.aggregate("antecedent", F.lit(100), lambda total, t: total + F.octet_length(t) + 32)
+    longest = index.agg(F.max(bytes_)).first()[0] or 0
+    found = pages_tokens.join(broadcast_checked(index, longest), "token")
     return found.where(F.size(F.array_except("antecedent", "items")) == 0).select("id", "antecedent")
 
 

@@ -82,3 +82,20 @@ def test_rules_of_many_tokens(llm):
     rows = [(whole + [UNWANTED],)] * 30 + [([x for x in whole if x != y],) for y in whole for _ in range(30)]
     got = [(r["antecedent"], r["confidence"]) for r in mine(llm.createDataFrame(rows, "items array<string>")).collect()]
     assert got == [(whole, 1.0)]
+
+
+def test_shared_tokens_are_one_item(llm):
+    """12 unwanted pages share 40 tokens: one rule, not 2**40 itemsets; other pages hold some of the tokens."""
+    shared = [f"q:{i:02}" for i in range(40)]
+    rows = [(shared + [f"p:{k}", UNWANTED],) for k in range(12)] + [([t for t in shared if t != y],) for y in shared for _ in range(2)]
+    rows += [([UNWANTED],), ([],)]
+    got = [(r["antecedent"], r["confidence"]) for r in mine(llm.createDataFrame(rows, "items array<string>")).collect()]
+    assert got == [(shared, 1.0)]
+
+
+def test_classes_with_nested_pages(llm):
+    """Two classes, one on part of the other's pages: the sure rule has both, the bound of pages is exact."""
+    rows = [(["a", "b", "x", "y", UNWANTED],)] * 10 + [(["a", "b", UNWANTED],)] * 10 + [(["a", "b"],)] * 20 + [(["x", "y"],)] * 20
+    got = [(r["antecedent"], r["confidence"]) for r in mine(llm.createDataFrame(rows, "items array<string>")).collect()]
+    assert got == [(["a", "b", "x", "y"], 1.0)]
+    assert mine(llm.createDataFrame(rows[1:], "items array<string>")).count() == 0
