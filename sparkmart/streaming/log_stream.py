@@ -5,8 +5,12 @@
 stamp and a 128-bit fingerprint, not the row) and emits a row only if it is
 new or differs; the emitted rows are appended as one run to a merge-on-read
 ``DeltaLog``.  Bytes written per batch follow the batch, the target is never
-read.  State is partitioned by key and kept in RocksDB below the stream's
-checkpoint, so a lost executor's partitions are loaded again from there.
+read.  State is kept in RocksDB below the stream's checkpoint, so a lost
+executor's partitions are loaded again from there.
+
+The marks of 1024 consecutive keys form one state entry: the state is
+asked and written once per entry and batch, and numpy compares its keys at
+once.  A call of the state per key would cost more than all the rest.
 
 Exactly-once: the commit that adds batch ``n``'s run also records ``n`` for
 this stream; a batch that is tried again after its commit adds nothing.
@@ -22,7 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -31,51 +35,92 @@ from sparkmart.sources.delta_log import DeltaLog
 
 #: State store that transformWithState needs.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE = "stamp long, one long, two long"
+#: 2 to the power of this many consecutive keys form one state entry (32 bytes each).
+STATE_BITS = 10
+STATE = "marks binary"
+# No leading underscore: pandas would rename such columns on their way to the processor.
+_ENTRY = "sm_entry"
+_MARKS = ("sm_key", "sm_stamp", "sm_one", "sm_two")
+_ROW = "sm_row"
 _NO_STAMP = -(1 << 63)
 
 
-def newest_row(names: list[str]) -> StatefulProcessor:
-    """Per key: emits the newest row of the input if the state doesn't hold it yet.
+def newest_rows() -> StatefulProcessor:
+    """Per state entry: emits each key's newest row of the input if the state doesn't hold it yet.
 
-    ``names``: columns of the table; stamp and fingerprint follow them.  The
-    class is local so that it travels to the workers by value.
+    The marks are int64 rows (key, stamp, one, two) in key order.  The class is
+    local so that it travels to the workers by value.
     """
-    width = len(names)
+    import numpy as np
+    import pandas as pd
+
+    mark_names, row_name = list(_MARKS), _ROW
+    key_name, stamp_name = mark_names[:2]
 
-    class NewestRow(StatefulProcessor):
+    def newest(rows):
+        """Per key the rows of its largest stamp, equal ones once and at most two: a second one is a clash."""
+        rows = rows[rows[stamp_name] == rows.groupby(key_name)[stamp_name].transform("max")]
+        return rows.drop_duplicates(mark_names).groupby(key_name).head(2)
+
+    class NewestRows(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.seen = handle.getValueState("newest", STATE)
-
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-            mark, row, clash = None, None, False  # one row is held at a time
-            for r in rows:
-                new = tuple(r[width:])
-                if mark is None or new[0] > mark[0]:
-                    mark, row, clash = new, r, False
-                elif new[0] == mark[0] and new != mark:
-                    clash = True
-            if clash:
-                raise ValueError(f"two different rows of key {key} at one stamp in a micro-batch")
-            known = self.seen.get()
-            if known is None or (mark[0] >= known[0] and mark != tuple(known)):
-                self.seen.update(mark)
-                yield Row(**dict(zip(names, row[:width], strict=True)))
+            self.seen = handle.getValueState("marks", STATE)
+
+        def _known(self):
+            held = self.seen.get()
+            return np.frombuffer(held[0] if held is not None else b"", dtype="<i8").reshape(-1, 4)
+
+        def _remember(self, known, marks) -> None:
+            kept = known[~np.isin(known[:, 0], marks[:, 0])]
+            both = np.concatenate([kept, marks])
+            self.seen.update((both[np.argsort(both[:, 0], kind="stable")].astype("<i8").tobytes(),))
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            best = None
+            for part in rows:  # of an entry's rows, one part and the newest per key are held
+                part = part[[*mark_names, row_name]]
+                best = newest(part if best is None else pd.concat([best, part], ignore_index=True))
+            clash = best[key_name].duplicated()
+            if clash.any():
+                raise ValueError(f"two different rows of key {best[key_name][clash].iloc[0]} at one stamp in a micro-batch")
+            marks, known = best[mark_names].to_numpy(dtype="int64"), self._known()
+            changed = np.ones(len(marks), dtype=bool)
+            if len(known):
+                at = np.minimum(np.searchsorted(known[:, 0], marks[:, 0]), len(known) - 1)
+                old = known[at]
+                met = old[:, 0] == marks[:, 0]
+                changed = ~met | ((marks[:, 1] >= old[:, 1]) & (marks != old).any(axis=1))
+            if changed.any():
+                self._remember(known, marks[changed])
+                yield pd.DataFrame({row_name: best[row_name].to_numpy()[changed]})
 
         def handleInitialState(self, key, initialState, timerValues) -> None:
-            self.seen.update(tuple(initialState[1:]))
+            self._remember(self._known(), initialState[mark_names].to_numpy(dtype="int64"))
 
         def close(self) -> None:
             pass
 
-    return NewestRow()
+    return NewestRows()
+
+
+def _marked(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """State entry and marks of ``rows``: key, stamp in microseconds and two hashes of the whole row, in which nulls count."""
+    every = [c for name in spec.schema.fieldNames() for c in (F.col(name).isNull(), F.col(name))]
+    key = F.coalesce(F.col(spec.key[0]), F.raise_error(F.lit(f"null {spec.key[0]} in the stream"))).cast("long")
+    stamp = F.coalesce(F.unix_micros(F.col(spec.ts_col).cast("timestamp")), F.lit(_NO_STAMP))
+    marks = [key, stamp, F.xxhash64(F.lit(1), *every), F.xxhash64(F.lit(2), *every)]
+    return rows.select(F.shiftright(key, STATE_BITS).alias(_ENTRY), *[m.alias(n) for m, n in zip(marks, _MARKS, strict=True)], "*")
+
+
+def _packed(spec: TableSpec) -> Column:
+    """The row as one string, which passes Python without a conversion of its values."""
+    return F.to_json(F.struct(*[F.col(n).cast("string").alias(n) for n in spec.schema.fieldNames()]))
 
 
-def _marks(schema, ts_col: str) -> list[Column]:
-    """Stamp in microseconds and two hashes of the whole row, in which nulls count."""
-    every = [c for name in schema.fieldNames() for c in (F.col(name).isNull(), F.col(name))]
-    stamp = F.coalesce(F.unix_micros(F.col(ts_col).cast("timestamp")), F.lit(_NO_STAMP))
-    return [stamp.alias("__stamp"), F.xxhash64(F.lit(1), *every).alias("__one"), F.xxhash64(F.lit(2), *every).alias("__two")]
+def _unpacked(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    names = spec.schema.fieldNames()
+    parsed = rows.select(F.from_json(_ROW, ", ".join(f"`{n}` string" for n in names)).alias(_ROW))
+    return parsed.select(*[F.col(f"{_ROW}.{f.name}").cast(f.dataType).alias(f.name) for f in spec.schema.fields])
 
 
 def changed_rows(rows: DataFrame, spec: TableSpec, known: DataFrame | None = None) -> DataFrame:
@@ -83,14 +128,12 @@ def changed_rows(rows: DataFrame, spec: TableSpec, known: DataFrame | None = Non
 
     ``known``: rows that count as seen before the first batch.
     """
-    names, key = spec.schema.fieldNames(), spec.key[0]
-    marked = rows.select(*names, *_marks(spec.schema, spec.ts_col))
-    no_null = F.coalesce(F.col(key), F.raise_error(F.lit(f"null {key} in the stream")).cast(spec.schema[key].dataType))
-    marked = marked.withColumn(key, no_null)
-    seen = None if known is None else known.select(key, *_marks(spec.schema, spec.ts_col)).groupBy(key)
-    return marked.groupBy(key).transformWithState(
-        statefulProcessor=newest_row(names), outputStructType=spec.schema, outputMode="append", timeMode="none", initialState=seen
+    marked = _marked(rows, spec).select(_ENTRY, *_MARKS, _packed(spec).alias(_ROW))
+    seen = None if known is None else _marked(known, spec).select(_ENTRY, *_MARKS).groupBy(_ENTRY)
+    changed = marked.groupBy(_ENTRY).transformWithStateInPandas(
+        statefulProcessor=newest_rows(), outputStructType=f"{_ROW} string", outputMode="append", timeMode="none", initialState=seen
     )
+    return _unpacked(changed, spec)
 
 
 def start_log_stream(

@@ -89,3 +89,16 @@ def test_micro_batches_follow_the_files(spark, tmp_path):
     assert log.watermark("fact_orders") == NOW + dt.timedelta(days=2)
     assert FACT_ORDERS_SPEC.key == ("order_line_key",)
     assert {k: q for k, q in content(log.read("fact_orders"))} == {k: 2 for k in range(15)}
+
+
+def test_state_is_asked_once_per_range_of_keys(spark, tmp_path):
+    src, ckpt, log = f"{tmp_path}/src", f"{tmp_path}/ckpt", DeltaLog(spark, f"{tmp_path}/log")
+    keys = [*range(-5, 3000), 1 << 60]
+    log.append({"fact_orders": fact(spark, [(k, 1, 0) for k in keys if k % 2])})
+    feed(fact(spark, [(k, 1 + (k % 3 == 0), 0) for k in keys]), src)
+    query = start_log_stream(spark, src, log, "fact_orders", ckpt)
+    query.awaitTermination()
+    # Ranges of 1024 keys: one below zero, three above it, one far away.
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 5
+    assert dict(content(log.read("fact_orders"))) == {k: 1 + (k % 3 == 0) for k in keys}
+    assert run_rows(log.commit())[1] == sum(1 for k in keys if k % 2 == 0 or k % 3 == 0)
