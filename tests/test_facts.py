@@ -80,3 +80,27 @@ def test_asof_plan_is_equi_join_with_residual(spark):
     lines = spark.createDataFrame([_line(1, dt.date(2020, 1, 1))], ORDER)
     plan = facts.lookup_key_asof(lines, prod, "product_id", "order_date")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_few_versions_are_joined_many_are_merged(spark):
+    import datetime as dt
+
+    def plan_and_keys(n):
+        start = dt.date(2020, 1, 1)
+        dim = spark.range(n).selectExpr(
+            "5L as product_id_source", "id + 1 as product_key", "date_add(date'2020-01-01', cast(id as int)) as row_start_date",
+            f"if(id = {n - 1}, null, date_add(date'2020-01-01', cast(id as int) + 1)) as row_end_date",
+        )
+        lines = spark.createDataFrame([(i, 5, start + dt.timedelta(days=i)) for i in range(-1, n)], "line long, product_id long, order_date date")
+        found = facts.lookup_key_asof(lines, dim, "product_id", "order_date", merge=True, few_versions=4)
+        return found._jdf.queryExecution().executedPlan().toString(), sorted((r["line"], r["product_key"]) for r in found.collect())
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n, merged in ((4, False), (5, True)):
+            plan, keys = plan_and_keys(n)
+            assert ("Window" in plan) == merged
+            assert keys == [(-1, -1)] + [(i, i + 1) for i in range(n)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -13,3 +13,14 @@ def test_broadcast_only_when_count_fits(spark):
     assert ok
     plan = big.join(side, "k")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_a_counted_side_may_exceed_the_planners_threshold(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    side = spark.range(100).withColumnRenamed("id", "k")
+    try:
+        for threshold, small in (("200", True), ("199", False), ("-1", False)):  # 100 rows of 16 bytes
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            assert broadcast_if_small(side)[1] == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
