@@ -31,7 +31,7 @@ from sparkmart.functions.predicates import known
 from sparkmart.operators.keys import global_rank
 from sparkmart.plans.views import star_join
 from sparkmart.session import stored_copy
-from sparkmart.sources.delta_log import Commit, DeltaLog
+from sparkmart.sources.delta_log import Commit, DeltaLog, key_bitmaps
 from sparkmart.sources.sinks import _file_system
 
 MONTH = ("year", "month", "month_name")
@@ -135,17 +135,17 @@ class SalesState:
         known_runs = {r.name for r in before.tables.get("fact_orders", [])}
         added = [r for r in after.tables.get("fact_orders", []) if r.name not in known_runs]
         key = fact.key[0]
-        paths = [f"{log.root}/fact_orders/run={r.name}" for r in added]
-        touched = self.spark.read.schema(fact.schema).parquet(*paths).select(key) if paths else self.spark.createDataFrame([], f"{key} long")
         dims = [[log.read("dim_date", c), log.read("dim_product", c)] for c in (before, after)]
         a, b = (d[1].select("product_key", F.struct(*PRODUCT).alias(n)) for d, n in zip(dims, ("was", "now"), strict=True))
         moved = stored_copy(a.join(b, "product_key", "full_outer").where(~F.col("was").eqNullSafe(F.col("now"))).select("product_key"), "moved-products")
+        others = None
         if before.tables.get("fact_orders") and moved.limit(1).count():
             side, _ = broadcast_if_small(moved)
-            touched = touched.unionByName(log.read("fact_orders", after).join(side, "product_key", "left_semi").select(key)).distinct()
-        touched = stored_copy(touched, "touched-lines")
-        old = log.masked_rows("fact_orders", touched, before)
-        new = log.masked_rows("fact_orders", touched, after)
+            others = key_bitmaps(log.read("fact_orders", after).join(side, "product_key", "left_semi"), key)
+        # The runs store which keys they hold: no key is shuffled or written again.
+        touched = stored_copy(log.held_keys("fact_orders", [r.name for r in added], others), "touched-lines")
+        old = log.rows_in("fact_orders", touched, before)
+        new = log.rows_in("fact_orders", touched, after)
         return self.apply(old, new, *dims)
 
     # --- the views ---------------------------------------------------------

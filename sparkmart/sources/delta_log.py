@@ -36,7 +36,7 @@ from py4j.protocol import Py4JJavaError
 
 from sparkmart.schemas import WAREHOUSE_SPECS, TableSpec
 from sparkmart.sources.incremental import EPOCH, UNKNOWN_KEY, read_since
-from sparkmart.sources.sinks import _file_system, assert_unique
+from sparkmart.sources.sinks import _file_system
 
 #: Bytes of a key bitmap with its bucket number; broadcast bound of the bitmaps of a read.
 BITMAP_BYTES = 4096 + 64
@@ -171,14 +171,18 @@ class DeltaLog:
         path = f"{self.root}/{name}/run={run}"
         rows.write.parquet(path)
         stored = self.spark.read.schema(rows.schema).parquet(path)
-        real = F.lit(True) if spec.unknown_key is None else F.col(spec.key[0]) != UNKNOWN_KEY
-        facts = assert_unique(stored, spec.key, f"load of {name}").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(real, F.col(spec.ts_col))).alias("wm")).first()
+        key = spec.key[0]
+        real = F.lit(True) if spec.unknown_key is None else F.col(key) != UNKNOWN_KEY
+        facts = stored.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("keyed"), F.max(F.when(real, F.col(spec.ts_col))).alias("wm")).first()
         if not facts["n"]:
             return None
         keys = f"{self.root}/{name}/keys={run}"
-        key_bitmaps(stored, spec.key[0]).write.parquet(keys)
-        buckets = self.spark.read.parquet(keys).count()
-        return Run(run, facts["n"], buckets, first, last, facts["wm"].isoformat() if facts["wm"] else None)
+        key_bitmaps(stored, key).write.parquet(keys)
+        # Every key is one bit: with fewer bits than keys, or two nulls, some key repeats (no shuffle of the keys).
+        held = self._bitmaps(name, [run]).agg(F.count(F.lit(1)).alias("buckets"), F.coalesce(F.sum(F.bitmap_count("bitmap")), F.lit(0)).alias("bits")).first()
+        if held["bits"] != facts["keyed"] or facts["n"] - facts["keyed"] > 1:
+            raise ValueError(f"duplicate key {list(spec.key)} in load of {name}")
+        return Run(run, facts["n"], held["buckets"], first, last, facts["wm"].isoformat() if facts["wm"] else None)
 
     def append(self, loads: Mapping[str, DataFrame], writer: tuple[str, int] | None = None) -> Commit:
         """S3: one commit with a run per table that has rows; nothing is visible if any write fails.
@@ -198,14 +202,24 @@ class DeltaLog:
         return self._commit_changes(base, changes, writer) if changes or writer else base
 
     # --- reading -----------------------------------------------------------
+    def _bitmaps(self, name: str, runs: Sequence[str]) -> DataFrame:
+        """Stored (bucket, bitmap) of the keys of each of ``runs``."""
+        return self.spark.read.schema("bucket long, bitmap binary").parquet(*[f"{self.root}/{name}/keys={r}" for r in runs])
+
+    def held_keys(self, name: str, runs: Sequence[str], more: DataFrame | None = None) -> DataFrame:
+        """(bucket, bitmap) of all keys of ``runs`` and of the bitmaps ``more``."""
+        parts = ([self._bitmaps(name, runs)] if runs else []) + ([more] if more is not None else [])
+        if not parts:
+            return self.spark.createDataFrame([], "bucket long, bitmap binary")
+        return reduce(DataFrame.unionByName, parts).groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
     def _merged(self, name: str, runs: Sequence[Run]) -> DataFrame:
         spec = self.specs[name]
         key, newer, parts = spec.key[0], [], []
         for run in sorted(runs, key=lambda r: -r.last):
             rows = self.spark.read.schema(spec.schema).parquet(f"{self.root}/{name}/run={run.name}")
             if newer:
-                paths = [f"{self.root}/{name}/keys={r.name}" for r in newer]
-                masks = self.spark.read.schema("bucket long, bitmap binary").parquet(*paths)
+                masks = self._bitmaps(name, [r.name for r in newer])
                 if len(newer) > 1:
                     masks = masks.groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
                 if sum(r.buckets for r in newer) * BITMAP_BYTES <= MASK_BYTES:
@@ -227,8 +241,11 @@ class DeltaLog:
 
     def masked_rows(self, name: str, keys_of: DataFrame, commit: Commit | None = None) -> DataFrame:
         """The table's rows whose key is in ``keys_of`` (the old image of a load)."""
+        return self.rows_in(name, key_bitmaps(keys_of, self.specs[name].key[0]), commit)
+
+    def rows_in(self, name: str, masks: DataFrame, commit: Commit | None = None) -> DataFrame:
+        """The table's rows whose key is in the bitmaps ``masks``."""
         key = self.specs[name].key[0]
-        masks = key_bitmaps(keys_of, key)
         if masks.count() * BITMAP_BYTES <= MASK_BYTES:
             masks = F.broadcast(masks)
         rows = self.read(name, commit)

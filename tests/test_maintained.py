@@ -91,3 +91,18 @@ def test_empty_state(spark, tmp_path):
     state = SalesState(spark, str(tmp_path / "none"))
     assert state.monthly_revenue().count() == 0 and state.product_revenue_rank().count() == 0
     assert state.distinct_orders().collect()[0]["order_count"] == 0
+
+
+def test_a_refresh_takes_the_touched_keys_from_the_stored_bitmaps(spark, tmp_path, monkeypatch):
+    from sparkmart.plans import maintained
+
+    stored = {}
+    keep = maintained.stored_copy
+    monkeypatch.setattr(maintained, "stored_copy", lambda df, name: stored.setdefault(name, keep(df, name)))
+    log, state = DeltaLog(spark, f"{tmp_path}/log"), SalesState(spark, f"{tmp_path}/state")
+    fact = frame(spark, FACT_ORDERS_SPEC, [{"order_line_key": k, "date_key": 1, "product_key": 1, "order_id": k, "quantity": 1} for k in (-1, 0, 1, 32768, 32769, 99999)])
+    commit = log.append({"fact_orders": fact})
+    state.refresh(log, Commit(), commit)
+    touched = stored["touched-lines"]
+    assert touched.columns == ["bucket", "bitmap"] and touched.count() == commit.tables["fact_orders"][0].buckets
+    assert sorted(r[0] for r in log.rows_in("fact_orders", touched).select("order_line_key").collect()) == [-1, 0, 1, 32768, 32769, 99999]
