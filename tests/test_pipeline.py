@@ -163,3 +163,32 @@ def test_lines_of_unknown_parts_reach_the_fact(spark):
     assert wh.fact_orders.count() == src.raw("lineitem").count()
     lost = src.raw("lineitem").where("l_partkey = 7").count()
     assert lost > 0 and wh.fact_orders.where("product_key = -1").count() == lost
+
+
+def test_a_failing_gate_leaves_an_incomplete_fact(spark, tmp_path, monkeypatch):
+    from sparkmart.plans import build
+    from sparkmart.sources.sinks import latest_version
+
+    copies = []
+    monkeypatch.setattr(build, "stored_copy", lambda df, name: copies.append(name) or df)
+    out, src = str(tmp_path / "wh"), Sources(spark, SF)
+    run_build(src, FLAT, keyed_lines=False, out_dir=out)
+    assert copies == []  # the fact is checked where it lies, not written twice
+    assert versions(spark, out, "fact_orders") == {0: True}
+    monkeypatch.setattr(build, "_check_fact", lambda fact, dims: quality.fail_if_any(fact, "broken"))
+    with pytest.raises(quality.QualityError):
+        run_build(src, FLAT, keyed_lines=False, out_dir=out)
+    assert versions(spark, out, "fact_orders") == {0: True, 1: False} and latest_version(spark, out, "fact_orders") == "0"
+
+
+def test_a_rebuild_builds_twice_and_verification_copies_no_source(spark, monkeypatch):
+    from sparkmart import session
+    from sparkmart.plans import queries
+
+    monkeypatch.setattr(queries, "_CACHE", {})
+    rows = queries.q_snapshot_rebuild(spark, SF)
+    assert "warehouse" not in queries.scenarios(spark, SF).__dict__
+    assert sorted((r["table_name"], r["version"]) for r in rows.collect())[:2] == [("dim_date", 0), ("dim_date", 1)]
+    before = len(session._SCRATCH)
+    queries.q_verify_rows(spark, SF)
+    assert not [p for p in session._SCRATCH[before:] if "/verify-source" in p]
