@@ -140,3 +140,13 @@ def test_sync_stored_table_end_to_end(spark, tmp_path):
     assert (wm, n, touched) == (T(2024, 1, 1), 2, [1])
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 3]
     assert sync_stored_table(spark, source, path, spec, "d")[1:] == (0, [])
+
+
+def test_stored_copies_and_snapshots_are_packed_with_zstd(spark, tmp_path):
+    from sparkmart.session import stored_copy
+    from sparkmart.sources.sinks import read_snapshot, write_snapshot
+
+    copy = stored_copy(spark.range(100))
+    write_snapshot(copy, str(tmp_path), "t")
+    for df in (copy, read_snapshot(spark, str(tmp_path), "t")):
+        assert df.count() == 100 and all(f.endswith(".zstd.parquet") for f in df.inputFiles())
