@@ -192,3 +192,34 @@ def test_a_rebuild_builds_twice_and_verification_copies_no_source(spark, monkeyp
     before = len(session._SCRATCH)
     queries.q_verify_rows(spark, SF)
     assert not [p for p in session._SCRATCH[before:] if "/verify-source" in p]
+
+
+def test_known_and_staged_lines_are_grouped_where_the_header_join_left_them(spark, tmp_path):
+    from sparkmart.operators.staging import extract_order
+
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        line = "id as order_id, 1 as quantity, id as product_id, cast(1 as decimal(10,2)) as unit_price_sold, cast(id as decimal(12,2)) as line_total"
+        lines = spark.sql(f"select {line} from range(200)")
+        header = spark.sql("select id as order_id, date'2000-01-01' as order_date, id as facility_id from range(200)")
+        extract_order(lines.where("order_id < 150"), header).write.parquet(f"{tmp_path}/known")
+        fresh = new_lines(extract_order(lines, header), spark.read.parquet(f"{tmp_path}/known"))
+        assert sorted(r.order_id for r in fresh.collect()) == list(range(150, 200))
+        final = fresh._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert final.count("Exchange hashpartitioning") == 3  # lines, headers and known lines, once each
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+
+
+def test_a_load_keeps_no_copy_of_the_numbered_lines(spark, tmp_path, monkeypatch):
+    import datetime as dt
+
+    from sparkmart.plans import build
+
+    copies, keep = [], build.stored_copy
+    monkeypatch.setattr(build, "stored_copy", lambda df, name: copies.append(name) or keep(df, name))
+    src, out = Sources(spark, SF), str(tmp_path / "wh")
+    run_load(src.until(dt.date(1998, 1, 1)), FLAT, out)
+    run_load(src, FLAT, out)
+    assert copies == ["fact-checked"]

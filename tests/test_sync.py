@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from py4j.protocol import Py4JJavaError
 
 from sparkmart import schemas
@@ -142,6 +143,26 @@ def test_sync_stored_table_end_to_end(spark, tmp_path):
     assert sync_stored_table(spark, source, path, spec, "d")[1:] == (0, [])
 
 
+def test_upsert_of_many_keys_meets_the_targets_rows_of_their_range_only(spark, tmp_path):
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no batch is small
+    try:
+        spark.range(1, 1001).selectExpr("'old' as v", "id as k").unionByName(spark.sql("select 'old' as v, cast(null as long) as k")).write.parquet(f"{tmp_path}/t")
+        target = spark.read.parquet(f"{tmp_path}/t")
+        spark.range(1001, 1101).selectExpr("id as k", "'new' as v").write.parquet(f"{tmp_path}/d")
+        later = upsert(target, spark.read.parquet(f"{tmp_path}/d"), "k")
+        assert sorted((r.v, r.n) for r in later.groupBy("v").agg(F.count("*").alias("n")).collect()) == [("new", 100), ("old", 1001)]
+        later.collect()
+        final = later._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "LeftAnti" not in final  # the target is not shuffled for keys that lie beyond it
+        spark.range(990, 1011).selectExpr("id as k", "'new' as v").write.parquet(f"{tmp_path}/e")
+        mixed = upsert(target, spark.read.parquet(f"{tmp_path}/e"), "k")
+        assert mixed.columns == ["k", "v"] and mixed.count() == 990 + 21
+        assert sorted(r.k for r in mixed.where("v = 'new'").collect()) == list(range(990, 1011)) and mixed.where("k is null").count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+
+
 def test_stored_copies_and_snapshots_are_packed_with_zstd(spark, tmp_path):
     from sparkmart.session import stored_copy
     from sparkmart.sources.sinks import read_snapshot, write_snapshot
