@@ -31,6 +31,23 @@ def test_slicers_apply_before_measures(spark):
     assert [(r.country_name, r.revenue, r.units_sold) for r in by_region] == [("Japan", Decimal("5.00"), 1)]
 
 
+def test_sales_by_country_counts_orders_beside_the_sums(spark):
+    # Null countries and orders, an order in two countries, an order of several lines, a country of null orders only.
+    rows = [
+        ("France", 10, 2, Decimal("10.00")), ("France", 10, 1, Decimal("5.00")), ("France", 11, None, None), ("France", None, 4, Decimal("1.00")),
+        ("Japan", 10, 3, Decimal("2.50")), (None, 12, 1, Decimal("3.00")), (None, 12, 1, Decimal("3.00")), ("Peru", None, None, None),
+    ]
+    star = spark.createDataFrame(rows, "country_name string, order_id long, quantity int, line_total decimal(12,2)")
+    report = dashboard.sales_by_country(star)
+    assert dict(report.dtypes) == {"country_name": "string", "revenue": "decimal(22,2)", "order_count": "bigint", "units_sold": "bigint"}
+    assert {tuple(r) for r in report.collect()} == {
+        ("France", Decimal("16.00"), 2, 7), ("Japan", Decimal("2.50"), 1, 3), (None, Decimal("6.00"), 1, 2), ("Peru", None, 0, None),
+    }
+    # No sum is shuffled once per order.
+    by_order = [line for line in report._jdf.queryExecution().executedPlan().toString().splitlines() if "HashAggregate" in line and "order_id" in line.split("functions=")[0]]
+    assert by_order and not any("sum(" in line for line in by_order)
+
+
 def test_revenue_over_time_grains(spark):
     star = _star(spark)
     daily = {r.full_date: r.revenue for r in dashboard.revenue_over_time(star, "day").collect()}

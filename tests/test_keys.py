@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from sparkmart.operators import keys
 from sparkmart.operators.keys import assign_keys, global_rank, next_key
 
 
@@ -22,6 +23,32 @@ def test_adaptive_partitioning_keeps_order(spark):
     assert [r.key for r in rows] == list(range(1, 2001))
 
 
+def test_columns_behind_the_last_kept_one_are_not_moved(spark, monkeypatch):
+    # Ties in every prefix of the ordering, nulls, and equal rows.
+    n = F.col("id")
+    order = ["a", "b", "c", "d", "e"]
+    df = spark.range(0, 3000, numPartitions=6).select(
+        (n % 40).alias("a"), F.when(n % 7 > 0, n % 5).alias("b"), (n * 31 % 11).alias("c"),
+        F.concat(F.lit("tail-"), n % 3).alias("d"), (n * 17 % 13).alias("e"),
+    )
+    moved = []
+    monkeypatch.setattr(keys, "stored_copy", lambda frame, name: moved.append(frame) or frame.localCheckpoint())
+    expected = df.withColumn("key", F.row_number().over(Window.orderBy(*order)))
+    for keep, columns in ((["a", "c"], {"a", "b", "c"}), (["a", "e"], set(order))):
+        got = assign_keys(df, order, "key", num_partitions=5, keep=keep)
+        assert sorted(got.collect(), key=lambda r: r.key) == sorted(expected.select(*keep, "key").collect(), key=lambda r: r.key)
+        plan = moved[-1]._jdf.queryExecution().optimizedPlan().toString()
+        ranged = next(line for line in plan.splitlines() if "RepartitionByExpression" in line)
+        below = plan[plan.index(ranged):].splitlines()[1]
+        assert {c for c in order if f"AS {c}#" in below} == columns
+
+
+def test_a_kept_column_outside_the_ordering_keeps_the_whole_ordering(spark):
+    df = spark.createDataFrame([(1, 3, "x"), (1, 2, "y"), (1, 1, "z")], "a int, b int, other string")
+    got = assign_keys(df, ["a", "b"], "key", keep=["a", "other"])
+    assert {(r.other, r.key) for r in got.collect()} == {("z", 1), ("y", 2), ("x", 3)}
+
+
 def test_start_frame_is_max_plus_one(spark):
     dim = spark.createDataFrame([(-1,), (3,), (7,)], "facility_key long")
     new = spark.createDataFrame([(20,), (10,)], "facility_id long")
