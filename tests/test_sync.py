@@ -171,3 +171,25 @@ def test_stored_copies_and_snapshots_are_packed_with_zstd(spark, tmp_path):
     write_snapshot(copy, str(tmp_path), "t")
     for df in (copy, read_snapshot(spark, str(tmp_path), "t")):
         assert df.count() == 100 and all(f.endswith(".zstd.parquet") for f in df.inputFiles())
+
+
+def test_sorted_write_reads_stored_files_in_small_parts(spark, tmp_path, monkeypatch):
+    from sparkmart.sources import sinks
+
+    scan_bytes = "spark.sql.files.maxPartitionBytes"
+    before, stored = spark.conf.get(scan_bytes), str(tmp_path / "stored")
+    rows = spark.range(0, 200_000, numPartitions=1).select(F.xxhash64("id").alias("v"), (F.col("id") % 50).alias("day"))
+    rows.write.option("parquet.block.size", 64 * 1024).parquet(stored)
+    monkeypatch.setattr(sinks, "SORTED_BYTES", 128 * 1024, raising=False)
+    path = sinks.write_snapshot(spark.read.parquet(stored), str(tmp_path / "out"), "t", sort_by=["day"])
+    files = [str(f) for f in (tmp_path / "out" / "t" / "version=0").glob("*.parquet")]
+    assert len(files) > 4  # one task per file
+    for file in files[:3]:
+        days = [r.day for r in spark.read.parquet(file).coalesce(1).collect()]
+        assert days == sorted(days)
+    assert spark.read.parquet(path).exceptAll(rows).isEmpty() and rows.exceptAll(spark.read.parquet(path)).isEmpty()
+    assert spark.conf.get(scan_bytes) == before
+    failing = rows.where(F.raise_error(F.lit("no")).cast("boolean"))
+    with pytest.raises(Exception, match="no"):
+        sinks.write_snapshot(failing, str(tmp_path / "out"), "t", sort_by=["day"])
+    assert spark.conf.get(scan_bytes) == before
