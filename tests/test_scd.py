@@ -155,3 +155,21 @@ def test_with_unknown_member_adds_it_once(spark):
     twice = scd.with_unknown_member(dim, scd.unknown_facility(spark, NOW), "facility_key")
     keys = sorted(r.facility_key for r in twice.collect())
     assert keys == [-1, 1]
+
+
+def test_scd2_products_beyond_the_counted_bound_are_not_broadcast(spark, monkeypatch):
+    from sparkmart.functions import joins
+
+    new_rows, assign = [], scd.assign_keys
+    monkeypatch.setattr(scd, "assign_keys", lambda rows, *a, **b: new_rows.append(rows) or assign(rows, *a, **b))
+    row = "cast(1 as decimal(10,2)) as unit_price, true as is_active"
+    stg = spark.sql(f"select id as product_id, concat('p', id) as product_name, 'c' as category_name, {row} from range(50)").repartition(2)
+    plans = []
+    for counted in (8, 1e-5):  # of the default threshold: 80 MB, 100 bytes
+        monkeypatch.setattr(joins, "COUNTED", counted)
+        dim = scd.scd2_merge(scd.empty_dim_product(spark, T0), stg.where("product_id < 49"), AS_OF, NOW)
+        dim = scd.scd2_merge(dim, stg, AS_OF, NOW)
+        assert sorted(r.product_key for r in dim.collect()) == [-1, *range(1, 51)]
+        plan = new_rows[-1]._jdf.queryExecution().executedPlan().toString()
+        plans.append([x for x in plan.splitlines() if "Join [_sm_nk" in x and ", [_sm_fk" in x])
+    assert [len(p) for p in plans] == [1, 1] and "BroadcastHashJoin" in plans[0][0] and "SortMergeJoin" in plans[1][0]
