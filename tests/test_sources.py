@@ -37,3 +37,17 @@ def test_bindings_match_the_source_schemas(spark):
         (src.order_line, schemas.ORDER_LINE),
     ):
         assert [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schema.fields]
+
+
+def test_the_price_lookup_broadcasts_only_counted_parts(spark, tmp_path, monkeypatch):
+    from sparkmart.functions import joins
+    from sparkmart.sources.bindings import Sources
+
+    spark.sql("select id as p_partkey, 'n' as p_name, 'b' as p_brand, 't' as p_type, 1 as p_size, cast(id as double) as p_retailprice from range(100)").write.parquet(f"{tmp_path}/part.parquet")
+    line = "id as l_orderkey, id as l_partkey, 1L as l_suppkey, 1 as l_linenumber, 2D as l_quantity, 8D as l_extendedprice, 0D as l_discount, 0D as l_tax"
+    spark.sql(f"select {line}, 'N' as l_returnflag, 'O' as l_linestatus, timestamp_ntz'2000-01-01' as l_shipdate from range(101)").write.parquet(f"{tmp_path}/lineitem.parquet")
+    for counted, joined in ((8, "BroadcastHashJoin"), (1e-4, "SortMergeJoin")):  # of the default threshold: 80 MB, 1 kB
+        monkeypatch.setattr(joins, "COUNTED", counted)
+        lines = Sources(spark, str(tmp_path)).order_line_unkeyed
+        assert joined in lines._jdf.queryExecution().executedPlan().toString()
+        assert {r.product_id: float(r.unit_price_sold) for r in lines.collect()} == {k: float(k) for k in range(100)} | {100: 4.0}
