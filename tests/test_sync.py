@@ -193,3 +193,16 @@ def test_sorted_write_reads_stored_files_in_small_parts(spark, tmp_path, monkeyp
     with pytest.raises(Exception, match="no"):
         sinks.write_snapshot(failing, str(tmp_path / "out"), "t", sort_by=["day"])
     assert spark.conf.get(scan_bytes) == before
+
+
+def test_upsert_of_a_batch_beyond_the_counted_bound_joins_by_a_shuffle(spark, tmp_path, monkeypatch):
+    from sparkmart.functions import joins
+
+    row = "select id as k, {} as v, timestamp_ntz'2024-01-01' as last_updated from range({}, {})"
+    for name, *what in (("target", "'old'", 0, 100), ("batch", "'new'", 90, 200)):
+        spark.sql(row.format(*what)).write.parquet(f"{tmp_path}/{name}")
+    monkeypatch.setattr(joins, "COUNTED", 1e-4)  # of the default threshold: 1 kB, the files of the batch are small beside that
+    merged = upsert(spark.read.parquet(f"{tmp_path}/target"), spark.read.parquet(f"{tmp_path}/batch"), "k")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert {r.k: r.v for r in merged.collect()} == {k: "old" for k in range(90)} | {k: "new" for k in range(90, 200)}
