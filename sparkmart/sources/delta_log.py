@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from py4j.protocol import Py4JJavaError
 
 from sparkmart.schemas import WAREHOUSE_SPECS, TableSpec
+from sparkmart.session import CODEC, shuffles_dropped
 from sparkmart.sources.incremental import EPOCH, UNKNOWN_KEY, read_since
 from sparkmart.sources.sinks import _file_system
 
@@ -169,7 +170,8 @@ class DeltaLog:
         spec = self.specs[name]
         run = uuid.uuid4().hex
         path = f"{self.root}/{name}/run={run}"
-        rows.write.parquet(path)
+        with shuffles_dropped(rows.sparkSession):
+            rows.write.option("compression", CODEC).parquet(path)
         stored = self.spark.read.schema(rows.schema).parquet(path)
         key = spec.key[0]
         real = F.lit(True) if spec.unknown_key is None else F.col(key) != UNKNOWN_KEY
@@ -177,7 +179,8 @@ class DeltaLog:
         if not facts["n"]:
             return None
         keys = f"{self.root}/{name}/keys={run}"
-        key_bitmaps(stored, key).write.parquet(keys)
+        with shuffles_dropped(self.spark):
+            key_bitmaps(stored, key).write.option("compression", CODEC).parquet(keys)
         # Every key is one bit: with fewer bits than keys, or two nulls, some key repeats (no shuffle of the keys).
         held = self._bitmaps(name, [run]).agg(F.count(F.lit(1)).alias("buckets"), F.coalesce(F.sum(F.bitmap_count("bitmap")), F.lit(0)).alias("bits")).first()
         if held["bits"] != facts["keyed"] or facts["n"] - facts["keyed"] > 1:

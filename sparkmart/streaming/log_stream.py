@@ -10,7 +10,9 @@ executor's partitions are loaded again from there.
 
 The marks of 1024 consecutive keys form one state entry: the state is
 asked and written once per entry and batch, and numpy compares its keys at
-once.  A call of the state per key would cost more than all the rest.
+once.  A call of the state per key would cost more than all the rest.  An entry
+is stored by columns, keys as differences, so that of 32 bytes a key little
+more than the 16 of the fingerprint are left.
 
 Exactly-once: the commit that adds batch ``n``'s run also records ``n`` for
 this stream; a batch that is tried again after its commit adds nothing.
@@ -31,11 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from sparkmart.schemas import TableSpec
+from sparkmart.session import shuffles_dropped
 from sparkmart.sources.delta_log import DeltaLog
 
 #: State store that transformWithState needs.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: 2 to the power of this many consecutive keys form one state entry (32 bytes each).
+#: 2 to the power of this many consecutive keys form one state entry.
 STATE_BITS = 10
 STATE = "marks binary"
 # No leading underscore: pandas would rename such columns on their way to the processor.
@@ -51,6 +54,8 @@ def newest_rows() -> StatefulProcessor:
     The marks are int64 rows (key, stamp, one, two) in key order.  The class is
     local so that it travels to the workers by value.
     """
+    import zlib
+
     import numpy as np
     import pandas as pd
 
@@ -62,18 +67,33 @@ def newest_rows() -> StatefulProcessor:
         rows = rows[rows[stamp_name] == rows.groupby(key_name)[stamp_name].transform("max")]
         return rows.drop_duplicates(mark_names).groupby(key_name).head(2)
 
+    def packed(marks):
+        """Number of marks, fingerprints, then differences of the keys and stamps, compressed; never a multiple of 32 bytes long."""
+        columns = marks.astype("<i8").T
+        steps = np.diff(columns[0], prepend=np.int64(0))
+        held = np.int64(len(marks)).tobytes() + columns[2:].tobytes() + zlib.compress(steps.tobytes() + columns[1].tobytes(), 1)
+        return held + b"\0" * (len(held) % 32 == 0)
+
+    def unpacked(held):
+        if len(held) % 32 == 0:  # as rows of 32 bytes: no entry, or one of a stream begun before entries were packed
+            return np.frombuffer(held, dtype="<i8").reshape(-1, 4)
+        n = int(np.frombuffer(held, dtype="<i8", count=1)[0])
+        rest = np.frombuffer(zlib.decompressobj().decompress(held[8 + 16 * n :]), dtype="<i8").reshape(2, n)
+        prints = np.frombuffer(held, dtype="<i8", count=2 * n, offset=8).reshape(2, n)
+        return np.stack([np.cumsum(rest[0]), rest[1], prints[0], prints[1]], axis=1)
+
     class NewestRows(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.seen = handle.getValueState("marks", STATE)
 
         def _known(self):
             held = self.seen.get()
-            return np.frombuffer(held[0] if held is not None else b"", dtype="<i8").reshape(-1, 4)
+            return unpacked(bytes(held[0]) if held is not None else b"")
 
         def _remember(self, known, marks) -> None:
             kept = known[~np.isin(known[:, 0], marks[:, 0])]
             both = np.concatenate([kept, marks])
-            self.seen.update((both[np.argsort(both[:, 0], kind="stable")].astype("<i8").tobytes(),))
+            self.seen.update((packed(both[np.argsort(both[:, 0], kind="stable")]),))
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
             best = None
@@ -114,13 +134,12 @@ def _marked(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 def _packed(spec: TableSpec) -> Column:
     """The row as one string, which passes Python without a conversion of its values."""
-    return F.to_json(F.struct(*[F.col(n).cast("string").alias(n) for n in spec.schema.fieldNames()]))
+    return F.to_json(F.array(*[F.col(n).cast("string") for n in spec.schema.fieldNames()]))
 
 
 def _unpacked(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    names = spec.schema.fieldNames()
-    parsed = rows.select(F.from_json(_ROW, ", ".join(f"`{n}` string" for n in names)).alias(_ROW))
-    return parsed.select(*[F.col(f"{_ROW}.{f.name}").cast(f.dataType).alias(f.name) for f in spec.schema.fields])
+    parsed = rows.select(F.from_json(_ROW, "array<string>").alias(_ROW))
+    return parsed.select(*[F.col(_ROW)[i].cast(f.dataType).alias(f.name) for i, f in enumerate(spec.schema.fields)])
 
 
 def changed_rows(rows: DataFrame, spec: TableSpec, known: DataFrame | None = None) -> DataFrame:
@@ -169,4 +188,5 @@ def start_log_stream(
 
     writer = changes.writeStream.outputMode("append").foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    with shuffles_dropped(spark):  # the stream's session is a copy of this one
+        return writer.start()

@@ -5,6 +5,7 @@ import os
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from sparkmart.schemas import FACT_ORDERS_SPEC
 from sparkmart.sources.delta_log import DeltaLog
@@ -102,3 +103,62 @@ def test_state_is_asked_once_per_range_of_keys(spark, tmp_path):
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 5
     assert dict(content(log.read("fact_orders"))) == {k: 1 + (k % 3 == 0) for k in keys}
     assert run_rows(log.commit())[1] == sum(1 for k in keys if k % 2 == 0 or k % 3 == 0)
+
+
+class Held:
+    """A state value in memory."""
+
+    def __init__(self, value=None):
+        self.value = value
+
+    def get(self):
+        return None if self.value is None else (self.value,)
+
+    def update(self, new):
+        self.value = new[0]
+
+
+def entry(marks):
+    import pandas as pd
+
+    from sparkmart.streaming.log_stream import _MARKS, _ROW
+
+    return iter([pd.DataFrame(marks, columns=list(_MARKS)).assign(**{_ROW: [f"row {m[0]}" for m in marks]})])
+
+
+@pytest.mark.parametrize("n", [1, 3, 500, 1024])
+def test_state_entries_take_little_more_than_their_fingerprints(n):
+    import random
+
+    import numpy as np
+
+    from sparkmart.streaming.log_stream import newest_rows
+
+    draw = random.Random(n)
+    word = lambda: draw.randrange(-(1 << 63), 1 << 63)
+    marks = [(k - 700, -(1 << 63) if k % 7 == 0 else 10**15 + k % 9, word(), word()) for k in range(n)]
+    work = newest_rows()
+    for before in (None, np.array(marks, dtype="<i8")[: n // 2].tobytes()):  # no entry; one stored as rows, by an earlier version
+        work.seen = Held(before)
+        first = [r for part in work.handleInputRows(None, entry(marks), None) for r in part.iloc[:, 0]]
+        assert first == [f"row {m[0]}" for m in marks[0 if before is None else n // 2 :]]
+        assert len(work.seen.value) % 32 and len(work.seen.value) < 20 * n + 100
+        assert not list(work.handleInputRows(None, entry(marks), None))
+        newer = (marks[-1][0], 10**15 + 99, 1, 2)
+        assert [part.iloc[0, 0] for part in work.handleInputRows(None, entry([newer, marks[0]][: 1 + (n > 1)]), None)] == [f"row {newer[0]}"]
+        assert not list(work.handleInputRows(None, entry([marks[-1], newer]), None))
+
+
+def test_rows_pass_the_stream_as_they_are(spark):
+    from pyspark.sql.types import StructField, StructType
+
+    from sparkmart.schemas import DIM_PRODUCT_SPEC
+    from sparkmart.streaming.log_stream import _ROW, _packed, _unpacked
+
+    rows = spark.createDataFrame(
+        [(1, 1, 'a "b"\n,[]\n\u00e9', "", None, True, dt.date(2000, 1, 1), None, True, dt.datetime(2020, 1, 1, 0, 0, 0, 123456)), (2, *[None] * 9)],
+        StructType([StructField(f.name, f.dataType) for f in DIM_PRODUCT_SPEC.schema.fields]),
+    )
+    assert _unpacked(rows.select(_packed(DIM_PRODUCT_SPEC).alias(_ROW)), DIM_PRODUCT_SPEC).collect() == rows.collect()
+    longest = rows.select(F.max(F.length(_packed(DIM_PRODUCT_SPEC)))).first()[0]
+    assert longest < 120  # no column names

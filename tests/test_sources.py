@@ -51,3 +51,23 @@ def test_the_price_lookup_broadcasts_only_counted_parts(spark, tmp_path, monkeyp
         lines = Sources(spark, str(tmp_path)).order_line_unkeyed
         assert joined in lines._jdf.queryExecution().executedPlan().toString()
         assert {r.product_id: float(r.unit_price_sold) for r in lines.collect()} == {k: float(k) for k in range(100)} | {100: 4.0}
+
+
+def test_a_stored_copy_leaves_no_shuffle_files(spark, tmp_path):
+    import time
+    from pathlib import Path
+
+    from sparkmart.session import _SHUFFLE_CLEANUP, stored_copy
+    from sparkmart.sources.sinks import write_snapshot
+
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    shuffled = lambda: {f.name.split("_")[1] for d in folders for f in Path(d).rglob("shuffle_*.data")}
+    before, setting = shuffled(), spark.conf.get(_SHUFFLE_CLEANUP)
+    counts = spark.range(1000).groupBy("id").count()
+    copy = stored_copy(counts)
+    write_snapshot(counts, str(tmp_path), "counts")
+    assert spark.conf.get(_SHUFFLE_CLEANUP) == setting
+    until = time.time() + 10  # they are deleted in the background
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before and copy.count() == 1000
